@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from functools import lru_cache
 from importlib import resources
 
 from pyspark.sql import Column
@@ -32,6 +33,7 @@ RUN_EXPECTANCY = {
     "123": [2.734, 1.662, 0.729],
 }
 
+HALVES = [TOP, BOTTOM]
 ANCHOR_LOW, ANCHOR_HIGH = 3, 7
 LAST_INNING = 12
 WALK_OFF_INNING = 9
@@ -39,10 +41,10 @@ WALK_OFF_INNING = 9
 
 @dataclass(frozen=True)
 class WinTable:
-    """Win expectancy at the two anchor innings, cells ordered half, base, score."""
+    """Win expectancy at the two anchor innings: (half, base, score) -> value."""
 
-    low: tuple[float, ...]
-    high: tuple[float, ...]
+    low: tuple[tuple[tuple[str, str, int], float], ...]
+    high: tuple[tuple[tuple[str, str, int], float], ...]
 
 
 def load_win_table(path: str | None = None) -> WinTable:
@@ -52,28 +54,46 @@ def load_win_table(path: str | None = None) -> WinTable:
     else:
         with open(path, encoding="utf-8") as handle:
             text = handle.read()
-    cells = {}
-    for row in csv.DictReader(text.splitlines()):
-        key = (int(row.pop("anchor_inning")), row.pop("half"), row.pop("base_state"))
-        cells[key] = [float(v) for v in row.values()]
-    columns = [
-        tuple(v for half in (TOP, BOTTOM) for base in BASE_STATES for v in cells[anchor, half, base])
-        for anchor in (ANCHOR_LOW, ANCHOR_HIGH)
-    ]
-    return WinTable(*columns)
+    anchors: dict[int, list] = {ANCHOR_LOW: [], ANCHOR_HIGH: []}
+    for inning, half, base, *values in csv.reader(text.splitlines()[1:]):
+        for score, value in enumerate(values, -SCORE_LIMIT):
+            anchors[int(inning)].append(((half, base, score), float(value)))
+    return WinTable(*[tuple(cells) for cells in anchors.values()])
 
 
-def _base_index(base: Column) -> Column:
-    """0-based table position, NULL for an unknown base state."""
-    position = F.array_position(F.lit(BASE_STATES), base)
-    return F.when(position > 0, position - 1)
+@lru_cache
+def _win_array(table: WinTable | None) -> str:
+    """SQL array over inning 3..7, half, base, score; slot 0 of half and base is 'unknown'."""
+    table = table or load_win_table()
+    low, high = dict(table.low), dict(table.high)
+    values = []
+    for inning in range(ANCHOR_LOW, ANCHOR_HIGH + 1):
+        weight = (inning - ANCHOR_LOW) / (ANCHOR_HIGH - ANCHOR_LOW)
+        for half in (None, *HALVES):
+            for base in (None, *BASE_STATES):
+                for score in range(-SCORE_LIMIT, SCORE_LIMIT + 1):
+                    key = (half, base, score)
+                    known = key in low and key in high
+                    values.append(f"{(1.0 - weight) * low[key] + weight * high[key]!r}D" if known else "NULL")
+    return f"array({', '.join(values)})"
+
+
+@lru_cache
+def _run_array() -> str:
+    """SQL array over base and outs; slot 0 of the base is 'unknown'."""
+    known = [f"{v!r}D" for base in BASE_STATES for v in RUN_EXPECTANCY[base]]
+    return f"array(NULL, NULL, NULL, {', '.join(known)})"
+
+
+def _slot(values: list[str], value: Column) -> Column:
+    """1-based place of a text in a short list, 0 when it is not there."""
+    return F.array_position(F.lit(values), value)
 
 
 def run_expectancy(outs: Column, base: Column) -> Column:
     """Expected runs until the half ends; 0 from three outs on."""
-    cells = F.lit([v for b in BASE_STATES for v in RUN_EXPECTANCY[b]])
-    index = (_base_index(base) * 3 + outs).cast("int")
-    return F.when(outs >= 3, F.lit(0.0)).when(outs >= 0, F.get(cells, index))
+    index = (_slot(BASE_STATES, base) * 3 + outs).cast("int")
+    return F.when(outs >= 3, F.lit(0.0)).when(outs >= 0, F.get(F.expr(_run_array()), index))
 
 
 def win_expectancy(
@@ -82,15 +102,13 @@ def win_expectancy(
     """Win probability of the batting team.
 
     Constant up to inning 3 and from inning 7, linear in between; the score is
-    clipped to +-4. Unknown half or base gives NULL.
+    clipped to +-4. Unknown half or base gives NULL. Each input occurs once in
+    the expression, which keeps generated code small where lookups are nested.
     """
-    table = table or load_win_table()
-    side = F.when(half == TOP, 0).when(half == BOTTOM, 1)
-    width = 2 * SCORE_LIMIT + 1
-    index = ((side * len(BASE_STATES) + _base_index(base)) * width + clip_score(score) + SCORE_LIMIT).cast("int")
-    clamped = F.greatest(F.lit(ANCHOR_LOW), F.least(F.lit(ANCHOR_HIGH), inning))
-    high = (clamped - ANCHOR_LOW) / F.lit(float(ANCHOR_HIGH - ANCHOR_LOW))
-    return (1.0 - high) * F.get(F.lit(list(table.low)), index) + high * F.get(F.lit(list(table.high)), index)
+    step = F.greatest(F.lit(ANCHOR_LOW), F.least(F.lit(ANCHOR_HIGH), inning)) - ANCHOR_LOW
+    place = (step * (len(HALVES) + 1) + _slot(HALVES, half)) * (len(BASE_STATES) + 1) + _slot(BASE_STATES, base)
+    index = place * (2 * SCORE_LIMIT + 1) + clip_score(score) + SCORE_LIMIT
+    return F.get(F.expr(_win_array(table)), index.cast("int"))
 
 
 def decided(score: Column) -> Column:
@@ -117,32 +135,40 @@ def win_expectancy_out_adjusted(
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), win_expectancy(inning, half, score, base, table) + shift))
 
 
+def state_after(
+    inning: Column, half: Column, score_after: Column, half_over: Column, next_outs: Column, next_base: Column
+) -> dict[str, Column]:
+    """The state whose expectancy tells the value after a plate appearance.
+
+    Inside a half it is the next batter's state, otherwise the opponent's start
+    of the following half.
+    """
+    top = half == TOP
+    return {
+        "after_inning": F.when(half_over & ~top, inning + 1).otherwise(inning),
+        "after_half": F.when(~half_over, half).when(top, BOTTOM).otherwise(TOP),
+        "after_score": F.when(half_over, -score_after).otherwise(score_after),
+        "after_outs": F.when(half_over, F.lit(0)).otherwise(next_outs),
+        "after_base": F.when(half_over, F.lit("0")).otherwise(next_base),
+    }
+
+
 def win_expectancy_after(
-    inning: Column,
-    half: Column,
-    score_after: Column,
-    half_over: Column,
-    next_outs: Column,
-    next_base: Column,
-    table: WinTable | None = None,
+    inning: Column, half: Column, score_after: Column, half_over: Column, table: WinTable | None = None
 ) -> Column:
     """Win expectancy of the batting team once the plate appearance is over.
 
-    Inside a half it is the next batter's state. At the end of a half it is one
-    minus the opponent's expectancy at the start of the following half, except
-    for a walk-off in inning 9 and for games that end after inning 12. The two
-    cases share one table lookup: the state to look up is chosen first.
+    Reads the columns of ``state_after``. At the end of a half it is one minus
+    the opponent's expectancy, except for a walk-off in inning 9 and for games
+    that end after inning 12.
     """
-    top = half == TOP
-    q_inning = F.when(half_over & ~top, inning + 1).otherwise(inning)
-    q_half = F.when(~half_over, half).when(top, BOTTOM).otherwise(TOP)
-    q_score = F.when(half_over, -score_after).otherwise(score_after)
-    q_outs = F.when(half_over, F.lit(0)).otherwise(next_outs)
-    q_base = F.when(half_over, F.lit("0")).otherwise(next_base)
-    we = win_expectancy_with_end(q_inning, q_half, q_score, q_outs, q_base, table)
+    q_inning = F.col("after_inning")
+    we = win_expectancy_with_end(
+        q_inning, F.col("after_half"), F.col("after_score"), F.col("after_outs"), F.col("after_base"), table
+    )
+    sign = F.when(half_over, F.lit(-1.0)).otherwise(F.lit(1.0))
     return (
-        F.when(half_over & ~top & (inning == WALK_OFF_INNING) & (score_after > 0), F.lit(1.0))
+        F.when(half_over & (half != TOP) & (inning == WALK_OFF_INNING) & (score_after > 0), F.lit(1.0))
         .when(half_over & (q_inning > LAST_INNING), decided(score_after))
-        .when(half_over, 1.0 - we)
-        .otherwise(we)
+        .otherwise(F.when(half_over, F.lit(1.0)).otherwise(F.lit(0.0)) + sign * we)
     )
