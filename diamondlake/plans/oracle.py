@@ -18,7 +18,7 @@ GAME_ID = (
 
 
 def _r(value: str) -> str:
-    return f"round({value}, 6)"
+    return f"round(CAST({value} AS DOUBLE), 6)"
 
 
 def _values(rows: list[tuple]) -> str:
