@@ -113,7 +113,7 @@ def win_expectancy(
 
 def decided(score: Column) -> Column:
     """Value of a finished game: won 1, lost 0, drawn 0.5."""
-    return F.when(score > 0, F.lit(1.0)).when(score < 0, F.lit(0.0)).when(score == 0, F.lit(0.5))
+    return (F.signum(score) + 1.0) / 2.0
 
 
 def win_expectancy_with_end(

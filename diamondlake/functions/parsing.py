@@ -50,14 +50,10 @@ def na_to_null(text: Column) -> Column:
     return F.when(~text.isin(NA_WORDS), text)
 
 
-def variant_is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
-
-
 def variant_truthy(value: Column) -> Column:
     """Number 0, '', null and absent are false; any other text, even '0.000', is true."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.coalesce(
-        F.when(variant_is_text(value), text != "").otherwise(text.try_cast("double") != 0),
-        F.lit(False),
+    json = F.to_json(value)
+    number = F.when(~F.startswith(json, F.lit('"')), json.try_cast("double"))
+    return F.when(number.isNotNull(), number != 0).otherwise(
+        F.coalesce(~json.isin('""', "null", "false"), F.lit(False))
     )

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.state import clip_score
 from diamondlake.operators.columns import ratio
+from diamondlake.operators.quantiles import describe
 from diamondlake.operators.reward import REWARD
-from diamondlake.operators.validation import describe
 
 NUMERIC = [
     "we_before", "we_after", "pitcher_vs_batter_avg", "batter_recent_avg",

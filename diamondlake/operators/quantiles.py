@@ -13,57 +13,75 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from diamondlake.operators.materialize import materialize
 from diamondlake.operators.ordered import CHUNK_WIDTH, Order, running
 
 # Non-decreasing in the value; about 64 ranges per power of e, fine near zero.
 _RANGE = "floor(signum({0}) * log1p(abs({0}) * 1048576) * 64)"
 
 QUARTILES = (0.25, 0.5, 0.75)
+QUARTILE_NAMES = ("q25", "q50", "q75")
 
 
-def value_order(keys: Sequence[str], value: str) -> Order:
-    return Order(tuple(keys), (value,), CHUNK_WIDTH, (_RANGE.format(value),))
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Per key and distinct value (NULL included) its count ``n``, kept in the checkpoint folder.
+
+    The rows are read once here; everything after works on the counts.
+    """
+    return materialize(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Per key and distinct value: its count ``n`` and the rows up to it, ``upto``."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return running(counted, "upto", F.col("n"), value_order(keys, value))
+def value_ranks(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Counts of the known values with ``upto``, the number of rows up to each value."""
+    order = Order(tuple(keys), (value,), CHUNK_WIDTH, (_RANGE.format(value),))
+    return running(counts.where(F.col(value).isNotNull()), "upto", F.col("n"), order)
 
 
-def average_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
+def average_ranks(counts: DataFrame, value: str, out: str) -> DataFrame:
     """Rank of each distinct value, ties sharing the mean rank."""
-    ranked = value_ranks(df, (), value)
+    ranked = value_ranks(counts, (), value)
     return ranked.select(value, (F.col("upto") - (F.col("n") - 1) / 2.0).alias(out))
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, points: Sequence[float] = QUARTILES, names: Sequence[str] = ("q25", "q50", "q75")
+def describe(
+    df: DataFrame, keys: Sequence[str], value: str,
+    points: Sequence[float] = QUARTILES, names: Sequence[str] = QUARTILE_NAMES,
 ) -> DataFrame:
-    """Quantiles with linear interpolation, one row per key.
+    """count, missing, mean, std (n-1), min, quantiles, max; one row per key.
 
-    The sorted row at 0-based place ``p`` lies in the distinct value with
-    ``upto - n <= p < upto``; each point needs the rows around ``q * (rows-1)``.
+    Quantiles interpolate linearly: the sorted row at 0-based place ``p`` lies in
+    the distinct value with ``upto - n <= p < upto``, and a point needs the rows
+    around ``q * (rows - 1)``.
     """
-    ranked = value_ranks(df.select(*keys, F.col(value).cast("double").alias("__v")), keys, "__v")
-    sizes = ranked.groupBy(*keys).agg(F.sum("n").alias("__rows"))
-    if keys:
-        placed = ranked.join(sizes, list(keys))
-    else:
-        placed = ranked.withColumn("__one", F.lit(1)).join(sizes.withColumn("__one", F.lit(1)), "__one")
+    counts = value_counts(df.select(*keys, F.col(value).cast("double").alias("__v")), keys, "__v")
+    v, n = F.col("__v"), F.col("n")
+    totals = counts.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).alias("__rows"),
+        F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("__missing"),
+        F.sum(v * n).alias("__sum"), F.min(v).alias("__min"), F.max(v).alias("__max"),
+    )
+    totals = totals.withColumn("__mean", F.try_divide("__sum", "__rows"))
+    ranked = value_ranks(counts, keys, "__v").withColumn("__one", F.lit(1))
+    on = [*keys, "__one"]
+    totals = totals.withColumn("__one", F.lit(1))
+    placed = ranked.join(totals, on)
 
     def at(place: Column) -> Column:
-        inside = (F.col("upto") - F.col("n") <= place) & (place < F.col("upto"))
-        return F.max(F.when(inside, F.col("__v")))
+        inside = (F.col("upto") - n <= place) & (place < F.col("upto"))
+        return F.max(F.when(inside, v))
 
-    exprs = []
+    exprs = [F.sum(n * (v - F.col("__mean")) ** 2).alias("__squares")]
     for q, name in zip(points, names):
         spot = F.lit(q) * (F.col("__rows") - 1)
         exprs += [at(F.floor(spot)).alias(f"__low_{name}"), at(F.ceil(spot)).alias(f"__high_{name}")]
         exprs += [F.max(spot - F.floor(spot)).alias(f"__part_{name}")]
-    found = placed.groupBy(*keys).agg(*exprs)
+    found = totals.join(placed.groupBy(*on).agg(*exprs), on, "left")
+    deviation = F.when(F.col("__rows") > 1, F.sqrt(F.col("__squares") / (F.col("__rows") - 1)))
     mixed = [
-        (F.col(f"__low_{n}") + (F.col(f"__high_{n}") - F.col(f"__low_{n}")) * F.col(f"__part_{n}")).alias(n)
-        for n in names
+        (F.col(f"__low_{m}") + (F.col(f"__high_{m}") - F.col(f"__low_{m}")) * F.col(f"__part_{m}")).alias(m)
+        for m in names
     ]
-    return found.select(*keys, *mixed)
+    return found.select(
+        *keys, F.col("__rows").alias("n"), F.col("__missing").alias("missing"), F.col("__mean").alias("mean"),
+        deviation.alias("std"), F.col("__min").alias("min"), *mixed, F.col("__max").alias("max"),
+    )

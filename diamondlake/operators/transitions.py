@@ -77,12 +77,15 @@ def add_neighbours(states: DataFrame, hot: DataFrame | None = None, width: int =
 def add_runs(linked: DataFrame) -> DataFrame:
     """Runs of the plate appearance, and ``runs_guessed`` when only the label tells."""
     later = F.when(~F.col("inning_ended") | F.col("follows"), F.col("next_score"))
-    gained = F.when(F.col("home_or_away") == 1, later - F.col("score_diff")).otherwise(F.col("score_diff") - later)
-    guessed = F.col("inning_ended") & gained.isNull()
+    sign = F.when(F.col("home_or_away") == 1, 1).otherwise(-1)
+    gained = (later - F.col("score_diff")) * sign
     guess = fallback_runs(F.col("pa_result"), F.col("is_base1"), F.col("is_base2"), F.col("is_base3"))
-    runs = F.coalesce(gained, F.when(guessed, guess), F.lit(0))
+    runs = F.coalesce(gained, F.when(F.col("inning_ended"), guess), F.lit(0))
     return linked.withColumns(
-        {"runs_scored": F.greatest(runs, F.lit(0)).cast("int"), "runs_guessed": guessed}
+        {
+            "runs_scored": F.greatest(runs, F.lit(0)).cast("int"),
+            "runs_guessed": F.col("inning_ended") & gained.isNull(),
+        }
     )
 
 

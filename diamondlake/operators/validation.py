@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from diamondlake.functions.labels import label_rank
 from diamondlake.functions.state import season_of
 from diamondlake.operators.materialize import materialize
-from diamondlake.operators.quantiles import average_ranks, exact_quantiles
+from diamondlake.operators.quantiles import average_ranks, describe, value_counts
 from diamondlake.operators.reward import REWARD
 from diamondlake.operators.transitions import MANY_RUNS, NONZERO_START
 
@@ -61,26 +61,17 @@ def season_counts(rewards: DataFrame) -> DataFrame:
     return pairs(rewards).groupBy(season_of(F.col("game_id")).alias("season")).agg(F.count("*").alias("n_pa"))
 
 
-def describe(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """count, missing, mean, std (n-1), min, quartiles, max; one row per key."""
-    stats = df.groupBy(*keys).agg(
-        F.count(value).alias("n"), F.count_if(F.col(value).isNull()).alias("missing"),
-        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-        F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max"),
-    )
-    quartiles = exact_quantiles(df, keys, value)
-    if keys:
-        return stats.join(quartiles, keys, "left")
-    one = F.lit(1)
-    return stats.withColumn("__one", one).join(quartiles.withColumn("__one", one), "__one", "left").drop("__one")
-
-
 def sign_match(rewards: DataFrame) -> DataFrame:
-    """Share of pairs of equal sign where neither side is 0; NULL without such pairs."""
+    """Share of pairs of equal sign where neither side is 0; NULL without such pairs.
+
+    A condition inside the aggregate, not a filter: a filter on the reward would
+    be pushed below its projection and the reward computed twice.
+    """
     a, b = F.col(PROVIDER), F.col(REWARD)
-    both = pairs(rewards).where((a != 0) & (b != 0))
-    return both.agg(
-        F.count("*").alias("n_signed"), F.avg((F.signum(a) == F.signum(b)).cast("double")).alias("sign_match_rate")
+    signed = (a != 0) & (b != 0)
+    return pairs(rewards).agg(
+        F.count_if(signed).alias("n_signed"),
+        F.avg(F.when(signed, (F.signum(a) == F.signum(b)).cast("double"))).alias("sign_match_rate"),
     )
 
 
@@ -96,13 +87,18 @@ def pearson(rewards: DataFrame) -> DataFrame:
 def spearman(rewards: DataFrame) -> DataFrame:
     """Rank correlation with mean ranks for ties.
 
-    Both columns are ranked over distinct values, and the correlation is a
-    weighted sum over distinct pairs, so equal values never pile up in a task.
+    The pairs are counted once. Both columns are ranked over distinct values and
+    the correlation is a weighted sum over distinct pairs, so equal values never
+    pile up in a task.
     """
-    both = materialize(pairs(rewards).select(PROVIDER, REWARD))
-    grouped = both.groupBy(PROVIDER, REWARD).agg(F.count("*").alias("w"))
+    cells = value_counts(pairs(rewards), [PROVIDER], REWARD)
+
+    def ranks(value: str, out: str) -> DataFrame:
+        return average_ranks(cells.groupBy(value).agg(F.sum("n").alias("n")), value, out)
+
     ranked = (
-        grouped.join(average_ranks(both, PROVIDER, "x"), PROVIDER).join(average_ranks(both, REWARD, "y"), REWARD)
+        cells.where(F.col(REWARD).isNotNull()).withColumnRenamed("n", "w")
+        .join(ranks(PROVIDER, "x"), PROVIDER).join(ranks(REWARD, "y"), REWARD)
     )
     w, x, y = F.col("w").cast("double"), F.col("x"), F.col("y")
     sums = ranked.agg(
@@ -126,17 +122,17 @@ def histogram_2d(rewards: DataFrame, provider_step: float, reward_step: float) -
 
 
 def top_mismatches(rewards: DataFrame, size: int = 10) -> DataFrame:
-    """Pairs of opposite sign with the largest product."""
-    a, b = F.col(PROVIDER), F.col(REWARD)
-    wrong = pairs(rewards).where((a != 0) & (b != 0) & (F.signum(a) != F.signum(b)))
-    product = F.abs(a) * F.abs(b)
+    """Pairs of opposite sign with the largest product of absolute values."""
+    product = F.col(PROVIDER) * F.col(REWARD)
     columns = ["game_id", "pa_seq", "inning", "half", "base_state", "score_diff_attacker", "pa_result", "runs_scored", PROVIDER, REWARD]
-    ranked = wrong.select(*columns, product.alias("abs_product"))
-    return ranked.orderBy(F.desc("abs_product"), "game_id", "pa_seq").limit(size)
+    ranked = pairs(rewards).select(*columns, F.when(product < 0, -product).alias("abs_product"))
+    top = ranked.orderBy(F.desc_nulls_last("abs_product"), "game_id", "pa_seq").limit(size)
+    return top.where(F.col("abs_product").isNotNull())
 
 
 def _flags(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(NONZERO_START,), (MANY_RUNS,), (NORMAL,)], "flag string")
+    names = F.array(F.lit(NONZERO_START), F.lit(MANY_RUNS), F.lit(NORMAL))
+    return spark.range(1).select(F.explode(names).alias("flag"))
 
 
 def flag_stats(rewards: DataFrame) -> DataFrame:

@@ -74,7 +74,7 @@ def pitch_view(spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT, width:
         lines, None if hot is None else hot.select("g"), "g", width,
         lambda rows, w: position(
             rows, "pitch_no",
-            Order(("l_orderkey",), LINE_ORDER, w, ("l_linenumber", "floor(l_partkey / 1000)", "floor(l_extendedprice / 100)")),
+            Order(("l_orderkey",), LINE_ORDER, w, ("l_linenumber", "floor(l_partkey / 100)")),
         ),
     ).select("l_orderkey", "l_quantity", "pitch_no")
     orders = plate_orders(spark, sf_dir)

@@ -13,6 +13,7 @@ from diamondlake.operators import conventions, features, profile, transitions, v
 from diamondlake.operators.columns import order_columns
 from diamondlake.operators.ordered import Order, position
 from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent_speed, aggregate_pa, assign_pa
+from diamondlake.operators.quantiles import describe
 from diamondlake.operators.reward import REWARD, add_reward
 from diamondlake.plans import pitch_view as view
 from diamondlake.plans import relay_view
@@ -95,8 +96,8 @@ def inning_cutoff(spark, d):
 def relay_explode(spark, d):
     kind = F.col("kind")
     return relay.options(documents(spark, d)).groupBy("game_id", "req_inning").agg(
-        F.count("*").alias("n_options"), F.count_if(kind == 8).alias("n_batter"),
-        F.count_if(kind == 1).alias("n_pitch"), F.count_if(kind.isin(13, 23)).alias("n_result"),
+        F.count("*").alias("n_options"), F.count_if(kind == relay.BATTER_EVENT).alias("n_batter"),
+        F.count_if(kind == relay.PITCH_EVENT).alias("n_pitch"), F.count_if(kind.isin(*relay.RESULT_EVENTS)).alias("n_result"),
         F.max("relay_pos").alias("last_relay"), F.max("opt_pos").alias("last_option"),
     )
 
@@ -338,12 +339,12 @@ def season_counts(spark, d):
 
 @query
 def wpa_describe(spark, d):
-    return validation.describe(clean(spark, d).select(REWARD), [], REWARD)
+    return describe(clean(spark, d).select(REWARD), [], REWARD)
 
 
 @query
 def provider_describe(spark, d):
-    return validation.describe(validation.pairs(rewards(spark, d)).select("reward_wpa"), [], "reward_wpa")
+    return describe(validation.pairs(rewards(spark, d)).select("reward_wpa"), [], "reward_wpa")
 
 
 @query
@@ -448,7 +449,7 @@ def unk_rate(spark, d):
 
 @query
 def pitches_per_pa(spark, d):
-    return validation.describe(clean(spark, d).select("pitches_per_pa"), [], "pitches_per_pa")
+    return describe(clean(spark, d).select("pitches_per_pa"), [], "pitches_per_pa")
 
 
 @query
@@ -463,7 +464,7 @@ def pitches_by_result(spark, d):
 
 @query
 def wpa_by_result_full(spark, d):
-    return validation.describe(clean(spark, d).select("pa_result", REWARD), ["pa_result"], REWARD)
+    return describe(clean(spark, d).select("pa_result", REWARD), ["pa_result"], REWARD)
 
 
 @query

@@ -1,7 +1,8 @@
 """Relay documents -> relays -> options -> pitch rows.
 
-The payload stays VARIANT until each field is read: key presence and the JSON
-type of a value both carry meaning, which a fixed struct would lose.
+The payload is parsed to VARIANT and read once, with one nested type. A field
+stays VARIANT in that type where more than its value matters: whether the key is
+there at all, whether it holds JSON null, or whether it is number or text.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diamondlake.functions.parsing import (
-    base_flag, hit_side, na_to_null, nullable_number, safe_number, score_difference, variant_is_text, variant_truthy,
+    base_flag, hit_side, na_to_null, nullable_number, safe_number, score_difference, variant_truthy,
 )
 from diamondlake.operators.columns import order_columns
 from diamondlake.operators.ordered import CHUNK_WIDTH, by_size, key_minimum
@@ -18,10 +19,24 @@ from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent
 from diamondlake.schemas import PITCH, PITCH_COLUMNS, RELAY_DOCUMENT
 
 # Event kinds in a relay.
-BATTER_EVENT, PITCH_EVENT, RESULT_EVENTS = 8, 1, (13, 23)
+BATTER_EVENT, PITCH_EVENT, RESULT_EVENTS = "8", "1", ("13", "23")
 LAST_INNING = 12
 RELAYS_PATH = "$.result.textRelayData.textRelays"
 
+RECORD_TYPE = "struct<todayHra: variant, seasonHra: string, vsHra: string, hitType: string>"
+STATE_TYPE = (
+    "struct<pitcher: variant, batter: variant, homeScore: string, awayScore: string, out: variant, ball: variant,"
+    " strike: variant, base1: string, base2: string, base3: string>"
+)
+OPTION_TYPE = (
+    "struct<type: variant, text: string, speed: string, stuff: string, pitchResult: variant,"
+    f" batterRecord: {RECORD_TYPE}, currentGameState: {STATE_TYPE}>"
+)
+RELAY_TYPE = (
+    "struct<homeOrAway: variant, inn: variant, metricOption: struct<wpaByPlate: double>,"
+    f" textOptions: array<{OPTION_TYPE}>>"
+)
+
 
 def read_relay_documents(spark: SparkSession, path: str) -> DataFrame:
     """Landed documents, one JSON object per line: game_id, req_inning, payload text."""
@@ -38,24 +53,25 @@ def read_relay_folder(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _text(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "string")
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
 
 def _kind(option: Column) -> Column:
-    """Event kind as a number; a kind written as text is no kind."""
-    kind = F.variant_get(option, "$.type", "variant")
-    return F.when(~variant_is_text(kind), F.try_variant_get(kind, "$", "int"))
+    """Event kind as JSON text, so that a kind written as text is none of the known ones."""
+    return F.to_json(option["type"])
 
 
-def _array(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "array<variant>")
+def _or_default(value: Column, known: Column, default: Column) -> Column:
+    """The default only for an absent key; JSON null is a value of its own."""
+    return F.when(value.isNull(), default).otherwise(known)
 
 
 def relays(documents: DataFrame) -> DataFrame:
     """One row per relay with its place; a document without relays keeps one empty row."""
     parsed = documents.where(F.col("req_inning").between(1, LAST_INNING)).select(
-        "game_id", "req_inning", _array(F.try_parse_json("payload"), RELAYS_PATH).alias("list")
+        "game_id", "req_inning",
+        F.try_variant_get(F.try_parse_json("payload"), RELAYS_PATH, f"array<{RELAY_TYPE}>").alias("list"),
     )
     return parsed.select(
         "game_id", "req_inning", F.posexplode_outer("list").alias("relay_pos", "relay")
@@ -88,36 +104,11 @@ def kept_innings(documents: DataFrame) -> DataFrame:
     return cut_after_end(sizes).drop("stop")
 
 
-def _relay_fields(found: DataFrame) -> DataFrame:
-    relay = F.col("relay")
-    fields = found.withColumns(
-        {
-            "code_text": F.when(
-                F.variant_get(relay, "$.homeOrAway", "variant").isNull(), "0"
-            ).otherwise(F.coalesce(_text(relay, "$.homeOrAway"), F.lit("None"))),
-            "inning": F.when(
-                F.variant_get(relay, "$.inn", "variant").isNull(), F.col("req_inning")
-            ).otherwise(F.try_variant_get(relay, "$.inn", "int")),
-            "reward_wpa": F.try_variant_get(relay, "$.metricOption.wpaByPlate", "double"),
-            "options": _array(relay, "$.textOptions"),
-        }
-    )
-    batter = F.filter("options", lambda o: _kind(o) == BATTER_EVENT)
-    result = F.filter("options", lambda o: _kind(o).isin(*RESULT_EVENTS))
-    return fields.withColumns(
-        {
-            "record": F.variant_get(F.get(batter, F.lit(0)), "$.batterRecord", "variant"),
-            "relay_text": F.coalesce(_text(F.get(result, F.lit(0)), "$.text"), F.lit("")),
-        }
-    )
-
-
 def options(documents: DataFrame) -> DataFrame:
     """One row per option of a relay, with both places."""
     found = relays(documents).where(F.col("relay").isNotNull())
     return found.select(
-        "game_id", "req_inning", "relay_pos",
-        F.posexplode(_array(F.col("relay"), "$.textOptions")).alias("opt_pos", "option"),
+        "game_id", "req_inning", "relay_pos", F.posexplode("relay.textOptions").alias("opt_pos", "option")
     ).withColumn("kind", _kind(F.col("option")))
 
 
@@ -134,47 +125,56 @@ def sequence_number() -> Column:
 
 def raw_pitches(documents: DataFrame) -> DataFrame:
     """Pitch rows before counters, plus one marker row per empty document (``seq`` NULL)."""
-    relay = _relay_fields(relays(documents)).withColumn("stop", stop_inning())
-    carried = ["game_id", "req_inning", "relay_pos", "stop", "code_text", "inning", "reward_wpa", "record", "relay_text"]
+    code, inn = F.col("relay.homeOrAway"), F.col("relay.inn")
+    listed = F.col("relay.textOptions")
+    batter = F.get(F.filter(listed, lambda o: _kind(o) == BATTER_EVENT), F.lit(0))
+    result = F.get(F.filter(listed, lambda o: _kind(o).isin(*RESULT_EVENTS)), F.lit(0))
     # Only pitches are exploded; places are kept from the full list.
-    numbered = F.transform("options", lambda o, i: F.struct(i.alias("opt_pos"), o.alias("option")))
-    pitches = F.filter(
-        numbered,
-        lambda e: (_kind(e["option"]) == PITCH_EVENT)
-        & F.variant_get(e["option"], "$.pitchResult", "variant").isNotNull(),
+    numbered = F.transform(listed, lambda o, i: F.struct(i.alias("opt_pos"), o.alias("option")))
+    thrown = F.filter(
+        numbered, lambda e: e["option"]["pitchResult"].isNotNull() & (_kind(e["option"]) == PITCH_EVENT)
+    )
+    # Relay fields first, so that they are computed once and no relay is copied per pitch.
+    fields = relays(documents).select(
+        "game_id", "req_inning", "relay_pos", stop_inning().alias("stop"),
+        _or_default(code, F.coalesce(_text(code), F.lit("None")), F.lit("0")).alias("code_text"),
+        _or_default(inn, F.try_variant_get(inn, "$", "int"), F.col("req_inning")).alias("inning"),
+        F.col("relay.metricOption.wpaByPlate").alias("reward_wpa"),
+        batter["batterRecord"].alias("record"),
+        F.coalesce(result["text"], F.lit("")).alias("relay_text"),
+        thrown.alias("thrown"),
     )
-    events = relay.select(*carried, F.explode_outer(pitches).alias("event"))
+    events = fields.select(*[c for c in fields.columns if c != "thrown"], F.explode_outer("thrown").alias("event"))
     events = events.where(F.col("event").isNotNull() | F.col("stop").isNotNull())
-    events = events.withColumns({"opt_pos": F.col("event")["opt_pos"], "option": F.col("event")["option"]})
-    option, record = F.col("option"), F.col("record")
-    state = F.variant_get(option, "$.currentGameState", "variant")
+    events = events.withColumns({"opt_pos": F.col("event.opt_pos"), "option": F.col("event.option")})
 
     def count_of(name: str) -> Column:
-        absent = F.variant_get(state, f"$.{name}", "variant").isNull()
-        return F.when(absent, F.lit(0)).otherwise(F.try_variant_get(state, f"$.{name}", "int"))
+        value = F.col(f"option.currentGameState.{name}")
+        return _or_default(value, F.try_variant_get(value, "$", "int"), F.lit(0))
 
     def id_of(name: str) -> Column:
-        absent = F.variant_get(state, f"$.{name}", "variant").isNull()
-        return F.when(absent, F.lit("")).otherwise(F.coalesce(_text(state, f"$.{name}"), F.lit("None")))
+        value = F.col(f"option.currentGameState.{name}")
+        return _or_default(value, F.coalesce(_text(value), F.lit("None")), F.lit(""))
 
-    today = F.variant_get(record, "$.todayHra", "variant")
-    recent = F.when(variant_truthy(today), _text(today, "$")).otherwise(_text(record, "$.seasonHra"))
+    today = F.col("record.todayHra")
+    recent = F.when(variant_truthy(today), _text(today)).otherwise(F.col("record.seasonHra"))
+    state = "option.currentGameState"
     return events.select(
         "game_id", "req_inning", "stop", "inning",
         F.col("code_text").try_cast("int").alias("home_or_away"),
-        score_difference(_text(state, "$.homeScore"), _text(state, "$.awayScore")).alias("score_diff"),
+        score_difference(F.col(f"{state}.homeScore"), F.col(f"{state}.awayScore")).alias("score_diff"),
         count_of("out").alias("out_count"),
         count_of("ball").alias("ball_count_B"),
         count_of("strike").alias("ball_count_S"),
-        *[base_flag(_text(state, f"$.base{n}")).alias(f"is_base{n}") for n in (1, 2, 3)],
+        *[base_flag(F.col(f"{state}.base{n}")).alias(f"is_base{n}") for n in (1, 2, 3)],
         id_of("pitcher").alias("pitcher_text"),
         id_of("batter").alias("batter_text"),
-        hit_side(_text(record, "$.hitType")).alias("batter_hit_type"),
-        safe_number(_text(record, "$.vsHra")).alias("pitcher_vs_batter_avg"),
+        hit_side(F.col("record.hitType")).alias("batter_hit_type"),
+        safe_number(F.col("record.vsHra")).alias("pitcher_vs_batter_avg"),
         safe_number(recent).alias("batter_recent_avg"),
-        nullable_number(_text(option, "$.speed")).alias("pitch_speed"),
-        na_to_null(_text(option, "$.stuff")).alias("pitch_type"),
-        na_to_null(_text(option, "$.pitchResult")).alias("pitch_result"),
+        nullable_number(F.col("option.speed")).alias("pitch_speed"),
+        na_to_null(F.col("option.stuff")).alias("pitch_type"),
+        na_to_null(_text(F.col("option.pitchResult"))).alias("pitch_result"),
         na_to_null(F.col("relay_text")).alias("relay_text"),
         "reward_wpa",
         F.when(F.col("opt_pos").isNotNull(), sequence_number()).alias("seq"),
