@@ -15,7 +15,7 @@ from importlib import resources
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from diamondlake.functions.state import BOTTOM, SCORE_LIMIT, TOP, clip_score
+from diamondlake.functions.state import BOTTOM, SCORE_LIMIT, TOP, clamp, clip_score
 
 # Base states in table order.
 BASE_STATES = ["0", "1", "2", "3", "12", "13", "23", "123"]
@@ -102,10 +102,10 @@ def win_expectancy(
     """Win probability of the batting team.
 
     Constant up to inning 3 and from inning 7, linear in between; the score is
-    clipped to +-4. Unknown half or base gives NULL. Each input occurs once in
-    the expression, which keeps generated code small where lookups are nested.
+    clipped to +-4. An unknown part of the state gives NULL. Each input occurs
+    once or twice, which keeps generated code small where lookups are nested.
     """
-    step = F.greatest(F.lit(ANCHOR_LOW), F.least(F.lit(ANCHOR_HIGH), inning)) - ANCHOR_LOW
+    step = clamp(inning, ANCHOR_LOW, ANCHOR_HIGH) - ANCHOR_LOW
     place = (step * (len(HALVES) + 1) + _slot(HALVES, half)) * (len(BASE_STATES) + 1) + _slot(BASE_STATES, base)
     index = place * (2 * SCORE_LIMIT + 1) + clip_score(score) + SCORE_LIMIT
     return F.get(F.expr(_win_array(table)), index.cast("int"))

@@ -32,8 +32,13 @@ def base_digits(base1: Column, base2: Column, base3: Column) -> Column:
     return F.concat(*[flag.cast("string") for flag in (base1, base2, base3)])
 
 
+def clamp(value: Column, low: int, high: int) -> Column:
+    """Value kept inside low..high; NULL stays NULL (least and greatest alone would skip it)."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+
+
 def clip_score(score: Column, limit: int = SCORE_LIMIT) -> Column:
-    return F.greatest(F.lit(-limit), F.least(F.lit(limit), score))
+    return clamp(score, -limit, limit)
 
 
 def half_number(inning: Column, code: Column) -> Column:

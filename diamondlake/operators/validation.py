@@ -76,7 +76,9 @@ def sign_match(rewards: DataFrame) -> DataFrame:
 
 
 def _with_t(r: Column, n: Column) -> Column:
-    return r * F.sqrt((n - 2) / (1 - r * r))
+    """Test statistic of a correlation; infinite for a perfect one, NULL below three rows."""
+    finite = r * F.sqrt((n - 2) / (1 - r * r))
+    return F.when(n > 2, F.when(r * r < 1, finite).otherwise(F.signum(r) * float("inf")))
 
 
 def pearson(rewards: DataFrame) -> DataFrame:
