@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Pattern -> label, first match wins, no match -> UNK.
+# Words (separated by |) -> label, first match wins, no match -> UNK.
 RESULT_PATTERNS = [
     ("홈런", "HR"),
     ("3루타", "3B"),
@@ -38,10 +40,14 @@ RUN_NUMBER_PATTERN = r"(\d+)점"
 
 
 def classify_result(text: Column) -> Column:
-    """Label of a plate appearance. Blank text matches no pattern, so it is UNK too."""
+    """Label of a plate appearance. Blank text holds no word, so it is UNK too.
+
+    The patterns are plain words, for which a substring test replaces a regex.
+    """
     out = F.lit(UNKNOWN)
     for pattern, label in reversed(RESULT_PATTERNS):
-        out = F.when(text.rlike(pattern), F.lit(label)).otherwise(out)
+        found = reduce(Column.__or__, [F.contains(text, F.lit(word)) for word in pattern.split("|")])
+        out = F.when(found, F.lit(label)).otherwise(out)
     return out
 
 

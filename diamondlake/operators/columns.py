@@ -25,3 +25,11 @@ def order_columns(df: DataFrame, first: Sequence[str]) -> DataFrame:
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole as DOUBLE, NULL when the whole is 0."""
     return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
+def percent_of_total(counted: DataFrame, out: str) -> DataFrame:
+    """Percent of ``n`` in the sum over all (grouped) rows, which is one row and broadcast."""
+    one = F.lit(1)
+    total = counted.agg(F.sum("n").alias("__total")).withColumn("__one", one)
+    both = counted.withColumn("__one", one).join(F.broadcast(total), "__one")
+    return both.select(*counted.columns, (ratio(F.col("n"), F.col("__total")) * 100).alias(out))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.functions.state import base_digits
-from diamondlake.operators.columns import ratio
+from diamondlake.operators.columns import percent_of_total
 from diamondlake.operators.ordered import CHUNK_WIDTH, Order, by_size, neighbour
 
 HALF = ["game_id", "inning", "home_or_away"]
@@ -99,12 +99,8 @@ def nonzero_openings(pa: DataFrame, size: int = 10) -> DataFrame:
 
 
 def half_code_share(pa: DataFrame) -> DataFrame:
-    """Rows and percent per half code. The total comes from the few grouped rows."""
-    counted = pa.groupBy("home_or_away").agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n").alias("total"))
-    one = F.lit(1)
-    both = counted.withColumn("__one", one).join(F.broadcast(total.withColumn("__one", one)), "__one")
-    return both.select("home_or_away", "n", (ratio(F.col("n"), F.col("total")) * 100).alias("pct"))
+    """Rows and percent per half code."""
+    return percent_of_total(pa.groupBy("home_or_away").agg(F.count("*").alias("n")), "pct")
 
 
 def half_order_check(pa: DataFrame) -> DataFrame:

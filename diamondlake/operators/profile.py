@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from diamondlake.functions.state import clip_score
-from diamondlake.operators.columns import ratio
+from diamondlake.operators.columns import percent_of_total, ratio
 from diamondlake.operators.quantiles import describe
 from diamondlake.operators.reward import REWARD
 
@@ -33,7 +33,7 @@ def _share(counted: DataFrame, within: list[str], out: str) -> DataFrame:
 
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
-    return _share(df.groupBy(value).agg(F.count("*").alias("n")), [], "pct")
+    return percent_of_total(df.groupBy(value).agg(F.count("*").alias("n")), "pct")
 
 
 def unknown_rate(pa: DataFrame) -> DataFrame:

@@ -112,7 +112,12 @@ def _relay() -> Column:
 
 def relay_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(game_id, req_inning, payload): one document per game and inning, some empty, some missing."""
-    relays = relay_orders(spark, sf_dir).withColumn("entry", F.struct("code", (-F.col("p")).alias("back"), _relay().alias("json")))
+    # Spread the narrow rows first: the JSON is built after the exchange and never moved.
+    # The number is given, since the rows grow a hundredfold after the exchange and
+    # the adaptive planner would fold partitions by their size before it.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = relay_orders(spark, sf_dir).repartition(parts, "g", "game_id", "inning")
+    relays = spread.withColumn("entry", F.struct("code", (-F.col("p")).alias("back"), _relay().alias("json")))
     gathered = relays.groupBy("g", "game_id", "inning").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     listed = F.array_join(F.transform("entries", lambda e: e["json"]), ",")
     payload = (
