@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.state import base_digits
 from diamondlake.operators.columns import percent_of_total
-from diamondlake.operators.ordered import CHUNK_WIDTH, Order, by_size, neighbour
+from diamondlake.operators.ordered import Order, neighbour
 
 HALF = ["game_id", "inning", "home_or_away"]
 
@@ -35,15 +35,11 @@ def game_head_tail(pa: DataFrame, size: int = 30) -> DataFrame:
     return head.unionByName(tail).distinct()
 
 
-def half_moves(pa: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH) -> DataFrame:
+def half_moves(pa: DataFrame, width: int | None = None) -> DataFrame:
     """Per half: did the score ever rise, did it ever fall."""
-
-    def run(rows: DataFrame, w: int | None) -> DataFrame:
-        order = Order(("game_id",), ("inning", "home_or_away", "pa_seq"), w)
-        names = {"__inning": "inning", "__code": "home_or_away", "__score": "score_diff"}
-        return neighbour(rows, names, order, -1)
-
-    rows = by_size(pa.select(*HALF, "pa_seq", "score_diff"), hot, "game_id", width, run)
+    order = Order(("game_id",), ("inning", "home_or_away", "pa_seq"), width)
+    names = {"__inning": "inning", "__code": "home_or_away", "__score": "score_diff"}
+    rows = neighbour(pa.select(*HALF, "pa_seq", "score_diff"), names, order, -1)
     same = (F.col("__inning") == F.col("inning")) & (F.col("__code") == F.col("home_or_away"))
     step = F.when(same, F.col("score_diff") - F.col("__score"))
     moved = rows.withColumn("step", step).groupBy(*HALF).agg(

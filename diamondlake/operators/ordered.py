@@ -10,7 +10,9 @@ Every function here has two plans with the same result:
   it. No task ever holds a whole key, however large the key is.
 
 ``find_hot`` decides which keys need the second plan and ``by_size`` applies it
-to those keys only.
+to those keys only. Split once, around a whole chain of steps: inside, every step
+takes the same ``width``. A step of the second plan reads its input twice, hence
+it first writes it to the checkpoint folder, which keeps long chains linear.
 """
 
 from __future__ import annotations
@@ -64,11 +66,20 @@ def by_size(
     df: DataFrame, hot: DataFrame | None, key: str, width: int, run: Callable[[DataFrame, int | None], DataFrame]
 ) -> DataFrame:
     """Apply ``run(rows, None)`` to ordinary keys and ``run(rows, width)`` to hot ones."""
+    return union([run(rows, w) for rows, w in branches(df, hot, key, width)])
+
+
+def branches(
+    df: DataFrame, hot: DataFrame | None, key: str, width: int = CHUNK_WIDTH
+) -> list[tuple[DataFrame, int | None]]:
+    """Rows of ordinary keys, and those of hot keys with the chunk width to use."""
     if hot is None:
-        return run(df, None)
-    normal = df.join(hot, key, "left_anti")
-    large = df.join(hot, key, "left_semi")
-    return run(normal, None).unionByName(run(large, width))
+        return [(df, None)]
+    return [(df.join(hot, key, "left_anti"), None), (df.join(hot, key, "left_semi"), width)]
+
+
+def union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def running(df: DataFrame, out: str, value: Column, order: Order, kind: str = "sum") -> DataFrame:
@@ -79,7 +90,7 @@ def running(df: DataFrame, out: str, value: Column, order: Order, kind: str = "s
         window = Window.partitionBy(*order.keys).orderBy(*order.by).rowsBetween(*to_here)
         return df.withColumn(out, combine(value).over(window))
     chunks = order.chunk_columns()
-    rows = df.withColumns(chunks).withColumn("__value", value)
+    rows = materialize(df.withColumns(chunks).withColumn("__value", value))
     window = Window.partitionBy(*order.keys, *chunks).orderBy(*order.by).rowsBetween(*to_here)
     local = rows.withColumn("__local", combine("__value").over(window))
     totals = rows.groupBy(*order.keys, *chunks).agg(combine("__value").alias("__total"))
@@ -106,7 +117,7 @@ def neighbour(df: DataFrame, columns: dict[str, str], order: Order, step: int) -
         return df.withColumns({out: shift(source).over(window) for out, source in columns.items()})
     chunks = order.chunk_columns()
     row = F.struct(*[F.col(source).alias(out) for out, source in columns.items()])
-    rows = df.withColumns(chunks).withColumn("__row", row)
+    rows = materialize(df.withColumns(chunks).withColumn("__row", row))
     window = Window.partitionBy(*order.keys, *chunks).orderBy(*order.by)
     local = rows.withColumn("__local", shift("__row").over(window))
     edge = (F.max_by if step < 0 else F.min_by)(F.col("__row"), F.struct(*order.by))
@@ -142,6 +153,7 @@ def key_minimum(df: DataFrame, out: str, value: Column, keys: Sequence[str], wid
     """Smallest value of the key on each of its rows."""
     if width is None:
         return df.withColumn(out, F.min(value).over(Window.partitionBy(*keys)))
+    df = materialize(df)
     least = df.groupBy(*keys).agg(F.min(value).alias(out))
     return df.join(least, list(keys), "left")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.functions.labels import LABEL_ORDER, classify_result, label_rank
-from diamondlake.operators.ordered import CHUNK_WIDTH, Order, by_size, neighbour, position, rolling_mean, running
+from diamondlake.operators.ordered import Order, neighbour, position, rolling_mean, running
 
 PA_KEY = ("inning", "pitcher_id", "batter_id")
 
@@ -19,58 +19,44 @@ FIRST_COLUMNS = [
 LAST_COLUMNS = ["pa_result", "reward_wpa"]
 
 
-def assign_pa(pitches: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH) -> DataFrame:
+def assign_pa(pitches: DataFrame, width: int | None = None) -> DataFrame:
     """Number plate appearances inside each game as ``pa_seq``.
 
     A new one starts when inning, pitcher or batter differs from the previous
     pitch. An unknown value differs from everything, another unknown included.
     """
+    order = Order(("game_id",), ("seq",), width)
+    shifted = neighbour(pitches, {f"__prev_{c}": c for c in PA_KEY}, order, -1)
+    changed = F.lit(False)
+    for c in PA_KEY:
+        changed = changed | (F.col(c) != F.col(f"__prev_{c}"))
+    starts = shifted.withColumn("__starts", F.coalesce(changed, F.lit(True)).cast("bigint"))
+    numbered = running(starts, "pa_seq", F.col("__starts"), order)
+    return numbered.drop("__starts", *[f"__prev_{c}" for c in PA_KEY])
 
-    def run(rows: DataFrame, w: int | None) -> DataFrame:
-        order = Order(("game_id",), ("seq",), w)
-        shifted = neighbour(rows, {f"__prev_{c}": c for c in PA_KEY}, order, -1)
-        changed = F.lit(False)
-        for c in PA_KEY:
-            changed = changed | (F.col(c) != F.col(f"__prev_{c}"))
-        starts = shifted.withColumn("__starts", F.coalesce(changed, F.lit(True)).cast("bigint"))
-        numbered = running(starts, "pa_seq", F.col("__starts"), order)
-        return numbered.drop("__starts", *[f"__prev_{c}" for c in PA_KEY])
 
-    return by_size(pitches, hot, "game_id", width, run)
-
-
-def add_pitch_counts(
-    pitches: DataFrame, hot: DataFrame | None = None, pitcher: str = "pitcher_id", width: int = CHUNK_WIDTH
-) -> DataFrame:
+def add_pitch_counts(pitches: DataFrame, pitcher: str = "pitcher_id", width: int | None = None) -> DataFrame:
     """Pitch number of the pitcher in the game and since the pitcher's last change of inning."""
-
-    def run(rows: DataFrame, w: int | None) -> DataFrame:
-        order = Order(("game_id", pitcher), ("seq",), w)
-        counted = position(rows, "__count", order)
-        shifted = neighbour(counted, {"__prev_inning": "inning"}, order, -1)
-        begin = F.when(F.coalesce(F.col("inning") != F.col("__prev_inning"), F.lit(True)), F.col("__count"))
-        begun = running(shifted.withColumn("__begin", begin), "__since", F.col("__begin"), order, "max")
-        return begun.withColumns(
-            {
-                "total_pitch_count": F.col("__count").cast("int"),
-                "inning_pitch_count": (F.col("__count") - F.col("__since") + 1).cast("int"),
-            }
-        ).drop("__count", "__prev_inning", "__begin", "__since")
-
-    return by_size(pitches, hot, "game_id", width, run)
+    order = Order(("game_id", pitcher), ("seq",), width)
+    counted = position(pitches, "__count", order)
+    shifted = neighbour(counted, {"__prev_inning": "inning"}, order, -1)
+    begin = F.when(F.coalesce(F.col("inning") != F.col("__prev_inning"), F.lit(True)), F.col("__count"))
+    begun = running(shifted.withColumn("__begin", begin), "__since", F.col("__begin"), order, "max")
+    return begun.withColumns(
+        {
+            "total_pitch_count": F.col("__count").cast("int"),
+            "inning_pitch_count": (F.col("__count") - F.col("__since") + 1).cast("int"),
+        }
+    ).drop("__count", "__prev_inning", "__begin", "__since")
 
 
 def add_recent_speed(
-    pitches: DataFrame, hot: DataFrame | None = None, pitcher: str = "pitcher_id", width: int = CHUNK_WIDTH, size: int = 5
+    pitches: DataFrame, pitcher: str = "pitcher_id", width: int | None = None, size: int = 5
 ) -> DataFrame:
     """Mean speed of the pitcher's last five known pitches, half-even to two digits."""
-
-    def run(rows: DataFrame, w: int | None) -> DataFrame:
-        order = Order(("game_id", pitcher), ("seq",), w)
-        meaned = rolling_mean(rows, "__mean", "pitch_speed", order, size)
-        return meaned.withColumn("recent_5_pitch_speed_avg", F.bround("__mean", 2)).drop("__mean")
-
-    return by_size(pitches, hot, "game_id", width, run)
+    order = Order(("game_id", pitcher), ("seq",), width)
+    meaned = rolling_mean(pitches, "__mean", "pitch_speed", order, size)
+    return meaned.withColumn("recent_5_pitch_speed_avg", F.bround("__mean", 2)).drop("__mean")
 
 
 def _known(value: Column, pick, alias: str) -> Column:
@@ -103,6 +89,6 @@ def aggregate_pa(pitches: DataFrame) -> DataFrame:
     return folded.withColumns(decoded)
 
 
-def plate_appearances(pitches: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH) -> DataFrame:
+def plate_appearances(pitches: DataFrame, width: int | None = None) -> DataFrame:
     """Pitches with counters -> plate appearances."""
-    return aggregate_pa(assign_pa(pitches, hot, width))
+    return aggregate_pa(assign_pa(pitches, width))

@@ -9,7 +9,7 @@ from diamondlake.functions.expectancy import WinTable, state_after, win_expectan
 from diamondlake.functions.labels import CERTAIN_ZERO_LABELS, fallback_runs
 from diamondlake.functions.state import attacker_score, base_state, half_number, half_of
 from diamondlake.operators.columns import ratio, require_columns
-from diamondlake.operators.ordered import CHUNK_WIDTH, Order, by_size, neighbour
+from diamondlake.operators.ordered import Order, neighbour
 
 NONZERO_START = "inning1_nonzero_start"
 MANY_RUNS = "high_runs_scored_artifact"
@@ -48,7 +48,7 @@ def _in_same_half(inning: str, code: str) -> Column:
     return F.coalesce((F.col(inning) == F.col("inning")) & (F.col(code) == F.col("home_or_away")), F.lit(False))
 
 
-def add_neighbours(states: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH) -> DataFrame:
+def add_neighbours(states: DataFrame, width: int | None = None) -> DataFrame:
     """State of the next plate appearance, and whether this one opens or ends its half.
 
     Ordered by inning, half and pa_seq, the row after the last one of a half is
@@ -56,13 +56,9 @@ def add_neighbours(states: DataFrame, hot: DataFrame | None = None, width: int =
     yields the next state inside a half and the opening score of the following
     half; ``follows`` tells when that half directly follows.
     """
-
-    def run(rows: DataFrame, w: int | None) -> DataFrame:
-        order = Order(("game_id",), ("inning", "home_or_away", "pa_seq"), w)
-        after = neighbour(rows, NEXT, order, 1)
-        return neighbour(after, {"prev_inning": "inning", "prev_code": "home_or_away"}, order, -1)
-
-    both = by_size(states, hot, "game_id", width, run)
+    order = Order(("game_id",), ("inning", "home_or_away", "pa_seq"), width)
+    after = neighbour(states, NEXT, order, 1)
+    both = neighbour(after, {"prev_inning": "inning", "prev_code": "home_or_away"}, order, -1)
     here = half_number(F.col("inning"), F.col("home_or_away"))
     there = half_number(F.col("next_inning"), F.col("next_code"))
     return both.withColumns(
@@ -104,21 +100,16 @@ def quality_flag() -> Column:
     )
 
 
-def link_transitions(
-    pa: DataFrame, hot: DataFrame | None = None, table: WinTable | None = None, width: int = CHUNK_WIDTH
-) -> DataFrame:
+def link_transitions(pa: DataFrame, table: WinTable | None = None, width: int | None = None) -> DataFrame:
     """State columns with the working columns (next state, opened, guessed) kept."""
     require_columns(pa, NEEDED)
-    linked = add_neighbours(add_before_state(pa, table), hot, width)
+    linked = add_neighbours(add_before_state(pa, table), width)
     return add_after_state(add_runs(linked), table).withColumn("data_quality_flag", quality_flag())
 
 
-def transitions(
-    pa: DataFrame, hot: DataFrame | None = None, table: WinTable | None = None, width: int = CHUNK_WIDTH
-) -> DataFrame:
+def transitions(pa: DataFrame, table: WinTable | None = None, width: int | None = None) -> DataFrame:
     """Plate appearances plus base_state, half, score, runs, win expectancy and flag."""
-    full = link_transitions(pa, hot, table, width)
-    return full.drop(*WORKING)
+    return link_transitions(pa, table, width).drop(*WORKING)
 
 
 def fallback_rate(linked: DataFrame) -> DataFrame:

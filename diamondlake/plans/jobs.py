@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from diamondlake.operators.features import training_set
 from diamondlake.operators.materialize import materialize
-from diamondlake.operators.ordered import HOT_LIMIT, find_hot
+from diamondlake.operators.ordered import CHUNK_WIDTH, HOT_LIMIT, by_size, find_hot
 from diamondlake.operators.plate_appearances import plate_appearances
 from diamondlake.operators.reward import add_reward, check_reward
 from diamondlake.operators.transitions import transitions
 from diamondlake.operators.validation import report
 from diamondlake.schemas import PITCH
 from diamondlake.sources.layers import read_layer, write_layer
-from diamondlake.sources.relay import parse_pitches, pitch_rows, read_relay_documents, rejected_rows
+from diamondlake.sources.relay import SEQ_WIDTH, parse_pitches, pitch_rows, read_relay_documents, rejected_rows
 from diamondlake.sources.schedule import not_done, only_listed
 
 
@@ -58,18 +58,21 @@ def collect_pitches(
     wanted = documents if ids is None else only_listed(documents, ids)
     wanted = wanted if done is None else not_done(wanted, done)
     hot = hot_documents(wanted, limit)
-    write_layer(parse_pitches(wanted, hot), layers.path("pitches"), "append")
-    write_layer(rejected_rows(pitch_rows(wanted, hot)), layers.path("rejects"), "append")
+    write_layer(by_size(wanted, hot, "game_id", SEQ_WIDTH, parse_pitches), layers.path("pitches"), "append")
+    rejects = by_size(wanted, hot, "game_id", SEQ_WIDTH, lambda rows, w: rejected_rows(pitch_rows(rows, w)))
+    write_layer(rejects, layers.path("rejects"), "append")
 
 
 def build_plate_appearances(spark: SparkSession, layers: Layers, limit: int = HOT_LIMIT) -> None:
     pitches = read_layer(spark, layers.path("pitches")).select(*PITCH.names)
-    write_layer(plate_appearances(pitches, _hot_games(pitches, limit)), layers.path("plate_appearances"))
+    hot = _hot_games(pitches, limit)
+    write_layer(by_size(pitches, hot, "game_id", SEQ_WIDTH, plate_appearances), layers.path("plate_appearances"))
 
 
 def build_states(spark: SparkSession, layers: Layers, limit: int = HOT_LIMIT) -> None:
     pa = read_layer(spark, layers.path("plate_appearances")).drop("season")
-    write_layer(transitions(pa, _hot_games(pa, limit)), layers.path("states"))
+    hot = _hot_games(pa, limit)
+    write_layer(by_size(pa, hot, "game_id", CHUNK_WIDTH, lambda rows, w: transitions(rows, width=w)), layers.path("states"))
 
 
 def build_rewards(spark: SparkSession, layers: Layers) -> int:

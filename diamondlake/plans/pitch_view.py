@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from diamondlake.operators.ordered import CHUNK_WIDTH, HOT_LIMIT, Order, by_size, find_hot, position
+from diamondlake.operators.ordered import CHUNK_WIDTH, HOT_LIMIT, Order, branches, find_hot, position, union
 
 ORDERS_PER_GAME = 72
 GAME_ID = (
@@ -67,16 +67,26 @@ def plate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pitch_view(spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT, width: int = CHUNK_WIDTH) -> DataFrame:
     """The pitch rows. ``seq`` orders them inside a game and is unique there."""
+    return union([rows for rows, _ in pitch_branches(spark, sf_dir, limit, width)])
+
+
+def pitch_branches(
+    spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT, width: int = CHUNK_WIDTH
+) -> list[tuple[DataFrame, int | None]]:
+    """The pitch rows of ordinary games and, when there are any, of large ones with their chunk width.
+
+    Split at the scan, so that a chain of steps runs once per branch.
+    """
     hot = hot_games(spark, sf_dir, limit)
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
     lines = lines.withColumn("g", F.expr(f"cast(floor(l_orderkey / {ORDERS_PER_GAME}) as bigint)"))
-    numbered = by_size(
-        lines, None if hot is None else hot.select("g"), "g", width,
-        lambda rows, w: position(
-            rows, "pitch_no",
-            Order(("l_orderkey",), LINE_ORDER, w, ("l_linenumber", "floor(l_partkey / 100)")),
-        ),
-    ).select("l_orderkey", "l_quantity", "pitch_no")
+    parts = branches(lines, None if hot is None else hot.select("g"), "g", width)
+    return [(_pitches(spark, sf_dir, rows, w), w) for rows, w in parts]
+
+
+def _pitches(spark: SparkSession, sf_dir: str, lines: DataFrame, width: int | None) -> DataFrame:
+    order = Order(("l_orderkey",), LINE_ORDER, width, ("l_linenumber", "floor(l_partkey / 100)"))
+    numbered = position(lines, "pitch_no", order).select("l_orderkey", "l_quantity", "pitch_no")
     orders = plate_orders(spark, sf_dir)
     return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey).selectExpr(
         f"{GAME_ID} as game_id",

@@ -12,7 +12,7 @@ from diamondlake.functions import expectancy, labels, parsing, state
 from diamondlake.operators import conventions, features, profile, transitions, validation
 from diamondlake.operators.columns import order_columns
 from diamondlake.operators.materialize import materialize
-from diamondlake.operators.ordered import Order, position
+from diamondlake.operators.ordered import Order, position, union
 from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent_speed, aggregate_pa, assign_pa
 from diamondlake.operators.quantiles import describe
 from diamondlake.operators.reward import REWARD, add_reward
@@ -48,22 +48,25 @@ def pitches(spark: SparkSession, d: str) -> DataFrame:
     return view.pitch_view(spark, d)
 
 
-def hot(spark: SparkSession, d: str) -> DataFrame | None:
-    games = view.hot_games(spark, d)
-    return None if games is None else games.select("game_id")
+def by_game_size(spark: SparkSession, d: str, run: Callable[[DataFrame, int | None], DataFrame]) -> DataFrame:
+    """A whole chain over the pitch rows, run apart for games too large for one task."""
+    return union([run(rows, width) for rows, width in view.pitch_branches(spark, d)])
+
+
+def _plate(rows: DataFrame, width: int | None) -> DataFrame:
+    return aggregate_pa(add_pitch_counts(assign_pa(rows, width), width=width))
 
 
 def plate(spark: SparkSession, d: str) -> DataFrame:
-    numbered = assign_pa(pitches(spark, d), hot(spark, d))
-    return aggregate_pa(add_pitch_counts(numbered, hot(spark, d)))
+    return by_game_size(spark, d, _plate)
 
 
 def linked(spark: SparkSession, d: str) -> DataFrame:
-    return transitions.link_transitions(plate(spark, d), hot(spark, d))
+    return by_game_size(spark, d, lambda rows, w: transitions.link_transitions(_plate(rows, w), width=w))
 
 
 def states(spark: SparkSession, d: str) -> DataFrame:
-    return transitions.transitions(plate(spark, d), hot(spark, d))
+    return by_game_size(spark, d, lambda rows, w: transitions.transitions(_plate(rows, w), width=w))
 
 
 def rewards(spark: SparkSession, d: str) -> DataFrame:
@@ -161,7 +164,7 @@ def month_windows(spark, d):
 
 @query
 def csv_roundtrip(spark, d):
-    counted = add_recent_speed(add_pitch_counts(pitches(spark, d), hot(spark, d)), hot(spark, d))
+    counted = by_game_size(spark, d, lambda rows, w: add_recent_speed(add_pitch_counts(rows, width=w), width=w))
     return layers.csv_round_trip(counted, PITCH)
 
 
@@ -197,18 +200,19 @@ def resume_anti(spark, d):
 
 @query
 def pa_seq(spark, d):
-    return assign_pa(pitches(spark, d), hot(spark, d)).select("game_id", "seq", "pa_seq")
+    return by_game_size(spark, d, assign_pa).select("game_id", "seq", "pa_seq")
 
 
 @query
 def pitch_counts(spark, d):
-    counted = add_pitch_counts(pitches(spark, d), hot(spark, d))
+    counted = by_game_size(spark, d, lambda rows, w: add_pitch_counts(rows, width=w))
     return counted.select("game_id", "seq", "total_pitch_count", "inning_pitch_count")
 
 
 @query
 def recent_speed_avg(spark, d):
-    return add_recent_speed(pitches(spark, d), hot(spark, d)).select("game_id", "seq", "recent_5_pitch_speed_avg")
+    meaned = by_game_size(spark, d, lambda rows, w: add_recent_speed(rows, width=w))
+    return meaned.select("game_id", "seq", "recent_5_pitch_speed_avg")
 
 
 @query
@@ -393,7 +397,7 @@ def wpa_report(spark, d):
 
 
 def _moves(spark: SparkSession, d: str) -> DataFrame:
-    return conventions.half_moves(plate(spark, d), hot(spark, d))
+    return by_game_size(spark, d, lambda rows, w: conventions.half_moves(_plate(rows, w), w))
 
 
 @query

@@ -14,7 +14,7 @@ from diamondlake.functions.parsing import (
     base_flag, hit_side, na_to_null, nullable_number, safe_number, score_difference, variant_truthy,
 )
 from diamondlake.operators.columns import order_columns
-from diamondlake.operators.ordered import CHUNK_WIDTH, by_size, key_minimum
+from diamondlake.operators.ordered import key_minimum
 from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent_speed
 from diamondlake.schemas import PITCH, PITCH_COLUMNS, RELAY_DOCUMENT
 
@@ -22,6 +22,9 @@ from diamondlake.schemas import PITCH, PITCH_COLUMNS, RELAY_DOCUMENT
 BATTER_EVENT, PITCH_EVENT, RESULT_EVENTS = "8", "1", ("13", "23")
 LAST_INNING = 12
 RELAYS_PATH = "$.result.textRelayData.textRelays"
+# Chunk of a large game in units of ``seq`` (see sequence_number): 8,192 relays of a half.
+SEQ_STEP = 1 << 20
+SEQ_WIDTH = 8192 * SEQ_STEP
 
 RECORD_TYPE = "struct<todayHra: variant, seasonHra: string, vsHra: string, hitType: string>"
 STATE_TYPE = (
@@ -83,15 +86,9 @@ def stop_inning() -> Column:
     return F.when(F.col("relay").isNull() & (F.col("req_inning") > 1), F.col("req_inning"))
 
 
-def cut_after_end(
-    rows: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH
-) -> DataFrame:
+def cut_after_end(rows: DataFrame, width: int | None = None) -> DataFrame:
     """Drop the first empty inning past inning 1 and every later one."""
-
-    def run(part: DataFrame, w: int | None) -> DataFrame:
-        return key_minimum(part, "__stop", F.col("stop"), ["game_id"], w)
-
-    marked = by_size(rows, hot, "game_id", width, run)
+    marked = key_minimum(rows, "__stop", F.col("stop"), ["game_id"], width)
     kept = marked.where(F.col("req_inning") < F.coalesce("__stop", F.lit(LAST_INNING + 1)))
     return kept.drop("__stop")
 
@@ -118,7 +115,7 @@ def sequence_number() -> Column:
     Requested inning, then half by its code text, then relays newest first,
     then options as delivered. No sort or counter over the game is needed.
     """
-    step = F.lit(1 << 20).cast("bigint")
+    step = F.lit(SEQ_STEP).cast("bigint")
     half = F.col("req_inning").cast("bigint") * 256 + F.least(F.ascii("code_text"), F.lit(255))
     return (half * step + (step - 1 - F.col("relay_pos"))) * step + F.col("opt_pos")
 
@@ -181,9 +178,9 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
     )
 
 
-def pitch_rows(documents: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH) -> DataFrame:
+def pitch_rows(documents: DataFrame, width: int | None = None) -> DataFrame:
     """Parsed pitches of all kept innings with pitcher and batter still as text."""
-    kept = cut_after_end(raw_pitches(documents), hot, width)
+    kept = cut_after_end(raw_pitches(documents), width)
     return kept.where(F.col("seq").isNotNull()).drop("stop", "req_inning")
 
 
@@ -192,15 +189,19 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("inning").isNull())
 
 
-def parse_pitches(documents: DataFrame, hot: DataFrame | None = None, width: int = CHUNK_WIDTH) -> DataFrame:
+def parse_pitches(documents: DataFrame, width: int | None = None) -> DataFrame:
     """Relay documents -> the 23-column pitch table plus ``seq``.
 
     Counters run on the id text, where an unknown pitcher is a group like any
     other; only then do the words for "missing" become NULL.
     """
-    rows = pitch_rows(documents, hot, width).where(F.col("inning").isNotNull())
-    counted = add_pitch_counts(rows, hot, "pitcher_text", width)
-    counted = add_recent_speed(counted, hot, "pitcher_text", width)
+    return finish_pitches(pitch_rows(documents, width), width)
+
+
+def finish_pitches(rows: DataFrame, width: int | None = None) -> DataFrame:
+    """Counters, typed ids and column order for parsed rows; unreadable innings are left out."""
+    counted = add_pitch_counts(rows.where(F.col("inning").isNotNull()), "pitcher_text", width)
+    counted = add_recent_speed(counted, "pitcher_text", width)
     ids = {f"{who}_id": na_to_null(F.col(f"{who}_text")).try_cast("bigint") for who in ("pitcher", "batter")}
     table = order_columns(counted.withColumns(ids).drop("pitcher_text", "batter_text"), PITCH_COLUMNS)
     return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PITCH.fields])

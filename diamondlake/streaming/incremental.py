@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from diamondlake.operators.ordered import by_size
 from diamondlake.plans.jobs import hot_documents
 from diamondlake.schemas import PITCH, RELAY_DOCUMENT
-from diamondlake.sources.relay import parse_pitches
+from diamondlake.sources.relay import SEQ_WIDTH, parse_pitches
 from diamondlake.sources.schedule import not_done
 
 
@@ -38,7 +39,8 @@ def store_batch(documents: DataFrame, batch: int, out: str) -> None:
     if batch > 0:
         documents = not_done(documents, games_before(spark, out, batch))
     documents = documents.dropDuplicates(["game_id", "req_inning"])
-    parse_pitches(documents, hot_documents(documents)).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    parsed = by_size(documents, hot_documents(documents), "game_id", SEQ_WIDTH, parse_pitches)
+    parsed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
 
 def start_pitch_stream(spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:

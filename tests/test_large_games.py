@@ -4,10 +4,10 @@ import pytest
 from compare import bag
 
 from diamondlake.operators import conventions, transitions
-from diamondlake.operators.ordered import Order, find_hot, key_minimum, neighbour, position, rolling_mean, running
+from diamondlake.operators.ordered import Order, by_size, find_hot, key_minimum, neighbour, position, rolling_mean, running
 from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent_speed, aggregate_pa, assign_pa
 from diamondlake.plans import pitch_view as view
-from diamondlake.plans import relay_view
+from diamondlake.plans import queries, relay_view
 from diamondlake.sources import relay
 from pyspark.sql import functions as F
 
@@ -41,28 +41,40 @@ def test_pitch_view(spark, small, pitches):
     same(view.pitch_view(spark, small, limit=250, width=WIDTH), pitches)
 
 
+def split(rows, hot, run, width=WIDTH):
+    return by_size(rows, hot, "game_id", width, run)
+
+
 def test_pa_seq(pitches, hot):
-    same(assign_pa(pitches, hot, WIDTH), assign_pa(pitches))
+    same(split(pitches, hot, assign_pa), assign_pa(pitches))
 
 
 def test_pitch_counts(pitches, hot):
-    same(add_pitch_counts(pitches, hot, width=WIDTH), add_pitch_counts(pitches))
+    same(split(pitches, hot, lambda rows, w: add_pitch_counts(rows, width=w)), add_pitch_counts(pitches))
 
 
 def test_recent_speed(pitches, hot):
-    same(add_recent_speed(pitches, hot, width=WIDTH), add_recent_speed(pitches))
+    same(split(pitches, hot, lambda rows, w: add_recent_speed(rows, width=w)), add_recent_speed(pitches))
 
 
 def test_transitions(pitches, hot):
     pa = aggregate_pa(add_pitch_counts(assign_pa(pitches))).cache()
-    same(transitions.link_transitions(pa, hot, width=3), transitions.link_transitions(pa))
-    same(conventions.half_moves(pa, hot, 3), conventions.half_moves(pa))
+    same(split(pa, hot, lambda rows, w: transitions.link_transitions(rows, width=w), 3), transitions.link_transitions(pa))
+    same(split(pa, hot, conventions.half_moves, 3), conventions.half_moves(pa))
+
+
+def test_whole_chain(spark, small, pitches, monkeypatch):
+    """Some games plain, some in chunks, from the scan to the reward."""
+    plain = queries.rewards(spark, small)
+    branches = view.pitch_branches(spark, small, 250, WIDTH)
+    assert [w for _, w in branches] == [None, WIDTH]
+    monkeypatch.setattr(view, "pitch_branches", lambda *_: branches)
+    same(queries.rewards(spark, small), plain)
 
 
 def test_relay_documents(spark, small):
     documents = relay_view.relay_documents(spark, small).cache()
-    games = documents.select("game_id").distinct()
-    same(relay.parse_pitches(documents, games, 1 << 21), relay.parse_pitches(documents))
+    same(relay.parse_pitches(documents, 2 * relay.SEQ_STEP), relay.parse_pitches(documents))
 
 
 @pytest.fixture(scope="module")
