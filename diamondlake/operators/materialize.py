@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and read it back wherever it is used again.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -21,4 +21,16 @@ def materialize(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="diamondlake-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once and read it back wherever it is used again.
+
+    Columnar files rather than a checkpointed plan: each later use reads only the
+    columns it needs, and the planner knows the size of what it reads.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
