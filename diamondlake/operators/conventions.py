@@ -10,6 +10,7 @@ from diamondlake.operators.columns import percent_of_total
 from diamondlake.operators.ordered import Order, neighbour
 
 HALF = ["game_id", "inning", "home_or_away"]
+MOVE_COLUMNS = [*HALF, "pa_seq", "score_diff", "pa_result"]
 
 
 def widest_game(pa: DataFrame) -> DataFrame:
@@ -73,8 +74,7 @@ def hypotheses(moves: DataFrame) -> DataFrame:
 def violation_sample(pa: DataFrame, moves: DataFrame, halves: int = 3) -> DataFrame:
     """Rows of the first few halves in which the score fell."""
     first = moves.where("any_down").select(*HALF).orderBy(*HALF).limit(halves)
-    rows = pa.select(*HALF, "pa_seq", "score_diff", "pa_result")
-    return rows.join(F.broadcast(first), HALF, "left_semi")  # `halves` rows at most
+    return pa.select(*MOVE_COLUMNS).join(F.broadcast(first), HALF, "left_semi")  # `halves` rows at most
 
 
 def opening_plate_appearances(pa: DataFrame) -> DataFrame:

@@ -407,7 +407,7 @@ def widest_game(spark, d):
 
 @query
 def game_head_tail(spark, d):
-    return conventions.game_head_tail(plate(spark, d))
+    return conventions.game_head_tail(materialize(plate(spark, d)))  # read three times
 
 
 @query
@@ -417,7 +417,9 @@ def convention_hypotheses(spark, d):
 
 @query
 def violation_sample(spark, d):
-    return conventions.violation_sample(plate(spark, d), _moves(spark, d))
+    games = [(materialize(_plate(rows, w).select(*conventions.MOVE_COLUMNS)), w) for rows, w in view.pitch_branches(spark, d)]
+    moves = union([conventions.half_moves(pa, w) for pa, w in games])
+    return conventions.violation_sample(union([pa for pa, _ in games]), moves)
 
 
 @query

@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from diamondlake.operators import conventions, features, profile, validation
 from diamondlake.operators.quantiles import average_ranks, describe, value_counts
