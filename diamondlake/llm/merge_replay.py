@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diamondlake.llm.text_units import CACHE_ENTRIES, spaced_units, text_slices
+from diamondlake.llm.text_units import UnitCache, spaced_units, text_slices
 
 REPLAY_WORDS = 50_000
 
@@ -61,9 +61,7 @@ class MergeReplay:
         self.start = np.zeros(places.max() + 1, dtype=np.int64)
         self.start[places] = np.cumsum([0, *map(len, tokens[:-1])])
         self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        self._words: dict[str, bytes] = {}
-        self._plain: dict[str, bytes] = {}
-        self._spaced: dict[str, bytes] = {}
+        self._words, self._plain, self._spaced = UnitCache(), UnitCache(), UnitCache()
         self.out_of_order = 0
 
     # ---- words -------------------------------------------------------------------
@@ -143,31 +141,28 @@ class MergeReplay:
 
     # ---- texts ----------------------------------------------------------------------
 
-    def _learn(self, units: set[str], cache: dict[str, bytes], lead: str) -> None:
+    def _learn(self, units: set[str], cache: UnitCache, lead: str) -> None:
         """Ids of units not yet known, by one replay over their new words."""
-        if len(cache) >= CACHE_ENTRIES:
-            cache.clear()
-        fresh = list(units.difference(cache))
+        fresh = cache.missing(units)
         split = [self.pattern.findall(lead + unit) for unit in fresh]
-        if len(self._words) >= CACHE_ENTRIES:
-            self._words.clear()
-        words = list(set(chain.from_iterable(split)).difference(self._words))
+        words = self._words.missing(set(chain.from_iterable(split)))
         raw = [w.encode() for w in words]
         whole = [self.ranks.get(w) for w in raw]
-        self._words.update((w, r.to_bytes(4, "little")) for w, r in zip(words, whole) if r is not None)
+        known = self._words.known
+        known.update((w, r.to_bytes(4, "little")) for w, r in zip(words, whole) if r is not None)
         open_words = [(w, b) for w, b, r in zip(words, raw, whole) if r is None]
         for at in range(0, len(open_words), REPLAY_WORDS):
             part = open_words[at : at + REPLAY_WORDS]
-            self._words.update(zip((w for w, _ in part), self.replay([b for _, b in part])))
-        ids = self._words.__getitem__
-        cache.update((unit, b"".join(map(ids, own))) for unit, own in zip(fresh, split))
+            known.update(zip((w for w, _ in part), self.replay([b for _, b in part])))
+        ids = known.__getitem__
+        cache.known.update((unit, b"".join(map(ids, own))) for unit, own in zip(fresh, split))
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, packed as little-endian unsigned 32-bit integers."""
         units = [spaced_units(t) for t in texts]
         self._learn(set(chain.from_iterable(plain for plain, _ in units)), self._plain, "")
         self._learn(set(chain.from_iterable(spaced for _, spaced in units)), self._spaced, " ")
-        plain_ids, spaced_ids = self._plain.__getitem__, self._spaced.__getitem__
+        plain_ids, spaced_ids = self._plain.known.__getitem__, self._spaced.known.__getitem__
         return [b"".join(map(plain_ids, plain)) + b"".join(map(spaced_ids, spaced)) for plain, spaced in units]
 
     def encode(self, text: str) -> list[int]:

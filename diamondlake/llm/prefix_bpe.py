@@ -17,13 +17,14 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diamondlake.llm.text_units import CACHE_ENTRIES, SPACE, spaced_units, text_slices
+from diamondlake.llm.text_units import CACHE_ENTRIES, SPACE, UnitCache, spaced_units, text_slices
 
 #: The pre-tokens of byte-level BPE (fixed value of the vocabulary's format).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -63,9 +64,7 @@ class PrefixBpe:
         self._special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self._pretoken = regex.compile(PRETOKEN)
         self._seams: dict[int, bool] = {}
-        self._words: dict[str, int] = {}
-        self._plain: dict[str, int] = {}
-        self._spaced: dict[str, int] = {}
+        self._words, self._plain, self._spaced = UnitCache(), UnitCache(), UnitCache()
 
     # ---- which tokens may follow each other ------------------------------------
 
@@ -142,34 +141,37 @@ class PrefixBpe:
                     break
         return counts
 
-    def _word(self, word: str) -> int:
-        known = self._words.get(word)
-        if known is None:
-            if len(self._words) >= CACHE_ENTRIES:
-                self._words.clear()
-            known = self._words[word] = self.prefixes(word.encode())[-1]
-        return known
-
     def _unit(self, unit: str) -> int:
-        return sum(map(self._word, self._pretoken.findall(unit)))
-
-    def _sum(self, units: list[str], cache: dict[str, int], lead: str) -> int:
-        if len(cache) >= CACHE_ENTRIES:
-            cache.clear()
-        for unit in set(units).difference(cache):
-            cache[unit] = self._unit(lead + unit)
-        return sum(map(cache.__getitem__, units))
+        return sum(self.prefixes(word.encode())[-1] for word in self._pretoken.findall(unit))
+
+    def _learn(self, units: set[str], cache: UnitCache, lead: str) -> None:
+        """Counts of units not yet known, from the tables of their new words."""
+        fresh = cache.missing(units)
+        split = [self._pretoken.findall(lead + unit) for unit in fresh]
+        words = self._words.missing(set(chain.from_iterable(split)))
+        self._words.known.update((word, self.prefixes(word.encode())[-1]) for word in words)
+        count = self._words.known.__getitem__
+        cache.known.update((unit, sum(map(count, own))) for unit, own in zip(fresh, split))
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of whole texts: the last entry of each prefix table."""
+        totals, owner, sections = [0] * len(texts), [], []
+        for i, text in enumerate(texts):
+            parts = [text]
+            if self._special is not None and any(name in text for name in self.special):
+                parts = self._special.split(text)
+                totals[i] = len(parts) - 1
+            owner += [i] * len(parts)
+            sections += map(spaced_units, parts)
+        self._learn(set(chain.from_iterable(plain for plain, _ in sections)), self._plain, "")
+        self._learn(set(chain.from_iterable(spaced for _, spaced in sections)), self._spaced, " ")
+        of_plain, of_spaced = self._plain.known.__getitem__, self._spaced.known.__getitem__
+        for i, (plain, spaced) in zip(owner, sections):
+            totals[i] += sum(map(of_plain, plain)) + sum(map(of_spaced, spaced))
+        return totals
 
     def count(self, text: str) -> int:
-        """Tokens of a whole text: the last entry of its prefix table."""
-        total, sections = 0, [text]
-        if self._special is not None and self.special[0][:2] in text:
-            sections = self._special.split(text)
-            total = len(sections) - 1
-        for section in sections:
-            plain, spaced = spaced_units(section)
-            total += self._sum(plain, self._plain, "") + self._sum(spaced, self._spaced, " ")
-        return total
+        return self.counts([text])[0]
 
     def table(self, text: str) -> list[int]:
         """Token count of text[:i] for every character position i.
@@ -233,7 +235,7 @@ def count_tokens(docs: DataFrame, tokenizer_json: str, limit: int = 512, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = prefix_bpe(tokenizer_json)
         for ids, texts in text_slices(batches):
-            yield pa.record_batch({"id": pa.array(ids, pa.int64()), "n_tokens": pa.array(map(bpe.count, texts), pa.int64()),
+            yield pa.record_batch({"id": pa.array(ids, pa.int64()), "n_tokens": pa.array(bpe.counts(texts), pa.int64()),
                                    "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64())})
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "id long, n_tokens long, n_bytes long")

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from diamondlake.llm.level_packing import pack_documents
 from diamondlake.llm.merge_replay import round_trip
 from diamondlake.llm.prefix_bpe import count_tokens
 from diamondlake.llm.url_reputation import Rule, judge_urls
@@ -39,6 +40,11 @@ def op7_merge_replay_bpe(spark, sf_dir):
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op9_level_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048)
+
+
 URL_RULES = (
     Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
     Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"),

@@ -16,6 +16,26 @@ SLICE_CHARS = 4_000_000
 CACHE_ENTRIES = 500_000
 
 
+class UnitCache:
+    """What a Python worker knows about units, in two generations of bounded size.
+
+    When the new generation is full it becomes the old one; units that occur again
+    move back. So frequent units stay, and memory does not grow with the corpus.
+    """
+
+    def __init__(self, limit: int = CACHE_ENTRIES):
+        self.limit, self.known, self.old = limit, {}, {}
+
+    def missing(self, units: set[str]) -> list[str]:
+        """Those of ``units`` that have to be learnt; afterwards ``known`` must hold them all."""
+        if len(self.known) >= self.limit:
+            self.old, self.known = self.known, {}
+        fresh = units.difference(self.known)
+        again = fresh & self.old.keys()
+        self.known.update((unit, self.old[unit]) for unit in again)
+        return list(fresh - again)
+
+
 def spaced_units(text: str) -> tuple[list[str], list[str]]:
     """(units as they are, units that are preceded by one space).
 
