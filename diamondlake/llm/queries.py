@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from diamondlake.llm import mil_toxicity
 from diamondlake.llm.level_packing import pack_documents
 from diamondlake.llm.merge_replay import round_trip
 from diamondlake.llm.prefix_bpe import count_tokens
@@ -35,6 +36,25 @@ def op2_prefix_token_counts(spark, sf_dir):
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+TOXIC_FROM = 0.3
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> mil_toxicity.Model:
+    """Learnt from the labels outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").where(~mil_toxicity.held_out(F.col("doc_id")))
+    return mil_toxicity.fit(docs, labels)
+
+
+@query
+def op4_mil_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = mil_toxicity.score_documents(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id", mil_toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query
 def op7_merge_replay_bpe(spark, sf_dir):
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
