@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.llm import mil_toxicity
 from diamondlake.llm.level_packing import pack_documents
+from diamondlake.llm import multi_index
 from diamondlake.llm.merge_replay import round_trip
 from diamondlake.llm.prefix_bpe import count_tokens
 from diamondlake.llm.url_reputation import Rule, judge_urls
@@ -31,6 +32,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@query
+def op1_multi_index(spark, sf_dir):
+    """Queries: every row whose id is divisible by 100, against all rows."""
+    index = multi_index.MultiIndex(table(spark, sf_dir, "embeddings"), centroids=64)
+    return multi_index.search(index, index.rows.where(F.col("id") % 100 == 0), k=10, share=0.45)
+
+
 @query
 def op2_prefix_token_counts(spark, sf_dir):
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
