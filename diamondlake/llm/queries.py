@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diamondlake.llm import mil_toxicity
+from diamondlake.llm.hyperminhash import near_duplicates
 from diamondlake.llm.level_packing import pack_documents
 from diamondlake.llm import multi_index
 from diamondlake.llm.merge_replay import round_trip
@@ -63,6 +64,11 @@ def op4_mil_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op6_hyperminhash(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), threshold=0.75)
+
+
 @query
 def op7_merge_replay_bpe(spark, sf_dir):
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
