@@ -16,8 +16,11 @@ rows in the same order and so gives the same pieces.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,34 +29,62 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from diamondlake.llm.prefix_bpe import byte_alphabet
 from diamondlake.llm.text_units import UnitCache, text_slices, units_in_order
 
 SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class UnitTokens:
-    """Ids of whole texts from the ids of their units, each unit encoded once."""
+    """Ids of whole texts from the ids of their units, each unit encoded once.
+
+    A unit below U+0300 without special strings cannot be changed by composition, so
+    lower-casing and the file's own pattern give its words, and the library's model
+    encodes each distinct word once. Any other unit goes through the library whole.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
-        self.cache = UnitCache()
+        with open(tokenizer_json, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = [step["type"] for step in spec["normalizer"]["normalizers"]]
+        cuts = spec["pre_tokenizer"]["pretokenizers"]
+        if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+            raise ValueError("not a lower-casing word vocabulary")
+        self.word = regex.compile(cuts[0]["pattern"]["Regex"])
+        special = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self.other = re.compile("|".join(["[^\\x00-\u02ff]", *special]))
+        self.stand_in = {byte: char for char, byte in byte_alphabet().items()}
+        self.units, self.words = UnitCache(), UnitCache()
+
+    def _word(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(self.stand_in)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         units = [units_in_order_bare(t) for t in texts]
-        fresh = self.cache.missing(set(chain.from_iterable(units)))
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
+        fresh = self.units.missing(set(chain.from_iterable(units)))
+        other = [u for u in fresh if self.other.search(u)]
+        for at in range(0, len(other), 20_000):
+            part = other[at : at + 20_000]
             found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.cache.known.update((u, np.array(e.ids, dtype="<u4").tobytes()) for u, e in zip(part, found))
-        ids = self.cache.known.__getitem__
+            self.units.known.update((u, array("I", e.ids).tobytes()) for u, e in zip(part, found))
+        plain = [u for u in fresh if u not in self.units.known]
+        split = [self.word.findall(u.lower()) for u in plain]
+        new = self.words.missing(set(chain.from_iterable(split)))
+        self.words.known.update((word, self._word(word)) for word in new)
+        of_word = self.words.known.__getitem__
+        self.units.known.update((u, b"".join(map(of_word, own))) for u, own in zip(plain, split))
+        ids = self.units.known.__getitem__
         return [b"".join(map(ids, own)) for own in units]
 
 
