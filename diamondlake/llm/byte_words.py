@@ -20,8 +20,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept and grown by doubling."""
     known = _powers[base]
     while len(known) < n:
-        step = known[-1] * base
-        known = np.concatenate([known, known * step])
+        known = np.concatenate([known, known * (known[-1:] * base)])
     _powers[base] = known
     return known[:n]
 

@@ -14,6 +14,7 @@ from diamondlake.llm.level_packing import pack_documents
 from diamondlake.llm import multi_index
 from diamondlake.llm.merge_replay import round_trip
 from diamondlake.llm.prefix_bpe import count_tokens
+from diamondlake.llm.suffix_dedup import mark_repeats, repeat_digests
 from diamondlake.llm.url_reputation import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +75,11 @@ def op7_merge_replay_bpe(spark, sf_dir):
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op8_suffix_dedup(spark, sf_dir):
+    return repeat_digests(mark_repeats(documents(spark, sf_dir), length=400))
+
+
 @query
 def op9_level_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048)
