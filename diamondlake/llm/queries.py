@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diamondlake.llm import mil_toxicity
+from diamondlake.llm import collision_counting
 from diamondlake.llm.hyperminhash import near_duplicates
 from diamondlake.llm.level_packing import pack_documents
 from diamondlake.llm import multi_index
@@ -46,6 +47,11 @@ def op2_prefix_token_counts(spark, sf_dir):
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@query
+def op3_collision_counting(spark, sf_dir):
+    return collision_counting.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 TOXIC_FROM = 0.3
 
 
