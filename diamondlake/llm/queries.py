@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diamondlake.llm import mil_toxicity
+from diamondlake.llm import brown_lm
 from diamondlake.llm import collision_counting
 from diamondlake.llm.hyperminhash import near_duplicates
 from diamondlake.llm.level_packing import pack_documents
@@ -71,6 +72,17 @@ def op4_mil_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op5_brown_lm(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = brown_lm.train(docs.where(~brown_lm.held_out(F.col("doc_id"))))
+    scored = brown_lm.score(docs, model)
+    return scored.select(
+        "doc_id", brown_lm.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 @query
 def op6_hyperminhash(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir), threshold=0.75)
