@@ -145,12 +145,12 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.ndarray:
             table[a] -= right
             table[:, a] -= left
             table[a, a] -= s
-            rows, columns = table.sum(1), table.sum(0)
+            # Wherever u goes, the other classes get back what they had next to it.
+            rows, columns = table.sum(1) + left, table.sum(0) + right
             gain = (_h(table + right) - _h(table)).sum(1) + (_h(table + left[:, None]) - _h(table)).sum(0)
             corner = table[diagonal, diagonal]
             gain += _h(corner + right + left + s) + _h(corner) - _h(corner + right) - _h(corner + left)
             gain -= _h(rows + right.sum() + s) - _h(rows) + _h(columns + left.sum() + s) - _h(columns)
-            # The classes of neighbours see their own sums change alike wherever u goes.
             b = int(np.argmax(gain))
             if gain[b] <= gain[a] + 1e-9:
                 b = int(a)

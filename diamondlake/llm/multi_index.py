@@ -126,7 +126,8 @@ def search(index: MultiIndex, queries: DataFrame, k: int = 10, share: float = 0.
     if index.empty:
         return queries.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     books, different = index.books, index.different
-    wanted = share * float(different.sum())
+    # Never fewer than what k neighbours besides the query itself need.
+    wanted = max(share * float(different.sum()), 2.0 * (k + 1))
     row_blocks = [max(1, -(-int(n) // ROW_BLOCK)) for n in index.in_row]
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     kind = index.rows.schema["v"].dataType.simpleString()

@@ -142,7 +142,7 @@ sums AS (
   SELECT lv, sum(n) AS t, sum(bad) AS b, sum(n * n) AS n2, count(*) AS k, sum(bad * bad / n) AS b2
   FROM levels WHERE n > 0 GROUP BY lv),
 rho AS (
-  SELECT lv, greatest(0.001, least(0.999, coalesce(
+  SELECT lv, greatest(0.001, least(0.5, coalesce(
     (b2 - b * b / t - base * (k - 1)) / CASE WHEN base > 0 AND free > 0 THEN base * free END, 0.5))) AS rho
   FROM (SELECT *, b / t * (1 - b / t) AS base, t - n2 / t - (k - 1) AS free FROM sums)),
 m AS (SELECT max((1 - rho) / rho) FILTER (lv = 0) AS m0, max((1 - rho) / rho) FILTER (lv = 1) AS m1,

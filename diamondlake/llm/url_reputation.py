@@ -77,7 +77,8 @@ def _strength(groups: DataFrame) -> DataFrame:
     """Prior strength of the groups of one level, by moments: one row, one column.
 
     With weights n_i the spread of the group rates gives the intra-class
-    correlation rho, kept in [0.001, 0.999]; the strength is (1 - rho) / rho.
+    correlation rho, kept in [0.001, 0.5]; the strength is (1 - rho) / rho, so the
+    level above always weighs as much as one page at least.
     """
     sums = groups.where(F.col("n") > 0).agg(
         F.sum("n").alias("t"), F.sum("bad").alias("b"), F.sum(F.col("n") * F.col("n")).alias("n2"),
@@ -88,7 +89,7 @@ def _strength(groups: DataFrame) -> DataFrame:
     base = rate * (1 - rate)
     free = F.col("t") - F.col("n2") / F.col("t") - (F.col("k") - 1)
     rho = (spread - base * (F.col("k") - 1)) / F.when((base > 0) & (free > 0), base * free)
-    rho = F.greatest(F.least(F.coalesce(rho, F.lit(0.5)), F.lit(0.999)), F.lit(0.001))
+    rho = F.greatest(F.least(F.coalesce(rho, F.lit(0.5)), F.lit(0.5)), F.lit(0.001))
     return sums.select(((1 - rho) / rho).alias("strength"))
 
 
