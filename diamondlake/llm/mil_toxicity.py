@@ -219,6 +219,18 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return rows.withColumnRenamed("id", id_col)
 
 
+def keep_below(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``."""
+    weights, bias, at = model.weights, model.bias, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(weights, bias)
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(text or "") < threshold for text in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def offending_sentences(
     docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
