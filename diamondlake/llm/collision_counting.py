@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.llm.arrow_groups import changes, whole_groups
 from diamondlake.llm.byte_words import mix
-from diamondlake.llm.components import components
+from diamondlake.llm.components import components, spanning_forest
 from diamondlake.llm.vectors import matrix, usable
 from diamondlake.operators.materialize import materialize
 
@@ -144,23 +144,6 @@ def linked_pairs(x: np.ndarray, cell: np.ndarray, plan: Plan) -> tuple[np.ndarra
     return left[near], right[near]
 
 
-def spanning_forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """Places of the pairs that join two parts not joined before."""
-    root, keep = list(range(n)), []
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for k, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
-        a, b = top(a), top(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            keep.append(k)
-    return np.array(keep, dtype=np.int64)
-
-
 def near_duplicates(
     vectors: DataFrame, threshold: float = 0.95, recall: float = 0.9995, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -208,7 +191,7 @@ def near_duplicates(
             keep = first == part[left]
             left, right = left[keep], right[keep]
         links = np.bincount(left, weights=copies[right], minlength=len(ids)) + np.bincount(right, weights=copies[left], minlength=len(ids))
-        counted, forest = np.flatnonzero(links), spanning_forest(left, right, len(ids))
+        counted, forest = np.flatnonzero(links), spanning_forest(left, right)
         a = np.concatenate([ids[counted], ids[left[forest]]])
         b = np.concatenate([np.full(len(counted), -1), ids[right[forest]]])
         n = np.concatenate([links[counted].astype(np.int64), np.zeros(len(forest), dtype=np.int64)])

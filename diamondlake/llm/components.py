@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +57,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = materialize(edges.groupBy("a").agg(F.min("b").alias("m")))
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _down(moved.union(least.select("a", F.col("m").alias("b"))))
+
+
+def spanning_forest(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join two parts not joined by earlier pairs, within one task."""
+    root: dict[int, int] = {}
+    keep = []
+
+    def top(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for k, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
+        a, b = top(a), top(b)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            keep.append(k)
+    return np.array(keep, dtype=np.int64)

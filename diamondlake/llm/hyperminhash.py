@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.llm.byte_words import mix, shingle_sets
-from diamondlake.llm.components import components
+from diamondlake.llm.components import components, spanning_forest
 from diamondlake.llm.text_units import text_slices
 from diamondlake.operators.materialize import materialize
 
@@ -189,54 +188,89 @@ def forest_pairs(members: DataFrame, threshold: float) -> DataFrame:
         ids, size, regs = _columns(rows)
         every = np.ones(len(ids), dtype=bool)
         left, right, found = candidate_pairs(ids, size, regs, ids, rows["band"][0].as_py(), every, every, threshold)
-        root = list(range(len(ids)))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        a, b = [], []
-        for k in np.argsort(-found, kind="stable").tolist():
-            x, y = top(int(left[k])), top(int(right[k]))
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                a.append(ids[left[k]])
-                b.append(ids[right[k]])
-        return _pair_table(a, b)
+        order = np.argsort(-found, kind="stable")
+        left, right = left[order], right[order]
+        keep = spanning_forest(left, right)
+        return _pair_table(ids[left[keep]], ids[right[keep]])
 
     # Other blocks in every band, so the parts of a large group meet in some band.
     block = F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("in_bucket") / BLOCK))
     return members.withColumn("block", block).groupBy("key", "block").applyInArrow(run, _PAIR).distinct()
 
 
-def straggler_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of a bucket across components. ``members`` has ``component``.
+def set_rows(texts: DataFrame) -> DataFrame:
+    """(id, shingles): the full shingle set of every (id, text) row, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts_ in text_slices(batches):
+            shingles, bounds = shingle_sets(texts_)
+            sets = [shingles[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+            yield pa.record_batch({"id": pa.array(ids, pa.int64()), "shingles": pa.array(sets, pa.binary())})
+
+    return texts.select("id", "text").mapInArrow(run, "id long, shingles binary")
+
 
-    Members outside the bucket's largest component visit all blocks of the bucket.
+def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 16_384) -> np.ndarray:
+    """Sizes of the intersections of many pairs of sets of one block.
+
+    Few pairs are intersected one by one; many by products of membership matrices
+    over slices of the block's shingles.
+    """
+    if len(left) <= 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(left, right)], dtype=np.int64)
+    value, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    # A shingle of a single set adds nothing.
+    common = np.bincount(column)[column] > 1
+    row, column = row[common], np.unique(column[common], return_inverse=True)[1]
+    total = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for at in range(0, int(column.max(initial=-1)) + 1, columns):
+        low, high = np.searchsorted(column, (at, at + columns))
+        part = np.zeros((len(sets), columns), dtype=np.float32)
+        part[row[low:high], column[low:high] - at] = 1
+        total += (part @ part.T).astype(np.int64)
+    return total[left, right]
+
+
+def straggler_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Confirmed links between components within a bucket. ``members`` has ``component``.
+
+    Members outside the bucket's largest component visit all blocks of the bucket,
+    with their full sets, so only links leave a block: a spanning forest of them.
     """
     per = members.groupBy("key", "component").agg(F.count("*").alias("k"))
     per = per.groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.sum("k").alias("all"), F.max("k").alias("k"))
     per = materialize(per.where(F.col("k") < F.col("all")).select("key", "largest", "all", (F.col("all") - F.col("k")).alias("outside")))
-    rows = members.join(per, "key")
+    rows = materialize(members.join(per, "key"))
+    sets = set_rows(texts.join(rows.select("id").distinct(), "id", "left_semi"))
     blocks, chunks = F.ceil(F.col("all") / BLOCK), F.ceil(F.col("outside") / BLOCK)
     at = F.xxhash64("id", "band")
     home = rows.withColumns({
         "home": F.lit(True), "block": F.pmod(at, blocks), "chunk": F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))})
     away = rows.where(F.col("component") != F.col("largest")).withColumns({
         "home": F.lit(False), "block": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)), "chunk": F.pmod(at, chunks)})
+    percent = round(100 * threshold)
 
     def run(rows: pa.Table) -> pa.Table:
         ids, size, regs = _columns(rows)
         home = rows["home"].to_numpy(zero_copy_only=False)
         component = rows["component"].to_numpy()
         outside = component != rows["largest"].to_numpy()
-        # A pair of stragglers meets twice, once in the home block of each.
         left, right, _ = candidate_pairs(ids, size, regs, component, rows["band"][0].as_py(), home, ~home, threshold)
+        # A pair of stragglers meets twice, once in the home block of each.
         keep = ~outside[left] | (ids[left] < ids[right])
+        left, right = left[keep], right[keep]
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"].to_pylist()]
+        both = intersections(sets, left, right)
+        keep = (both > 0) & (100 * both >= percent * (size[left] + size[right] - both))
+        left, right = left[keep], right[keep]
+        keep = spanning_forest(component[left], component[right])
         return _pair_table(ids[left[keep]], ids[right[keep]])
 
-    return home.unionByName(away).groupBy("key", "block", "chunk").applyInArrow(run, _PAIR)
+    met = home.unionByName(away).join(sets, "id")
+    return met.groupBy("key", "block", "chunk").applyInArrow(run, _PAIR)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -293,9 +327,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc
     joined = materialize(components(links))
     component = F.coalesce("component", F.col("id")).alias("component")
     current = materialize(members.join(joined, "id", "left").select(*members.columns, component))
-    others = straggler_pairs(current, threshold).join(best, ["a", "b"], "left_anti")
-    links = links.union(materialize(confirmed(materialize(others), texts, threshold)))
-    final = components(links)
+    final = components(links.union(straggler_links(current, texts, threshold)))
 
     of_class = classes.select("set_hash", "id").join(final, "id", "left").select(
         "set_hash", F.coalesce("component", F.col("id")).alias("component_id"))
