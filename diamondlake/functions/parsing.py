@@ -16,9 +16,16 @@ NA_WORDS = [
 HIT_SIDES = [("양타", "S"), ("좌타", "L"), ("우타", "R")]
 
 
+PLAIN_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
+
 def nullable_number(text: Column) -> Column:
-    """DOUBLE, or NULL when the text is missing, blank, unparsable or NaN."""
-    number = text.try_cast("double")
+    """DOUBLE, or NULL when the text is missing, blank, no plain number or NaN.
+
+    A number may stand between blanks and have an exponent; type letters behind it
+    make it text.
+    """
+    number = F.when(F.rlike(text, F.lit(PLAIN_NUMBER)), F.trim(text)).try_cast("double")
     return F.when(~F.isnan(number), number)
 
 

@@ -68,14 +68,11 @@ def aggregate_pa(pitches: DataFrame) -> DataFrame:
 
     Everything is a partial aggregate, so a plate appearance of any size is
     combined before it moves. After ``assign_pa`` the rows already lie by game
-    and no further exchange is planned. The two short texts are folded as
-    numbers, which keeps the aggregate in hash mode instead of a second sort.
+    and no further exchange is planned. The label is folded as its rank.
     """
     have = set(pitches.columns)
     label = classify_result(F.col("relay_text") if "relay_text" in have else F.lit(""))
     rows = pitches.withColumn("pa_result", label_rank(label))
-    if "batter_hit_type" in have:
-        rows = rows.withColumn("batter_hit_type", F.ascii("batter_hit_type"))
     columns = [_known(F.col(c), F.min_by, c) for c in FIRST_COLUMNS if c in have]
     columns += [_known(F.col(c), F.max_by, c) for c in LAST_COLUMNS if c in (*have, "pa_result")]
     if "pitch_result" in have:
@@ -83,10 +80,7 @@ def aggregate_pa(pitches: DataFrame) -> DataFrame:
     if "pitch_speed" in have:
         columns.append(F.avg("pitch_speed").alias("pa_avg_pitch_speed"))
     folded = rows.groupBy("game_id", "pa_seq").agg(*columns)
-    decoded = {"pa_result": F.element_at(F.lit(LABEL_ORDER), F.col("pa_result"))}
-    if "batter_hit_type" in have:
-        decoded["batter_hit_type"] = F.char("batter_hit_type")
-    return folded.withColumns(decoded)
+    return folded.withColumn("pa_result", F.element_at(F.lit(LABEL_ORDER), F.col("pa_result")))
 
 
 def plate_appearances(pitches: DataFrame, width: int | None = None) -> DataFrame:

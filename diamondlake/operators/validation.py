@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diamondlake.functions.labels import label_rank
+from diamondlake.functions.significance import two_sided_p
 from diamondlake.functions.state import season_of
 from diamondlake.operators.materialize import materialize
 from diamondlake.operators.quantiles import average_ranks, describe, value_counts
@@ -18,7 +21,7 @@ NORMAL = "normal"
 # Acceptance thresholds.
 MIN_SIGN_MATCH = 0.80
 MIN_SPEARMAN = 0.6
-SIGNIFICANT_T = 1.96
+MAX_P = 0.05
 
 
 def pairs(rewards: DataFrame) -> DataFrame:
@@ -83,7 +86,7 @@ def _with_t(r: Column, n: Column) -> Column:
 
 def pearson(rewards: DataFrame) -> DataFrame:
     one = pairs(rewards).agg(F.count("*").alias("n"), F.corr(PROVIDER, REWARD).alias("r"))
-    return one.withColumn("t", _with_t(F.col("r"), F.col("n")))
+    return one.withColumn("t", _with_t(F.col("r"), F.col("n"))).withColumn("p", two_sided_p(F.col("t"), F.col("n") - 2))
 
 
 def spearman(rewards: DataFrame) -> DataFrame:
@@ -111,7 +114,8 @@ def spearman(rewards: DataFrame) -> DataFrame:
     top = n * F.col("sxy") - F.col("sx") * F.col("sy")
     under = F.sqrt((n * F.col("sxx") - F.col("sx") ** 2) * (n * F.col("syy") - F.col("sy") ** 2))
     rho = F.try_divide(top, under)
-    return sums.select("n", rho.alias("rho")).withColumn("t", _with_t(F.col("rho"), F.col("n")))
+    found = sums.select("n", rho.alias("rho")).withColumn("t", _with_t(F.col("rho"), F.col("n")))
+    return found.withColumn("p", two_sided_p(F.col("t"), F.col("n") - 2))
 
 
 def histogram_2d(rewards: DataFrame, provider_step: float, reward_step: float) -> DataFrame:
@@ -123,10 +127,14 @@ def histogram_2d(rewards: DataFrame, provider_step: float, reward_step: float) -
     return pairs(rewards).groupBy(*cell).agg(F.count("*").alias("n"))
 
 
-def top_mismatches(rewards: DataFrame, size: int = 10) -> DataFrame:
+MISMATCH_COLUMNS = (
+    "game_id", "pa_seq", "inning", "half", "base_state", "score_diff_attacker", "pa_result", "runs_scored", PROVIDER, REWARD,
+)
+
+
+def top_mismatches(rewards: DataFrame, size: int = 10, columns: Sequence[str] = MISMATCH_COLUMNS) -> DataFrame:
     """Pairs of opposite sign with the largest product of absolute values."""
     product = F.col(PROVIDER) * F.col(REWARD)
-    columns = ["game_id", "pa_seq", "inning", "half", "base_state", "score_diff_attacker", "pa_result", "runs_scored", PROVIDER, REWARD]
     ranked = pairs(rewards).select(*columns, F.when(product < 0, -product).alias("abs_product"))
     top = ranked.orderBy(F.desc_nulls_last("abs_product"), "game_id", "pa_seq").limit(size)
     return top.where(F.col("abs_product").isNotNull())
@@ -157,10 +165,10 @@ def metrics(rewards: DataFrame) -> DataFrame:
     self_part = _long(self_check(rewards), ["missing", "out_of_range", "grand_mean", "hr_mean", "b1_mean", "bb_mean", "out_mean", "domain_ok"])
     sign_part = _long(sign_match(rewards), ["sign_match_rate"])
     rank_part = _long(
-        spearman(rewards).withColumnsRenamed({"n": "n_pairs", "rho": "spearman", "t": "spearman_t"}),
-        ["n_pairs", "spearman", "spearman_t"],
+        spearman(rewards).withColumnsRenamed({"n": "n_pairs", "rho": "spearman", "t": "spearman_t", "p": "spearman_p"}),
+        ["n_pairs", "spearman", "spearman_t", "spearman_p"],
     )
-    line_part = _long(pearson(rewards).withColumnRenamed("r", "pearson"), ["pearson"])
+    line_part = _long(pearson(rewards).withColumnsRenamed({"r": "pearson", "p": "pearson_p"}), ["pearson", "pearson_p"])
     return self_part.unionByName(sign_part).unionByName(rank_part).unionByName(line_part)
 
 
@@ -170,14 +178,14 @@ def _metric(name: str) -> Column:
 
 def verdict(metric_rows: DataFrame) -> DataFrame:
     """Five criteria with value, threshold and PASS/FAIL, and the overall conclusion."""
-    named = ["missing", "out_of_range", "sign_match_rate", "spearman", "spearman_t", "domain_ok"]
+    named = ["missing", "out_of_range", "sign_match_rate", "spearman", "spearman_p", "domain_ok"]
     one = metric_rows.agg(*[_metric(name).alias(name) for name in named])
     criteria = [
         (1, "missing", "= 0", F.col("missing"), F.col("missing") == 0),
         (2, "out_of_range", "= 0", F.col("out_of_range"), F.col("out_of_range") == 0),
         (3, "sign_match_rate", ">= 0.80", F.col("sign_match_rate"), F.col("sign_match_rate") >= MIN_SIGN_MATCH),
         (4, "spearman", ">= 0.6, p < 0.05", F.col("spearman"),
-         (F.col("spearman") >= MIN_SPEARMAN) & (F.abs("spearman_t") > SIGNIFICANT_T)),
+         (F.col("spearman") >= MIN_SPEARMAN) & (F.col("spearman_p") < MAX_P)),
         (5, "label_order", "HR>1B>BB>0>OUT", F.col("domain_ok"), F.col("domain_ok") == 1),
     ]
     passed = [F.coalesce(ok, F.lit(False)).cast("int") for *_, ok in criteria]
@@ -202,22 +210,30 @@ def verdict(metric_rows: DataFrame) -> DataFrame:
 def report(rewards: DataFrame) -> DataFrame:
     """All tables of the validation as (section, item, value)."""
     rewards = materialize(
-        rewards.select("game_id", "pa_result", "data_quality_flag", PROVIDER, REWARD)
+        rewards.select("game_id", "pa_seq", "pa_result", "data_quality_flag", PROVIDER, REWARD)
     )
     figures = materialize(metrics(rewards))
 
     def part(df: DataFrame, section: str, item: Column, value: Column) -> DataFrame:
         return df.select(F.lit(section).alias("section"), item.cast("string").alias("item"), value.cast("double").alias("value"))
 
+    judged = materialize(verdict(figures))
+    mismatch = top_mismatches(rewards, columns=("game_id", "pa_seq"))
+    labels, flags = label_means(rewards), flag_stats(rewards)
     shape = ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]
     parts = [
         part(figures, "figures", F.col("metric"), F.col("value")),
-        part(label_means(rewards), "label_mean", F.col("pa_result"), F.col("mean_reward")),
+        part(labels, "label_mean", F.col("pa_result"), F.col("mean_reward")),
+        part(labels, "label_n", F.col("pa_result"), F.col("n")),
         part(season_counts(rewards), "season", F.col("season"), F.col("n_pa")),
         part(_long(describe(pairs(rewards), [], PROVIDER), shape), "provider", F.col("metric"), F.col("value")),
-        part(flag_stats(rewards), "flag_n", F.col("flag"), F.col("n")),
-        part(flag_stats(rewards), "flag_mean", F.col("flag"), F.col("mean")),
-        part(verdict(figures), "passed", F.col("criterion"), (F.col("result") == "PASS").cast("int")),
+        part(flags, "flag_n", F.col("flag"), F.col("n")),
+        part(flags, "flag_mean", F.col("flag"), F.col("mean")),
+        part(flags, "flag_std", F.col("flag"), F.col("std")),
+        part(mismatch, "mismatch", F.concat_ws("#", "game_id", "pa_seq"), F.col("abs_product")),
+        part(judged, "criterion", F.concat_ws(" ", "criterion", "threshold"), F.col("value")),
+        part(judged, "passed", F.col("criterion"), (F.col("result") == "PASS").cast("int")),
+        part(judged.limit(1), "conclusion", F.col("conclusion"), F.col("n_pass")),
     ]
     out = parts[0]
     for more in parts[1:]:

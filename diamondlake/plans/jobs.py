@@ -21,11 +21,17 @@ from diamondlake.operators.reward import add_reward, check_reward
 from diamondlake.operators.transitions import transitions
 from diamondlake.operators.validation import report
 from diamondlake.schemas import PITCH
-from diamondlake.sources.layers import read_layer, write_layer
-from diamondlake.sources.relay import SEQ_WIDTH, parse_pitches, pitch_rows, read_relay_documents, rejected_rows
+from diamondlake.sources.layers import PITCHES, REJECTS, has_rows, read_layer, read_pitch_layer, write_layer, write_pitch_layer
+from diamondlake.sources.relay import (
+    SEQ_WIDTH, cut_after_end, finish_pitches, latest_documents, pitches_of, raw_pitches, read_relay_documents, rejects_of,
+)
 from diamondlake.sources.schedule import not_done, only_listed
 
 
+# The shortest pitch: {"type":1,"pitchResult":""}
+PITCH_CHARS = 27
+
+
 @dataclass(frozen=True)
 class Layers:
     """Folders of one run."""
@@ -41,30 +47,51 @@ def _hot_games(rows: DataFrame, limit: int) -> DataFrame | None:
 
 
 def hot_documents(documents: DataFrame, limit: int = HOT_LIMIT) -> DataFrame | None:
-    """Games with too many relays, told from the size of their documents.
+    """Games that may have more than ``limit`` pitches, told from the size of their documents.
 
-    A pitch takes well over 100 characters of JSON, so a game whose documents
-    stay below ``limit * 100`` characters cannot reach ``limit`` pitches.
+    A pitch takes at least PITCH_CHARS characters of JSON, so no game with more
+    than ``limit`` pitches is missed.
     """
     sizes = documents.groupBy("game_id").agg(F.sum(F.length("payload")).alias("size"))
-    hot = materialize(sizes.where(F.col("size") > limit * 100).select("game_id"))
+    hot = materialize(sizes.where(F.col("size") > limit * PITCH_CHARS).select("game_id"))
     return None if hot.isEmpty() else hot
 
 
 def collect_pitches(
     documents: DataFrame, layers: Layers, ids: DataFrame | None = None, done: DataFrame | None = None, limit: int = HOT_LIMIT
 ) -> None:
-    """Documents -> pitch layer and rejects. Only listed games, none that is already done."""
+    """Documents -> pitch layer with its rejects. Only listed games, none that is already done.
+
+    Pitches and rejects are two kinds of rows of one table, appended by one commit:
+    a run that fails leaves nothing, and a game is there with both or not at all.
+    """
     wanted = documents if ids is None else only_listed(documents, ids)
     wanted = wanted if done is None else not_done(wanted, done)
-    hot = hot_documents(wanted, limit)
-    write_layer(by_size(wanted, hot, "game_id", SEQ_WIDTH, parse_pitches), layers.path("pitches"), "append")
-    rejects = by_size(wanted, hot, "game_id", SEQ_WIDTH, lambda rows, w: rejected_rows(pitch_rows(rows, w)))
-    write_layer(rejects, layers.path("rejects"), "append")
+    wanted = latest_documents(wanted)
+    write_pitch_layer(parsed(wanted, limit), layers.path(PITCHES), "append")
+
+
+def parsed(documents: DataFrame, limit: int = HOT_LIMIT) -> DataFrame:
+    """Pitches and rejects of documents as one table, told apart by ``kind``."""
+
+    def both(rows: DataFrame, width: int | None) -> DataFrame:
+        kept = cut_after_end(raw_pitches(rows), width)
+        pitches = finish_pitches(pitches_of(kept), width).withColumn("kind", F.lit(PITCHES))
+        rejects = rejects_of(kept).withColumn("kind", F.lit(REJECTS))
+        return pitches.unionByName(rejects, allowMissingColumns=True)
+
+    return by_size(documents, hot_documents(documents, limit), "game_id", SEQ_WIDTH, both)
+
+
+def done_games(spark: SparkSession, layers: Layers) -> DataFrame | None:
+    """Games of the pitch layer, or None before the first run."""
+    if not has_rows(spark, layers.path(PITCHES)):
+        return None
+    return read_layer(spark, layers.path(PITCHES)).select("game_id").distinct()
 
 
 def build_plate_appearances(spark: SparkSession, layers: Layers, limit: int = HOT_LIMIT) -> None:
-    pitches = read_layer(spark, layers.path("pitches")).select(*PITCH.names)
+    pitches = read_pitch_layer(spark, layers.path(PITCHES)).select(*PITCH.names)
     hot = _hot_games(pitches, limit)
     write_layer(by_size(pitches, hot, "game_id", SEQ_WIDTH, plate_appearances), layers.path("plate_appearances"))
 
@@ -94,9 +121,10 @@ def build_training_set(spark: SparkSession, layers: Layers, **options) -> None:
 
 
 def run(spark: SparkSession, documents_path: str, root: str, ids: DataFrame | None = None, limit: int = HOT_LIMIT) -> Layers:
-    """All jobs in order over landed documents."""
+    """All jobs in order over landed documents. Games that the pitch layer has are not parsed again."""
     layers = Layers(root)
-    collect_pitches(read_relay_documents(spark, documents_path), layers, ids, limit=limit)
+    done = done_games(spark, layers)
+    collect_pitches(read_relay_documents(spark, documents_path), layers, ids, done, limit)
     build_plate_appearances(spark, layers, limit)
     build_states(spark, layers, limit)
     build_rewards(spark, layers)

@@ -21,6 +21,15 @@ def _r(value: str) -> str:
     return f"round(CAST({value} AS DOUBLE), 6)"
 
 
+def _p_value(t: str, freedom: str) -> str:
+    """Two-sided p of Student's t: one less twice the integral of its density from 0 to |t| (Simpson)."""
+    v, n = f"CAST({freedom} AS DOUBLE)", 4000
+    density = f"pow(1 + pow(i * abs({t}) / {n}.0, 2) / {v}, -({v} + 1) / 2)"
+    area = f"list_sum(list_transform(range(0, {n + 1}), lambda i: (CASE WHEN i IN (0, {n}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * {density}))"
+    constant = f"exp(lgamma(({v} + 1) / 2) - lgamma({v} / 2)) / sqrt({v} * pi())"
+    return f"greatest(0, 1 - 2 * {area} * abs({t}) / {3 * n}.0 * {constant})"
+
+
 def _values(rows: list[tuple]) -> str:
     def literal(value) -> str:
         if isinstance(value, float):
@@ -189,13 +198,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT o_custkey AS c, CAST(floor(o_orderkey / 72.0) AS BIGINT) AS g, CAST(o_orderkey % 72 AS BIGINT) AS p FROM orders)"""),
     "docs": (("ro",), """
         SELECT g, game_id, req_inning, count(*) AS relays, (g % 7 = 3 AND req_inning = 6) OR (g % 11 = 5 AND req_inning = 1)
-          OR (g % 8 = 1 AND req_inning = 8) AS is_empty
+          OR (g % 8 = 1 AND req_inning = 8) AS is_empty,
+          NOT ((g % 7 = 3 AND req_inning = 6) OR (g % 11 = 5 AND req_inning = 1) OR (g % 8 = 1 AND req_inning = 8))
+            AND ((g % 23 = 9 AND req_inning = 4) OR (g % 23 = 10 AND req_inning = 5)) AS is_broken
         FROM ro WHERE NOT (g % 13 = 4 AND req_inning = 3) GROUP BY g, game_id, req_inning"""),
     "kept": (("docs",), """
         SELECT g, game_id, req_inning, CASE WHEN is_empty THEN 0 ELSE relays END AS n_relays, is_empty
         FROM (SELECT *, min(CASE WHEN is_empty AND req_inning > 1 THEN req_inning END) OVER (PARTITION BY g) AS stop
               FROM docs WHERE req_inning <= 12)
-        WHERE req_inning < coalesce(stop, 13)"""),
+        WHERE req_inning < coalesce(stop, 13) AND NOT is_broken"""),
     "rp": (("ro", "kept"), """
         SELECT *, CASE k % 6 WHEN 0 THEN 140.0 + i WHEN 1 THEN 145.5 END AS pitch_speed,
           CASE WHEN k % 3 = 0 THEN 'FAST' END AS pitch_type,
@@ -250,12 +261,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "signs": (("pairs",), """
         SELECT count(*) AS n_signed, avg(CASE WHEN sign(reward_wpa) = sign(reward_wpa_computed) THEN 1.0 ELSE 0.0 END) AS sign_match_rate
         FROM pairs WHERE reward_wpa <> 0 AND reward_wpa_computed <> 0"""),
-    "lin": (("pairs",), "SELECT count(*) AS n, corr(reward_wpa, reward_wpa_computed) AS r FROM pairs"),
-    "rank": (("pairs",), """
-        SELECT count(*) AS n, corr(x, y) AS rho FROM (
+    "lin": (("pairs",), f"""
+        SELECT *, {_p_value('t', 'n - 2')} AS p FROM (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t FROM (
+          SELECT count(*) AS n, corr(reward_wpa, reward_wpa_computed) AS r FROM pairs))"""),
+    "rank": (("pairs",), f"""
+        SELECT *, {_p_value('t', 'n - 2')} AS p FROM (SELECT *, rho * sqrt((n - 2) / (1 - rho * rho)) AS t FROM (
+          SELECT count(*) AS n, corr(x, y) AS rho FROM (
           SELECT rank() OVER (ORDER BY reward_wpa) + (count(*) OVER (PARTITION BY reward_wpa) - 1) / 2.0 AS x,
                  rank() OVER (ORDER BY reward_wpa_computed) + (count(*) OVER (PARTITION BY reward_wpa_computed) - 1) / 2.0 AS y
-          FROM pairs)"""),
+          FROM pairs)))"""),
     "flags": (("wpa",), """
         SELECT flag, count(pa_seq) AS n, avg(reward_wpa_computed) AS mean, stddev_samp(reward_wpa_computed) AS std
         FROM (VALUES ('inning1_nonzero_start', 'inning1_nonzero_start'), ('high_runs_scored_artifact', 'high_runs_scored_artifact'),
@@ -263,7 +277,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "judged": (("selfc", "signs", "rank"), """
         SELECT *, CASE WHEN missing = 0 THEN 1 ELSE 0 END AS ok1, CASE WHEN out_of_range = 0 THEN 1 ELSE 0 END AS ok2,
           CASE WHEN sign_match_rate >= 0.8 THEN 1 ELSE 0 END AS ok3,
-          CASE WHEN rho >= 0.6 AND abs(rho * sqrt((n - 2) / (1 - rho * rho))) > 1.96 THEN 1 ELSE 0 END AS ok4,
+          CASE WHEN rho >= 0.6 AND p < 0.05 THEN 1 ELSE 0 END AS ok4,
           CASE WHEN domain_ok THEN 1 ELSE 0 END AS ok5
         FROM selfc, signs, rank"""),
     "judged_rows": (("judged",), """
@@ -368,12 +382,15 @@ BODIES: dict[str, tuple[str, str]] = {
               CASE WHEN c % 29 = 0 THEN 0 ELSE len(list_filter(range(1, c % 7 + 1), lambda i: (c + i) % 19 <> 0)) END AS typed,
               CASE WHEN c % 29 = 0 OR c % 43 = 0 THEN 0 ELSE 1 END AS result,
               CASE WHEN c % 29 <> 0 AND c % 61 = 0 THEN 1 ELSE 0 END AS again
-            FROM ro JOIN docs ON docs.g = ro.g AND docs.req_inning = ro.req_inning AND NOT is_empty AND ro.req_inning <= 12)
+            FROM ro JOIN docs ON docs.g = ro.g AND docs.req_inning = ro.req_inning AND NOT is_empty AND NOT is_broken AND ro.req_inning <= 12)
       GROUP BY game_id, req_inning HAVING sum(batter + pitches + result + again) > 0"""),
     "pitch_rows": ("rpitch", f"SELECT {_select([c for c in PITCH if c not in ('total_pitch_count', 'recent_5_pitch_speed_avg', 'inning_pitch_count', 'pitcher_id', 'batter_id')], PITCH_DOUBLES)}, pitcher_text, batter_text FROM rpitch"),
     "pitch_seq": ("rpitch", """SELECT game_id, row_number() OVER (PARTITION BY game_id ORDER BY req_inning, home_or_away, p, i) AS place,
       batter_text, ball_count_B, home_or_away FROM rpitch"""),
-    "pitch_rejects": ("rpitch", "SELECT game_id, count(*) AS n_rejected FROM rpitch WHERE inning IS NULL GROUP BY game_id"),
+    "pitch_rejects": ("rpitch docs", """SELECT game_id, reason, count(*) AS n_rejected FROM (
+        SELECT game_id, 'inning' AS reason FROM rpitch WHERE inning IS NULL
+        UNION ALL SELECT game_id, 'inning' FROM docs WHERE req_inning > 12
+        UNION ALL SELECT game_id, 'payload' FROM docs WHERE is_broken) GROUP BY game_id, reason"""),
     "pitch_table": ("rtable", f"SELECT {_select(PITCH, PITCH_DOUBLES)} FROM rtable"),
     "safe_casts": ("rpitch", f"""SELECT score_diff, {_r('pitch_speed')} AS pitch_speed, is_base1, is_base2, is_base3,
       {_r('pitcher_vs_batter_avg')} AS pitcher_vs_batter_avg, {_r('batter_recent_avg')} AS batter_recent_avg, count(*) AS n
@@ -448,8 +465,8 @@ BODIES: dict[str, tuple[str, str]] = {
     "wpa_describe": ("clean", _describe("", "reward_wpa_computed", "clean")),
     "provider_describe": ("pairs", _describe("", "reward_wpa", "pairs")),
     "sign_match": ("signs", f"SELECT n_signed, {_r('sign_match_rate')} AS sign_match_rate FROM signs"),
-    "wpa_pearson": ("lin", f"SELECT n, {_r('r')} AS r, {_r('r * sqrt((n - 2) / (1 - r * r))')} AS t FROM lin"),
-    "wpa_spearman": ("rank", f"SELECT n, {_r('rho')} AS rho, {_r('rho * sqrt((n - 2) / (1 - rho * rho))')} AS t FROM rank"),
+    "wpa_pearson": ("lin", f"SELECT n, {_r('r')} AS r, {_r('t')} AS t, {_r('p')} AS p FROM lin"),
+    "wpa_spearman": ("rank", f"SELECT n, {_r('rho')} AS rho, {_r('t')} AS t, {_r('p')} AS p FROM rank"),
     "flag_stats": ("flags", f"SELECT flag, n, {_r('mean')} AS mean, {_r('std')} AS std FROM flags"),
     "top_mismatch": ("pairs", f"""SELECT game_id, pa_seq, inning, half, base_state, score_diff_attacker, pa_result, runs_scored,
         {_r('reward_wpa')} AS reward_wpa, {_r('reward_wpa_computed')} AS reward_wpa_computed, {_r('abs_product')} AS abs_product
@@ -461,10 +478,17 @@ BODIES: dict[str, tuple[str, str]] = {
     "wpa_verdict": ("judged_rows", f"SELECT number, criterion, threshold, {_r('value')} AS value, result, n_pass, conclusion FROM judged_rows"),
     "wpa_report": ("wpa pairs selfc signs lin rank flags judged_rows", f"""SELECT section, item, {_r('CAST(value AS DOUBLE)')} AS value FROM (
         SELECT 'figures' AS section, unnest(['missing', 'out_of_range', 'grand_mean', 'hr_mean', 'b1_mean', 'bb_mean', 'out_mean', 'domain_ok',
-            'sign_match_rate', 'n_pairs', 'spearman', 'spearman_t', 'pearson']) AS item,
+            'sign_match_rate', 'n_pairs', 'spearman', 'spearman_t', 'spearman_p', 'pearson', 'pearson_p']) AS item,
           unnest([CAST(missing AS DOUBLE), out_of_range, grand_mean, hr_mean, b1_mean, bb_mean, out_mean, CASE WHEN domain_ok THEN 1 ELSE 0 END,
-            sign_match_rate, rank.n, rho, rho * sqrt((rank.n - 2) / (1 - rho * rho)), r]) AS value FROM selfc, signs, rank, lin
+            sign_match_rate, rank.n, rho, rank.t, rank.p, r, lin.p]) AS value FROM selfc, signs, rank, lin
         UNION ALL SELECT 'label_mean', pa_result, avg(reward_wpa_computed) FROM wpa GROUP BY pa_result
+        UNION ALL SELECT 'label_n', pa_result, count(*) FROM wpa GROUP BY pa_result
+        UNION ALL SELECT 'flag_std', flag, std FROM flags
+        UNION ALL SELECT 'criterion', concat(criterion, ' ', threshold), value FROM judged_rows
+        UNION ALL SELECT DISTINCT 'conclusion', conclusion, n_pass FROM judged_rows
+        UNION ALL SELECT 'mismatch', item, x FROM (SELECT concat(game_id, '#', CAST(pa_seq AS VARCHAR)) AS item,
+            abs(reward_wpa) * abs(reward_wpa_computed) AS x FROM pairs WHERE sign(reward_wpa) * sign(reward_wpa_computed) < 0
+            ORDER BY x DESC, game_id, pa_seq LIMIT 10)
         UNION ALL SELECT 'season', substr(game_id, 1, 4), count(*) FROM pairs GROUP BY 2
         UNION ALL SELECT 'provider', unnest(['n', 'mean', 'std', 'min', 'q25', 'q50', 'q75', 'max']),
           unnest([CAST(n AS DOUBLE), mean, std, min, q25, q50, q75, max]) FROM ({_describe('', 'reward_wpa', 'pairs')})

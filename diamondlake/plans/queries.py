@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from diamondlake.functions import expectancy, labels, parsing, state
 from diamondlake.operators import conventions, features, profile, transitions, validation
 from diamondlake.operators.columns import order_columns
-from diamondlake.operators.materialize import materialize
+from diamondlake.operators.materialize import materialize, shared_folder
 from diamondlake.operators.ordered import Order, position, union
 from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent_speed, aggregate_pa, assign_pa
 from diamondlake.operators.quantiles import describe
@@ -119,8 +120,8 @@ def pitch_seq(spark, d):
 
 @query
 def pitch_rejects(spark, d):
-    rows = relay.rejected_rows(relay.pitch_rows(documents(spark, d)))
-    return rows.groupBy("game_id").agg(F.count("*").alias("n_rejected"))
+    rejects = relay.rejects_of(relay.cut_after_end(relay.raw_pitches(documents(spark, d))))
+    return rejects.groupBy("game_id", "reason").agg(F.count("*").alias("n_rejected"))
 
 
 @query
@@ -165,7 +166,7 @@ def month_windows(spark, d):
 @query
 def csv_roundtrip(spark, d):
     counted = by_game_size(spark, d, lambda rows, w: add_recent_speed(add_pitch_counts(rows, width=w), width=w))
-    return layers.csv_round_trip(counted, PITCH)
+    return layers.csv_round_trip(counted.select(*PITCH.names), f"{shared_folder(spark)}/csv/{uuid.uuid4().hex}")
 
 
 @query

@@ -124,6 +124,8 @@ def relay_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_q("g % 7 = 3 and inning = 6"), '{"result":{"textRelayData":{"textRelays":[]}}}')
         .when(_q("g % 11 = 5 and inning = 1"), '{"result":{"textRelayData":{"textRelays":null}}}')
         .when(_q("g % 8 = 1 and inning = 8"), '{"result":{}}')
+        .when(_q("g % 23 = 9 and inning = 4"), '{"result":{"textRel')
+        .when(_q("g % 23 = 10 and inning = 5"), F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit('{"result":{"textRelayData":{"textRelays":['), listed, F.lit("]}}}")))
     )
     present = gathered.where("not (g % 13 = 4 and inning = 3)")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,11 @@ from diamondlake.functions.state import season_of
 from diamondlake.operators.columns import order_columns
 from diamondlake.schemas import PITCH, PITCH_COLUMNS
 
+# Kinds of rows of the pitch layer.
+PITCHES, REJECTS = "pitches", "rejects"
+# Most columns a CSV file may have; what stands further right is ignored.
+CSV_COLUMNS = 64
+
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet by season.
@@ -26,14 +32,31 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_csv(pitches: DataFrame, path: str) -> None:
-    """One folder per game with header lines."""
-    ordered = order_columns(pitches, PITCH_COLUMNS)
-    ordered.withColumn("game", F.col("game_id")).write.mode("overwrite").partitionBy("game").csv(path, header=True)
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a layer was written there; a folder without files is none."""
+    try:
+        return not spark.read.parquet(path).isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
 
+def write_pitch_layer(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Rows with ``kind`` (pitches or rejects) by kind and season, in one commit."""
+    seasoned = rows.withColumn("season", season_of(F.col("game_id")))
+    seasoned.hint("rebalance", "kind", "season").write.mode(mode).partitionBy("kind", "season").parquet(path)
 
-def text_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+def read_pitch_layer(spark: SparkSession, path: str, kind: str = PITCHES) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("kind") == kind).drop("kind")
+
+
+def write_csv(pitches: DataFrame, path: str) -> None:
+    """One folder per game with header lines; a game's rows are brought together first."""
+    ordered = order_columns(pitches, PITCH_COLUMNS).withColumn("game", F.col("game_id"))
+    ordered.hint("rebalance", "game").sortWithinPartitions("game", *[c for c in ("seq",) if c in pitches.columns]).write.mode(
+        "overwrite").partitionBy("game").csv(path, header=True)
 
 
 def typed_from_text(columns: dict[str, Column], schema: T.StructType) -> list[Column]:
@@ -50,25 +73,54 @@ def typed_from_text(columns: dict[str, Column], schema: T.StructType) -> list[Co
     return out
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = PITCH) -> DataFrame:
-    """All CSV files below a folder as one table. Broken files are skipped, none is an error.
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place, cells): the records of all CSV files below a folder, header lines included.
 
-    Columns are found by header name in each file, a byte-order mark is ignored.
+    ``place`` grows along a file: the start of the part a task reads plus the record's
+    number in that task. A record has two characters at least, so parts stay in order.
     """
-    raw = (
-        spark.read.schema(text_schema(schema))
-        .options(header=True, recursiveFileLookup=True, ignoreCorruptFiles=True, enforceSchema=False)
-        .csv(path)
+    cells = [f"c{i}" for i in range(CSV_COLUMNS)]
+    wide = T.StructType([T.StructField(c, T.StringType()) for c in cells])
+    # Values as they stand: an empty one is the empty text, not NULL.
+    raw = spark.read.schema(wide).options(header=False, recursiveFileLookup=True, nullValue="\u0000", emptyValue="").csv(path)
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return raw.select(
+        F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") + number).alias("place"), F.array(*cells).alias("cells")
     )
-    if not raw.inputFiles():
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """(file, header) of the files whose first record names the game column."""
+    first = lines.groupBy("file").agg(F.min_by("cells", "place").alias("header"), F.min("place").alias("top"))
+    plain = F.transform("header", lambda c: F.trim(F.regexp_replace(c, "^\ufeff", "")))
+    return first.withColumn("header", plain)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = PITCH) -> DataFrame:
+    """All CSV files below a folder as one table.
+
+    Columns are found by name in each file's own header, in any order; a missing one is
+    NULL, others are ignored, a byte-order mark too. ``seq``, where a file has none, is
+    the place of the row in its file. Files whose header lacks ``game_id`` are left out
+    here and listed by ``skipped_csv``.
+    """
+    lines = _csv_lines(spark, path)
+    if lines.isEmpty():
         raise FileNotFoundError(f"no CSV below {path}")
-    return raw.select(*typed_from_text({f.name: F.col(f.name) for f in schema.fields}, schema))
+    headers = _headers(lines).where(F.array_contains("header", "game_id"))
+    rows = lines.join(headers, "file").where(F.col("place") > F.col("top"))
+    columns = {f.name: F.get("cells", F.array_position("header", f.name).cast("int") - 1) for f in schema.fields}
+    if "seq" in columns:
+        columns["seq"] = F.when(F.array_contains("header", "seq"), columns["seq"]).otherwise(F.col("place").cast("string"))
+    return rows.select(*typed_from_text(columns, schema))
+
+
+def skipped_csv(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header) of the CSV files that ``read_csv`` leaves out."""
+    return _headers(_csv_lines(spark, path)).where(~F.coalesce(F.array_contains("header", "game_id"), F.lit(False))).select("file", "header")
 
 
-def csv_round_trip(pitches: DataFrame, schema: T.StructType = PITCH) -> DataFrame:
-    """Rows as they look after being written to CSV and read again."""
-    ordered = pitches.select(*[f.name for f in schema.fields])
-    line = F.to_csv(F.struct(*ordered.columns))
-    fields = ", ".join(f"{f.name} string" for f in schema.fields)
-    back = ordered.select(F.from_csv(line, F.lit(fields)).alias("row"))
-    return back.select(*typed_from_text({f.name: F.col("row")[f.name] for f in schema.fields}, schema))
+def csv_round_trip(pitches: DataFrame, path: str, schema: T.StructType = PITCH) -> DataFrame:
+    """Rows after being written to CSV files below ``path`` and read again."""
+    write_csv(pitches.select(*schema.names), path)
+    return read_csv(pitches.sparkSession, path, schema)

@@ -21,6 +21,9 @@ from diamondlake.schemas import PITCH, PITCH_COLUMNS, RELAY_DOCUMENT
 # Event kinds in a relay.
 BATTER_EVENT, PITCH_EVENT, RESULT_EVENTS = "8", "1", ("13", "23")
 LAST_INNING = 12
+# Places of halves in an inning that the sequence number has room for, one of them unused.
+HALVES = 256
+INNING_FAULT, PAYLOAD_FAULT = "inning", "payload"
 RELAYS_PATH = "$.result.textRelayData.textRelays"
 # Chunk of a large game in units of ``seq`` (see sequence_number): 8,192 relays of a half.
 SEQ_STEP = 1 << 20
@@ -70,35 +73,54 @@ def _or_default(value: Column, known: Column, default: Column) -> Column:
     return F.when(value.isNull(), default).otherwise(known)
 
 
-def relays(documents: DataFrame) -> DataFrame:
-    """One row per relay with its place; a document without relays keeps one empty row."""
-    parsed = documents.where(F.col("req_inning").between(1, LAST_INNING)).select(
+def _code_text(relay: Column, default: Column) -> Column:
+    code = relay["homeOrAway"]
+    return _or_default(code, F.coalesce(_text(code), F.lit("None")), default)
+
+
+def relays(documents: DataFrame, last_inning: int = LAST_INNING) -> DataFrame:
+    """One row per relay with its place and its half's rank among the document's half codes.
+
+    A document without relays keeps one empty row. ``fault`` tells why a document is
+    set aside: its inning is none of 1 to ``last_inning``, or its payload is no JSON.
+    """
+    known = F.coalesce(F.col("req_inning").between(1, last_inning), F.lit(False))
+    parsed = documents.select("game_id", "req_inning", F.when(known, F.try_parse_json("payload")).alias("json"))
+    parsed = parsed.select(
         "game_id", "req_inning",
-        F.try_variant_get(F.try_parse_json("payload"), RELAYS_PATH, f"array<{RELAY_TYPE}>").alias("list"),
+        F.when(~known, INNING_FAULT).when(F.col("json").isNull(), PAYLOAD_FAULT).alias("fault"),
+        F.try_variant_get("json", RELAYS_PATH, f"array<{RELAY_TYPE}>").alias("list"),
     )
-    return parsed.select(
-        "game_id", "req_inning", F.posexplode_outer("list").alias("relay_pos", "relay")
+    codes = F.array_sort(F.array_distinct(F.transform("list", lambda r: _code_text(r, F.lit("0")))))
+    rows = parsed.select("*", codes.alias("codes")).select(
+        "game_id", "req_inning", "fault", "codes", F.posexplode_outer("list").alias("relay_pos", "relay")
     )
+    half = F.array_position("codes", _code_text(F.col("relay"), F.lit("0")))
+    return rows.withColumn("half_rank", half).drop("codes")
 
 
 def stop_inning() -> Column:
-    """An inning past the first that came empty; the game ends before the least of them."""
-    return F.when(F.col("relay").isNull() & (F.col("req_inning") > 1), F.col("req_inning"))
+    """An inning past the first that came empty; the game ends before the least of them.
+
+    An inning that could not be read is not an empty one.
+    """
+    empty = F.col("relay").isNull() & F.col("fault").isNull() & (F.col("req_inning") > 1)
+    return F.when(empty, F.col("req_inning"))
 
 
 def cut_after_end(rows: DataFrame, width: int | None = None) -> DataFrame:
     """Drop the first empty inning past inning 1 and every later one."""
     marked = key_minimum(rows, "__stop", F.col("stop"), ["game_id"], width)
-    kept = marked.where(F.col("req_inning") < F.coalesce("__stop", F.lit(LAST_INNING + 1)))
+    kept = marked.where(F.col("__stop").isNull() | F.col("fault").isNotNull() | (F.col("req_inning") < F.col("__stop")))
     return kept.drop("__stop")
 
 
 def kept_innings(documents: DataFrame) -> DataFrame:
     """(game_id, req_inning, n_relays) of the documents that are processed."""
-    sizes = relays(documents).withColumn("stop", stop_inning()).groupBy("game_id", "req_inning").agg(
+    sizes = relays(documents).withColumn("stop", stop_inning()).groupBy("game_id", "req_inning", "fault").agg(
         F.count("relay").alias("n_relays"), F.min("stop").alias("stop")
     )
-    return cut_after_end(sizes).drop("stop")
+    return cut_after_end(sizes).where(F.col("fault").isNull()).drop("stop", "fault")
 
 
 def options(documents: DataFrame) -> DataFrame:
@@ -112,17 +134,20 @@ def options(documents: DataFrame) -> DataFrame:
 def sequence_number() -> Column:
     """Order of a pitch in its game, packed into one integer.
 
-    Requested inning, then half by its code text, then relays newest first,
-    then options as delivered. No sort or counter over the game is needed.
+    Requested inning, then half by its code's full text, then relays newest first,
+    then options as delivered. No sort or counter over the game is needed. A
+    document whose places do not fit is an error, never a wrong order.
     """
     step = F.lit(SEQ_STEP).cast("bigint")
-    half = F.col("req_inning").cast("bigint") * 256 + F.least(F.ascii("code_text"), F.lit(255))
-    return (half * step + (step - 1 - F.col("relay_pos"))) * step + F.col("opt_pos")
+    fits = (F.col("relay_pos") < step) & (F.col("opt_pos") < step) & (F.col("half_rank") < HALVES)
+    half = F.col("req_inning").cast("bigint") * HALVES + F.col("half_rank")
+    packed = (half * step + (step - 1 - F.col("relay_pos"))) * step + F.col("opt_pos")
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("a relay document has too many halves, relays or options")).cast("bigint"))
 
 
 def raw_pitches(documents: DataFrame) -> DataFrame:
-    """Pitch rows before counters, plus one marker row per empty document (``seq`` NULL)."""
-    code, inn = F.col("relay.homeOrAway"), F.col("relay.inn")
+    """Pitch rows before counters, plus one marker row per empty or unreadable document (``seq`` NULL)."""
+    inn = F.col("relay.inn")
     listed = F.col("relay.textOptions")
     batter = F.get(F.filter(listed, lambda o: _kind(o) == BATTER_EVENT), F.lit(0))
     result = F.get(F.filter(listed, lambda o: _kind(o).isin(*RESULT_EVENTS)), F.lit(0))
@@ -133,8 +158,8 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
     )
     # Relay fields first, so that they are computed once and no relay is copied per pitch.
     fields = relays(documents).select(
-        "game_id", "req_inning", "relay_pos", stop_inning().alias("stop"),
-        _or_default(code, F.coalesce(_text(code), F.lit("None")), F.lit("0")).alias("code_text"),
+        "game_id", "req_inning", "fault", "relay_pos", "half_rank", stop_inning().alias("stop"),
+        _code_text(F.col("relay"), F.lit("0")).alias("code_text"),
         _or_default(inn, F.try_variant_get(inn, "$", "int"), F.col("req_inning")).alias("inning"),
         F.col("relay.metricOption.wpaByPlate").alias("reward_wpa"),
         batter["batterRecord"].alias("record"),
@@ -142,7 +167,7 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
         thrown.alias("thrown"),
     )
     events = fields.select(*[c for c in fields.columns if c != "thrown"], F.explode_outer("thrown").alias("event"))
-    events = events.where(F.col("event").isNotNull() | F.col("stop").isNotNull())
+    events = events.where(F.col("event").isNotNull() | F.col("stop").isNotNull() | F.col("fault").isNotNull())
     events = events.withColumns({"opt_pos": F.col("event.opt_pos"), "option": F.col("event.option")})
 
     def count_of(name: str) -> Column:
@@ -157,7 +182,7 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
     recent = F.when(variant_truthy(today), _text(today)).otherwise(F.col("record.seasonHra"))
     state = "option.currentGameState"
     return events.select(
-        "game_id", "req_inning", "stop", "inning",
+        "game_id", "req_inning", "fault", "stop", "inning",
         F.col("code_text").try_cast("int").alias("home_or_away"),
         score_difference(F.col(f"{state}.homeScore"), F.col(f"{state}.awayScore")).alias("score_diff"),
         count_of("out").alias("out_count"),
@@ -180,8 +205,12 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
 
 def pitch_rows(documents: DataFrame, width: int | None = None) -> DataFrame:
     """Parsed pitches of all kept innings with pitcher and batter still as text."""
-    kept = cut_after_end(raw_pitches(documents), width)
-    return kept.where(F.col("seq").isNotNull()).drop("stop", "req_inning")
+    return pitches_of(cut_after_end(raw_pitches(documents), width))
+
+
+def pitches_of(kept: DataFrame) -> DataFrame:
+    """The pitches among kept rows, without the markers of documents."""
+    return kept.where(F.col("seq").isNotNull()).drop("stop", "req_inning", "fault")
 
 
 def rejected_rows(rows: DataFrame) -> DataFrame:
@@ -189,6 +218,27 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("inning").isNull())
 
 
+def rejects_of(kept: DataFrame) -> DataFrame:
+    """Everything set aside: such pitches, and documents with a fault (one row each)."""
+    reason = F.coalesce("fault", F.when(F.col("seq").isNotNull() & F.col("inning").isNull(), F.lit(INNING_FAULT)))
+    return kept.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("stop", "fault")
+
+
+def latest_documents(documents: DataFrame) -> DataFrame:
+    """One document per game and inning: the readable one, then the longest, then the largest text.
+
+    Only the documents of innings that came more than once are compared.
+    """
+    key = ["game_id", "req_inning"]
+    twice = documents.groupBy(*key).count().where(F.col("count") > 1).select(F.struct(*key).alias("__key"))
+    same = F.struct(*key) == F.col("__key")
+    readable = F.try_parse_json("payload").isNotNull()
+    best = documents.join(twice, same, "left_semi").groupBy(*key).agg(
+        F.max(F.struct(readable.alias("readable"), F.length("payload").alias("size"), "payload"))["payload"].alias("payload")
+    )
+    return documents.join(twice, same, "left_anti").select(*key, "payload").unionByName(best.select(*key, "payload"))
+
+
 def parse_pitches(documents: DataFrame, width: int | None = None) -> DataFrame:
     """Relay documents -> the 23-column pitch table plus ``seq``.
 

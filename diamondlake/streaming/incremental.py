@@ -1,9 +1,10 @@
-"""Pitch layer fed by a folder of landed games.
+"""Pitch layer fed by a folder of landed documents, in any split over files and batches.
 
-A game is the unit of work: its documents arrive together in one file, so no
-watermark or state is needed. Each micro-batch skips the games that earlier
-batches hold and writes a folder of its own. A batch that is repeated after a
-failure overwrites that folder, hence every game is stored exactly once.
+Every micro-batch keeps its documents, then parses the games it touches anew from all
+their documents so far. So innings that arrive apart are never lost, counters run over
+the whole game, and the cut after an empty inning sees every inning. What a game looks
+like after batch n is in that batch's folders; readers take each game from its latest
+batch. A batch that is repeated after a failure overwrites its own folders.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from diamondlake.operators.ordered import by_size
-from diamondlake.plans.jobs import hot_documents
+from diamondlake.plans.jobs import parsed
 from diamondlake.schemas import PITCH, RELAY_DOCUMENT
-from diamondlake.sources.relay import SEQ_WIDTH, parse_pitches
-from diamondlake.sources.schedule import not_done
+from diamondlake.sources.layers import PITCHES, REJECTS
+from diamondlake.sources.relay import latest_documents
+
+GAMES = T.StructType([T.StructField("game_id", T.StringType()), T.StructField("batch", T.LongType())])
 
 
 def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -27,20 +29,39 @@ def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000
     return reader.json(path)
 
 
-def games_before(spark: SparkSession, out: str, batch: int) -> DataFrame:
-    """Games stored by earlier batches; the batch folders are partitions of one table."""
-    schema = T.StructType([*PITCH.fields, T.StructField("batch", T.LongType())])
-    stored = spark.read.schema(schema).parquet(out)
-    return stored.where(F.col("batch") < batch).select("game_id").distinct()
+def _stored(spark: SparkSession, out: str, table: str, schema: T.StructType) -> DataFrame:
+    batch = [] if "batch" in schema.names else [T.StructField("batch", T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *batch])).parquet(f"{out}/{table}")
 
 
 def store_batch(documents: DataFrame, batch: int, out: str) -> None:
+    """Keep the documents, note the games, and parse those games anew."""
     spark = documents.sparkSession
-    if batch > 0:
-        documents = not_done(documents, games_before(spark, out, batch))
-    documents = documents.dropDuplicates(["game_id", "req_inning"])
-    parsed = by_size(documents, hot_documents(documents), "game_id", SEQ_WIDTH, parse_pitches)
-    parsed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    documents.select(*RELAY_DOCUMENT.names).write.mode("overwrite").parquet(f"{out}/documents/batch={batch}")
+    new = _stored(spark, out, "documents", RELAY_DOCUMENT).where(F.col("batch") == batch)
+    touched = new.select("game_id").distinct()
+    touched.write.mode("overwrite").parquet(f"{out}/games/batch={batch}")
+    games = _stored(spark, out, "games", GAMES).where(F.col("batch") <= batch)
+    # Batch numbers only; a game's documents lie in few batches, which are all that is read.
+    holding = [r.batch for r in games.join(touched, "game_id", "left_semi").select("batch").distinct().collect()]
+    known = _stored(spark, out, "documents", RELAY_DOCUMENT).where(F.col("batch").isin(holding))
+    known = known.join(touched, "game_id", "left_semi").drop("batch")
+    parsed(latest_documents(known)).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/rows/batch={batch}")
+
+
+def read_stream_layer(spark: SparkSession, out: str, kind: str = PITCHES) -> DataFrame:
+    """Every game as its latest batch left it; ``kind`` is pitches or rejects."""
+    latest = _stored(spark, out, "games", GAMES).groupBy("game_id").agg(F.max("batch").alias("batch"))
+    rows = spark.read.option("mergeSchema", True).parquet(f"{out}/rows").where(F.col("kind") == kind)
+    return rows.join(latest, ["game_id", "batch"], "left_semi").drop("batch", "kind")
+
+
+def read_pitches(spark: SparkSession, out: str) -> DataFrame:
+    return read_stream_layer(spark, out).select(*PITCH.names)
+
+
+def read_rejects(spark: SparkSession, out: str) -> DataFrame:
+    return read_stream_layer(spark, out, REJECTS)
 
 
 def start_pitch_stream(spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:

@@ -30,7 +30,7 @@ def test_csv_files(spark, pitches, tmp_path):
     layers.write_csv(pitches, path)
     back = layers.read_csv(spark, path)
     assert back.schema == PITCH
-    same(back, layers.csv_round_trip(pitches))
+    same(back, layers.csv_round_trip(pitches, str(tmp_path / "again")))
     same(back, pitches.withColumn("relay_text", F.nullif("relay_text", F.lit(""))))
 
 
@@ -103,19 +103,25 @@ def test_jobs(spark, small, tmp_path):
     made = jobs.run(spark, landed, root, ids, limit=60)
     listed = schedule.only_listed(documents, ids)
     expected = relay.parse_pitches(listed)
-    stored = layers.read_layer(spark, made.path("pitches"))
+    stored = layers.read_pitch_layer(spark, made.path("pitches"))
     same(stored.select(*PITCH.names), expected)
-    assert layers.read_layer(spark, made.path("rejects")).count() == relay.rejected_rows(relay.pitch_rows(listed)).count() > 0
+    rejects = layers.read_pitch_layer(spark, made.path("pitches"), layers.REJECTS)
+    broken = rejects.where("reason = 'payload'")
+    assert rejects.count() - broken.count() >= relay.rejected_rows(relay.pitch_rows(listed)).count() > 0
+    assert broken.count() == listed.where("payload is null or try_parse_json(payload) is null").count() > 0
     rewards = layers.read_layer(spark, made.path("rewards"))
     assert rewards.count() == layers.read_layer(spark, made.path("plate_appearances")).count() > 0
     assert rewards.where("abs(reward_wpa_computed - (we_after - we_before)) > 1e-12").isEmpty()
     assert {r.section for r in spark.read.json(made.path("report")).select("section").distinct().collect()} == {
-        "figures", "label_mean", "season", "provider", "flag_n", "flag_mean", "passed"
+        "figures", "label_mean", "label_n", "season", "provider", "flag_n", "flag_mean", "flag_std", "mismatch", "criterion", "passed", "conclusion"
     }
     assert layers.read_layer(spark, made.path("training_set")).where("batter_recent_avg is null").isEmpty()
     # A second run skips the games that are there and adds the rest.
-    jobs.collect_pitches(documents, made, done=stored.select("game_id").distinct())
-    same(layers.read_layer(spark, made.path("pitches")).select(*PITCH.names), relay.parse_pitches(documents))
+    jobs.run(spark, landed, root, limit=60)
+    before = layers.read_layer(spark, made.path("pitches")).count()
+    same(layers.read_pitch_layer(spark, made.path("pitches")).select(*PITCH.names), relay.parse_pitches(documents))
+    jobs.run(spark, landed, root, limit=60)
+    assert layers.read_layer(spark, made.path("pitches")).count() == before
 
 
 def test_stream(spark, small, tmp_path):
@@ -128,7 +134,7 @@ def test_stream(spark, small, tmp_path):
 
     def catch_up():
         incremental.start_pitch_stream(spark, landed, out, checkpoint, 1).awaitTermination()
-        return spark.read.parquet(out).drop("batch")
+        return incremental.read_pitches(spark, out)
 
     land(games[:5])
     same(catch_up(), relay.parse_pitches(documents.where(F.col("game_id").isin(games[:5]))))
@@ -138,4 +144,55 @@ def test_stream(spark, small, tmp_path):
     same(got, relay.parse_pitches(documents))
     # A repeated batch replaces its own folder.
     incremental.store_batch(documents.where(F.col("game_id").isin(games[3:9])), 1, out)
-    same(spark.read.parquet(out).drop("batch"), relay.parse_pitches(documents))
+    same(incremental.read_pitches(spark, out), relay.parse_pitches(documents))
+
+
+def test_stream_of_single_innings(spark, small, tmp_path):
+    """Innings of one game in several batches, an empty one before and after its game's others."""
+    documents = relay_view.relay_documents(spark, small).cache()
+    out = str(tmp_path / "out")
+    parts = ("req_inning in (2, 5, 6, 9)", "req_inning in (1, 3)", "req_inning in (4, 7, 8)", "req_inning > 9")
+    for batch, part in enumerate(parts):
+        incremental.store_batch(documents.where(part), batch, out)
+    same(incremental.read_pitches(spark, out), relay.parse_pitches(documents))
+    rejects = relay.rejects_of(relay.cut_after_end(relay.raw_pitches(documents)))
+    assert incremental.read_rejects(spark, out).count() == rejects.count() > 0
+
+
+def test_unreadable_inning(spark):
+    """An inning that is no JSON, or missing, is set aside; the game goes on. An empty one ends it."""
+    option = {"type": 1, "pitchResult": "S", "currentGameState": {"pitcher": "1", "batter": "2"}}
+
+    def payload(n):
+        return json.dumps({"result": {"textRelayData": {"textRelays": [{"homeOrAway": "0", "inn": n, "textOptions": [option]}]}}})
+
+    rows = [("g", n, payload(n)) for n in range(1, 10)] + [("h", 1, payload(1)), ("h", 2, '{"result":{}}'), ("h", 3, payload(3)), ("g", 13, payload(13))]
+    rows[2], rows[4] = ("g", 3, payload(3)[:40]), ("g", 5, None)
+    frame = spark.createDataFrame(rows, "game_id string, req_inning int, payload string")
+    got = sorted((r.game_id, r.inning) for r in relay.parse_pitches(frame).collect())
+    assert got == [("g", n) for n in (1, 2, 4, 6, 7, 8, 9)] + [("h", 1)]
+    set_aside = relay.rejects_of(relay.cut_after_end(relay.raw_pitches(frame))).select("req_inning", "reason").collect()
+    assert sorted(map(tuple, set_aside)) == [(3, "payload"), (5, "payload"), (13, "inning")]
+    twice = spark.createDataFrame([*rows, ("g", 3, payload(3)), ("g", 1, "x"), ("g", None, "y")], frame.schema)
+    assert relay.latest_documents(twice).where("game_id = 'g' and req_inning = 3").first().payload == payload(3)
+    assert relay.latest_documents(twice).count() == len(rows) + 1
+
+
+def test_half_order_by_full_code(spark):
+    """Halves are ordered by their whole code text."""
+    option = {"type": 1, "pitchResult": "S", "currentGameState": {"pitcher": "1", "batter": "2"}}
+    listed = [{"homeOrAway": code, "inn": 1, "textOptions": [{**option, "speed": str(i)}]} for i, code in enumerate(["10", "1", "100", "2"])]
+    frame = spark.createDataFrame([("g", 1, json.dumps({"result": {"textRelayData": {"textRelays": listed}}}))], "game_id string, req_inning int, payload string")
+    assert [r.home_or_away for r in relay.parse_pitches(frame).orderBy("seq").collect()] == [1, 10, 100, 2]
+
+
+def test_csv_by_name(spark, tmp_path):
+    """Files of any column order, without ``seq``, with a quoted line break; one without the game column is listed."""
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.csv").write_text("game_id,inning,pitch_type\ng1,3,FAST\ng1,4,\n", encoding="utf-8-sig")
+    (tmp_path / "two.csv").write_text("extra,inning,game_id\nx,7,g2\n")
+    (tmp_path / "bad.csv").write_text("no,header\n1,2\n")
+    rows = layers.read_csv(spark, str(tmp_path)).orderBy("game_id", "seq").collect()
+    assert [(r.game_id, r.inning, r.pitch_type) for r in rows] == [("g1", 3, "FAST"), ("g1", 4, None), ("g2", 7, None)]
+    assert rows[0].seq < rows[1].seq and layers.read_csv(spark, str(tmp_path)).schema == PITCH
+    assert [r.file.rsplit("/", 1)[1] for r in layers.skipped_csv(spark, str(tmp_path)).collect()] == ["bad.csv"]
