@@ -32,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from diamondlake.llm.arrow_groups import changes, whole_groups
 from diamondlake.llm.byte_words import PrefixHashes, mix
 from diamondlake.llm.text_units import text_slices
 from diamondlake.operators.materialize import materialize
 
 CHUNK = 8_192
-#: Bytes handled at once; positions in a piece need 24 bits.
-PIECE = 8_000_000
+#: Bytes handled at once, about 150 times as much memory; positions in a piece need 24 bits.
+PIECE = 1_000_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -91,7 +92,8 @@ def context_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
         who, raw, offset, size = [], [], [], 0
         for i, text in enumerate(texts):
             whole = text.encode()
-            for at in range(0, max(1, len(whole)), PIECE - length):
+            # The parts share length - 1 bytes, so every window lies in exactly one.
+            for at in range(0, max(1, len(whole)), PIECE - length + 1):
                 part = whole[at : at + PIECE]
                 if at and len(part) < length:
                     continue
@@ -109,7 +111,7 @@ def context_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             places = pa.RecordBatch.from_arrays([pa.array(np.arange(len(k1))), batch.column(2)], names=["i", "text"])
-            for rows, texts in text_slices(iter([places])):
+            for rows, texts in text_slices(iter([places]), PIECE):
                 rows = np.array(rows)
                 for who, raw, offset in pieces(texts):
                     found = anchors(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw]), length, gram)
@@ -234,52 +236,27 @@ def _sorted_ranges(contexts: DataFrame, length: int) -> DataFrame:
     """
 
     def solve(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        g, chunk, e = rows["g"].to_numpy(), rows["chunk"].to_numpy(), rows["e"].to_numpy()
-        copies, to_anchor, chunked = rows["copies"].to_numpy(), rows["to_anchor"].to_numpy(), rows["chunked"].to_numpy(zero_copy_only=False)
-        text = rows["bytes"].to_pylist()
-        change = np.flatnonzero((g[1:] != g[:-1]) | (chunk[1:] != chunk[:-1])) + 1
-        bounds = [0, *change.tolist(), len(g)]
-        at = 0
-        while at < len(bounds) - 1:
-            upto = at + 1
-            while upto < len(bounds) - 1 and bounds[upto + 1] - bounds[at] <= 2_000:
-                upto += 1
-            s = slice(bounds[at], bounds[upto])
-            group = np.repeat(np.arange(upto - at), np.diff(bounds[at : upto + 1]))
-            context, start, kind, total = sort_contexts(group, text[s], to_anchor[s], copies[s], length)
-            hit = total > 1
-            n = s.stop - s.start
-            low, high = np.full(n, 1 << 30), np.full(n, -1)
-            np.minimum.at(low, context[hit], start[hit])
-            np.maximum.at(high, context[hit], start[hit])
-            found = np.flatnonzero(high >= 0)
-            yield pa.record_batch({"g": g[s][found], "e": e[s][found], "low": low[found], "high": high[found] + length,
-                                   "delta": pa.nulls(len(found), pa.int64()), "digest": pa.nulls(len(found), pa.binary())})
-            if chunked[s].any():
-                one = np.flatnonzero(np.diff(kind, prepend=-1) & chunked[s][context])
-                yield pa.record_batch({
-                    "g": g[s][context[one]], "e": e[s][context[one]], "low": start[one], "high": start[one] + length,
-                    "delta": (to_anchor[s][context[one]] - start[one]).astype(np.int64),
-                    "digest": pa.array([hashlib.blake2b(text[s.start + c][b : b + length], digest_size=16).digest()
-                                        for c, b in zip(context[one].tolist(), start[one].tolist())], pa.binary())})
-            at = upto
+        g, e, copies, to_anchor = (rows[c].to_numpy() for c in ("g", "e", "copies", "to_anchor"))
+        chunked, text = rows["chunked"].to_numpy(zero_copy_only=False), rows["bytes"].to_pylist()
+        group = np.cumsum(changes(rows, ("g", "chunk"))) - 1
+        context, start, kind, total = sort_contexts(group, text, to_anchor, copies, length)
+        hit = total > 1
+        low, high = np.full(len(g), 1 << 30), np.full(len(g), -1)
+        np.minimum.at(low, context[hit], start[hit])
+        np.maximum.at(high, context[hit], start[hit])
+        found = np.flatnonzero(high >= 0)
+        yield pa.record_batch({"g": g[found], "e": e[found], "low": low[found], "high": high[found] + length,
+                               "delta": pa.nulls(len(found), pa.int64()), "digest": pa.nulls(len(found), pa.binary())})
+        one = np.flatnonzero(np.diff(kind, prepend=-1).astype(bool) & chunked[context])
+        if len(one):
+            context, start = context[one], start[one]
+            digests = [hashlib.blake2b(text[c][b : b + length], digest_size=16).digest() for c, b in zip(context.tolist(), start.tolist())]
+            yield pa.record_batch({"g": g[context], "e": e[context], "low": start, "high": start + length,
+                                   "delta": to_anchor[context] - start, "digest": pa.array(digests, pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not len(batch):
-                continue
-            last = (batch["g"][-1], batch["chunk"][-1])
-            if held and (held[0]["g"][0], held[0]["chunk"][0]) == last:
-                held.append(batch)  # still the same group
-                continue
-            g, chunk = batch["g"].to_numpy(), batch["chunk"].to_numpy()
-            final = np.flatnonzero((g != g[-1]) | (chunk != chunk[-1]))
-            cut = int(final[-1]) + 1 if len(final) else 0
-            yield from solve(pa.Table.from_batches([*held, batch.slice(0, cut)])) if held or cut else ()
-            held = [batch.slice(cut)]
-        if held:
-            yield from solve(pa.Table.from_batches(held))
+        for rows in whole_groups(batches, ("g", "chunk"), 2_000):
+            yield from solve(rows)
 
     return contexts.mapInArrow(run, "g long, e long, low long, high long, delta long, digest binary")
 
@@ -287,11 +264,14 @@ def _sorted_ranges(contexts: DataFrame, length: int) -> DataFrame:
 # ---- operator ------------------------------------------------------------------------------------
 
 
-def mark_repeats(docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``spans``: the byte ranges (start, stop) to remove, disjoint and ascending; NULL for none.
+def mark_repeats(
+    docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "spans"
+) -> DataFrame:
+    """``docs`` with ``spans_col``: the byte ranges (start, stop) to remove, disjoint and ascending; NULL for none.
 
-    The input's own columns keep their names and values.
+    The input's other columns keep their names and values; one named ``spans_col`` is replaced.
     """
+    docs = docs.drop(spans_col)
     k1, k2 = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.hash(text_col)
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
     found = context_rows(keyed, length, gram)
@@ -322,7 +302,7 @@ def mark_repeats(docs: DataFrame, length: int = 400, gram: int = 100, id_col: st
     spans = whole.union(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = _merged(spans).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans"))
     marked = docs.join(spans, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left")
-    return marked.drop("__k1", "__k2").withColumnRenamed("__spans", "spans")
+    return marked.drop("__k1", "__k2").withColumnRenamed("__spans", spans_col)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -405,7 +385,7 @@ def repeat_digests(marked: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated passages cut out of the text; characters cut in two are dropped."""
-    marked = mark_repeats(docs, length, gram, id_col, text_col)
+    marked = mark_repeats(docs, length, gram, id_col, text_col, "__repeats")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
