@@ -20,12 +20,17 @@ def widest_game(pa: DataFrame) -> DataFrame:
 
 
 def game_head_tail(pa: DataFrame, size: int = 30) -> DataFrame:
-    """First and last rows of the widest game; the whole game when it has at most 2*size rows.
+    """First and last rows of the widest game; the whole game when it has at most 2*size rows."""
+    chosen = F.broadcast(widest_game(pa).select("game_id"))  # one row
+    return head_tail(pa.join(chosen, "game_id", "left_semi"), size)
+
+
+def head_tail(game: DataFrame, size: int = 30) -> DataFrame:
+    """First and last rows of one game's plate appearances.
 
     Two top-k selections instead of a numbered window, so the game may be of any size.
     """
-    chosen = F.broadcast(widest_game(pa).select("game_id"))  # one row
-    game = pa.join(chosen, "game_id", "left_semi").select(
+    game = game.select(
         "game_id", "pa_seq", "inning", "home_or_away", "out_count",
         base_digits(F.col("is_base1"), F.col("is_base2"), F.col("is_base3")).alias("base_state"),
         "score_diff", "pa_result",
@@ -73,7 +78,16 @@ def hypotheses(moves: DataFrame) -> DataFrame:
 
 def violation_sample(pa: DataFrame, moves: DataFrame, halves: int = 3) -> DataFrame:
     """Rows of the first few halves in which the score fell."""
-    first = moves.where("any_down").select(*HALF).orderBy(*HALF).limit(halves)
+    return rows_of_halves(pa, first_violations(moves, halves))
+
+
+def first_violations(moves: DataFrame, halves: int = 3) -> DataFrame:
+    """The first few halves in which the score fell."""
+    return moves.where("any_down").select(*HALF).orderBy(*HALF).limit(halves)
+
+
+def rows_of_halves(pa: DataFrame, first: DataFrame) -> DataFrame:
+    """Plate appearances of a few halves."""
     return pa.select(*MOVE_COLUMNS).join(F.broadcast(first), HALF, "left_semi")  # `halves` rows at most
 
 

@@ -75,7 +75,9 @@ def branches(
     """Rows of ordinary keys, and those of hot keys with the chunk width to use."""
     if hot is None:
         return [(df, None)]
-    return [(df.join(hot, key, "left_anti"), None), (df.join(hot, key, "left_semi"), width)]
+    named = hot.select(F.col(key).alias("__hot"))
+    same = F.col(key).eqNullSafe(F.col("__hot"))
+    return [(df.join(named, same, "left_anti"), None), (df.join(named, same, "left_semi"), width)]
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:

@@ -514,6 +514,8 @@ BODIES: dict[str, tuple[str, str]] = {
         count(*) FILTER (WHERE t >= b) AS order_fail FROM (SELECT min(pa_seq) FILTER (WHERE home_or_away = 0) AS t,
           min(pa_seq) FILTER (WHERE home_or_away = 1) AS b FROM pa GROUP BY game_id, inning)"""),
     "pa_result_dist": ("clean", _counts("pa_result", "clean")),
+    "pa_result_counts": ("wpa", _counts("pa_result", "wpa")),
+    "pitches_per_pa_all": ("wpa", _describe("", "pitches_per_pa", "wpa")),
     "unk_rate": ("pa", f"""SELECT n_pa, n_unknown, {_r('n_unknown / n_pa')} AS unknown_rate, n_unknown / n_pa > 0.05 AS alarm
         FROM (SELECT count(*) AS n_pa, count(*) FILTER (WHERE pa_result = 'UNK') AS n_unknown FROM pa)"""),
     "pitches_per_pa": ("clean", _describe("", "pitches_per_pa", "clean")),

@@ -23,7 +23,6 @@ SEQ_STEP = 1_000_000_000_000
 LINE_ORDER = (
     "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate",
 )
-_hot: dict[tuple[str, str, int], DataFrame | None] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,15 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def hot_games(spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT) -> DataFrame | None:
-    """Games with too many pitches for one task; counted once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, limit)
-    if key not in _hot:
-        lines = table(spark, sf_dir, "lineitem").select(
-            F.expr(f"cast(floor(l_orderkey / {ORDERS_PER_GAME}) as bigint)").alias("g")
-        )
-        found = find_hot(lines, "g", limit)
-        _hot[key] = None if found is None else found.select("g", F.expr(GAME_ID).alias("game_id"))
-    return _hot[key]
+    """Games with too many pitches for one task, by their row counts."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr(f"cast(floor(l_orderkey / {ORDERS_PER_GAME}) as bigint)").alias("g")
+    )
+    found = find_hot(lines, "g", limit)
+    return None if found is None else found.select("g", F.expr(GAME_ID).alias("game_id"))
 
 
 def plate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

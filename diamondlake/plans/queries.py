@@ -158,9 +158,12 @@ def id_list(spark, d):
 
 @query
 def month_windows(spark, d):
-    dates = view.table(spark, d, "orders").select("o_orderdate")
-    played = dates.where(F.month("o_orderdate").between(schedule.FIRST_MONTH, schedule.LAST_MONTH))
-    return played.groupBy(*schedule.month_window(F.to_date("o_orderdate"))).agg(F.count("*").alias("n_orders"))
+    """The months to ask for that hold orders, over the years of the orders."""
+    dates = view.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"))
+    years = dates.agg(F.min(F.year("day")), F.max(F.year("day"))).first()
+    counted = dates.groupBy(F.trunc("day", "month").alias("first_day")).agg(F.count("*").alias("n_orders"))
+    windows = schedule.month_windows(spark, *years)
+    return windows.join(counted, "first_day").select("first_day", "last_day", "n_orders")
 
 
 @query
@@ -401,6 +404,12 @@ def _moves(spark: SparkSession, d: str) -> DataFrame:
     return by_game_size(spark, d, lambda rows, w: conventions.half_moves(_plate(rows, w), w))
 
 
+def _plate_of_games(spark: SparkSession, d: str, games: DataFrame) -> DataFrame:
+    """Plate appearances of a few games, a frame of a stated number of rows."""
+    few = F.broadcast(games)
+    return union([_plate(rows.join(few, "game_id", "left_semi"), w) for rows, w in view.pitch_branches(spark, d)])
+
+
 @query
 def widest_game(spark, d):
     return conventions.widest_game(plate(spark, d))
@@ -408,7 +417,9 @@ def widest_game(spark, d):
 
 @query
 def game_head_tail(spark, d):
-    return conventions.game_head_tail(materialize(plate(spark, d)))  # read three times
+    """The widest game is found from the scores; only its own rows go through the whole chain."""
+    game = materialize(conventions.widest_game(plate(spark, d)).select("game_id"))  # one row
+    return conventions.head_tail(materialize(_plate_of_games(spark, d, game)))  # read twice
 
 
 @query
@@ -418,9 +429,9 @@ def convention_hypotheses(spark, d):
 
 @query
 def violation_sample(spark, d):
-    games = [(materialize(_plate(rows, w).select(*conventions.MOVE_COLUMNS)), w) for rows, w in view.pitch_branches(spark, d)]
-    moves = union([conventions.half_moves(pa, w) for pa, w in games])
-    return conventions.violation_sample(union([pa for pa, _ in games]), moves)
+    """The halves are found first; only their games go through the chain again."""
+    first = materialize(conventions.first_violations(_moves(spark, d)))  # three rows at most
+    return conventions.rows_of_halves(_plate_of_games(spark, d, first.select("game_id").distinct()), first)
 
 
 @query
@@ -451,6 +462,16 @@ def pa_result_dist(spark, d):
     return profile.value_counts(clean(spark, d), "pa_result")
 
 
+@query
+def pa_result_counts(spark, d):
+    return profile.value_counts(rewards(spark, d), "pa_result")
+
+
+@query
+def pitches_per_pa_all(spark, d):
+    return describe(rewards(spark, d).select("pitches_per_pa"), [], "pitches_per_pa")
+
+
 @query
 def unk_rate(spark, d):
     return profile.unknown_rate(plate(spark, d))
