@@ -37,6 +37,8 @@ from diamondlake.operators.materialize import materialize
 FREQUENT, ENDINGS, CLASSES = 1_024, 512, 128
 HEAD, HEAD_BYTES = 200_000, 64
 FLUSH = 400_000
+#: Characters tokenised at once.
+SLICE = 1_500_000
 #: The end token as a word; no text can contain it, as it holds a blank.
 END = b" "
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -71,7 +73,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for _, texts in text_slices(batches):
+        for _, texts in text_slices(batches, SLICE):
             for text in texts:
                 counts.update(text.encode().translate(_LOWER).split())
             if len(counts) > FLUSH:
@@ -93,7 +95,7 @@ def unit_bigrams(docs: DataFrame, frequent: list[bytes]) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit_of = UnitOf(frequent)
         total = np.zeros(size * size, dtype=np.int64)
-        for _, texts in text_slices(batches):
+        for _, texts in text_slices(batches, SLICE):
             units = np.fromiter(map(unit_of.__getitem__, chain.from_iterable(map(tokens, texts))), dtype=np.int64)
             before = np.concatenate(([unit_of[END]], units[:-1]))
             pairs, n = np.unique(before * size + units, return_counts=True)
@@ -246,7 +248,7 @@ def score(docs: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col:
         m = shared.value
         place, units = {w: i for i, w in enumerate(m["words"])}, UnitOf(m["frequent"])
         known, kinds = place.get, m["kind_of_unit"]
-        for ids, texts in text_slices(batches):
+        for ids, texts in text_slices(batches, SLICE):
             flat = [tokens(t) for t in texts]
             sizes = np.array([len(f) for f in flat])
             bounds = np.cumsum(sizes) - sizes
