@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ from diamondlake.operators.materialize import materialize
 REGISTERS, BANDS = 128, 32
 MANTISSA = 10
 BLOCK = 256
+#: Characters hashed at once, about 100 times as much memory.
+HASHED_CHARS = 1_000_000
 _ATTEMPTS = 512
 
 
@@ -98,7 +101,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, n, set_hash, registers) of every row; set_hash is NULL for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_slices(batches):
+        for ids, texts in text_slices(batches, HASHED_CHARS):
             shingles, bounds = shingle_sets(texts)
             n = np.diff(bounds)
             # Two sums over the set, 128 bits together, stand for the set.
@@ -202,7 +205,7 @@ def set_rows(texts: DataFrame) -> DataFrame:
     """(id, shingles): the full shingle set of every (id, text) row, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts_ in text_slices(batches):
+        for ids, texts_ in text_slices(batches, HASHED_CHARS):
             shingles, bounds = shingle_sets(texts_)
             sets = [shingles[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
             yield pa.record_batch({"id": pa.array(ids, pa.int64()), "shingles": pa.array(sets, pa.binary())})
@@ -281,15 +284,20 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             keep = np.zeros(len(a), dtype=bool)
-            for at in range(0, len(a), 256):
-                left, right = (batch.column(c).slice(at, 256).to_pylist() for c in (2, 3))
+            # As many pairs at once as fit into a slice of bounded size, one at least.
+            size = np.cumsum(pc.add(pc.utf8_length(batch.column(2)), pc.utf8_length(batch.column(3))).to_numpy())
+            at = 0
+            while at < len(a):
+                upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + HASHED_CHARS, side="right")))
+                left, right = (batch.column(c).slice(at, upto - at).to_pylist() for c in (2, 3))
                 place = {t: i for i, t in enumerate(dict.fromkeys(left + right))}
                 shingles, bounds = shingle_sets(list(place))
                 sets = [shingles[s:e] for s, e in zip(bounds, bounds[1:])]
-                for k, (x, y) in enumerate(zip(left, right)):
+                for k, (x, y) in enumerate(zip(left, right), at):
                     x, y = sets[place[x]], sets[place[y]]
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[at + k] = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+                    keep[k] = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+                at = upto
             yield pa.record_batch({"a": a[keep], "b": b[keep]})
 
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))

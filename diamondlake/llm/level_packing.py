@@ -65,6 +65,10 @@ class UnitTokens:
         self.stand_in = {byte: char for char, byte in byte_alphabet().items()}
         self.units, self.words = UnitCache(), UnitCache()
 
+    def forget(self) -> None:
+        """Give the memory of the learnt units back; the worker process lives on."""
+        self.units, self.words = UnitCache(), UnitCache()
+
     def _word(self, word: str) -> bytes:
         shown = word.encode().decode("latin-1").translate(self.stand_in)
         return array("I", [token.id for token in self.tokenizer.model.tokenize(shown)]).tobytes()
@@ -216,6 +220,7 @@ def pack_documents(
             emit(bin_)
         if rows:
             yield flushed()
+        tokens.forget()
 
     packed = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)
     return packed.withColumnRenamed("id", id_col)
