@@ -1,16 +1,22 @@
 """Brown class-based bigram model: exchange clustering, class transitions, word emissions.
 
 Words (runs without blanks, A-Z lower-cased) are followed by one end token per text.
-The ``frequent`` most frequent words are units of their own; all other words with the
-same hashed ending form a unit together. Exchange clustering moves units between
-classes as long as that raises the likelihood of the class bigrams. A token then has
-probability P(class | class before) * P(word | class), both smoothed, so that a word
-never seen shares its class's rest mass.
-
-Corpus statistics cover every training text: word counts are combined in tasks and in
-one shuffle; bigram counts are over units, at most ``units`` squared numbers however
-large the corpus is. Counts of the ``head`` most frequent words, a stated bound, are
-sent to the tasks; occurrences of rarer words meet the full count table in a join.
+Clustering has two steps. The ``frequent`` most frequent words are units of their own and
+all other words with the same hashed ending form a unit together; exchange clustering
+moves these units between classes as long as that raises the likelihood of the class
+bigrams. Then every other word of the training texts is moved on its own: its counts of
+classes before and behind it, over all its occurrences, decide which class raises the
+likelihood most. All words of a round are judged against the class bigrams before the
+round; a round that does not raise the likelihood is not taken. The class of an ending
+remains for words that no training text has. A token then has probability
+P(class | class before) * P(word | class), both smoothed, so that a word never seen
+shares its class's rest mass.
+
+Corpus statistics cover every training text: word counts and the counts of (word, class
+beside it) are combined in tasks and in shuffles and stay tables; the driver gets unit
+and class bigrams only, whose size is fixed. Counts and classes of the ``head`` most
+frequent words, a stated bound, are sent to the tasks; rarer words meet the full table
+in a join.
 
 Defined results: a NULL or empty text is its end token alone; without training texts
 every probability is a smoothed constant; a text that occurs twice is scored twice; a
@@ -23,10 +29,12 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +47,12 @@ HEAD, HEAD_BYTES = 200_000, 64
 FLUSH = 400_000
 #: Characters tokenised at once.
 SLICE = 1_500_000
+#: Rounds over the words that are no units, and contexts judged at once.
+ROUNDS, ENTRIES = 2, 20_000
+#: Characters whose contexts are counted together, and one packed context.
+CONTEXT_SLICE, PACKED = 6_000_000, np.dtype([("beside", "<u2"), ("n", "<u4")])
+#: Log of how much likelier a word's class is that of its ending than another one, before its contexts are known.
+STAY = 4.8
 #: The end token as a word; no text can contain it, as it holds a blank.
 END = b" "
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -51,15 +65,36 @@ def tokens(text: str) -> list[bytes]:
     return found
 
 
+class Lexicon(list):
+    """The frequent words, and the table (word, n, kind) of all words."""
+
+    def __init__(self, frequent: list[bytes], table: DataFrame):
+        super().__init__(frequent)
+        self.table = table
+
+    @cached_property
+    def kinds(self) -> dict[bytes, int]:
+        """Classes of all words, on the driver: to look into models of few words; no task asks for it."""
+        found = self.table.select("word", "kind").toArrow()
+        return dict(zip(found["word"].to_pylist(), found["kind"].to_pylist()))
+
+
 class UnitOf(dict):
-    """Word -> unit; a word that is no unit of its own belongs to the unit of its ending."""
+    """Word -> unit; a word that is no unit of its own belongs to the unit of its ending.
+
+    With a model's ``Lexicon`` the words it has learnt have one unit per class, behind the endings.
+    """
 
     def __init__(self, frequent: list[bytes]):
         super().__init__((w, i) for i, w in enumerate(frequent))
         self.own = len(frequent)
+        self.lexicon = frequent if isinstance(frequent, Lexicon) else None
 
     def __missing__(self, word: bytes) -> int:
-        unit = self.own + zlib.crc32(word[-2:]) % ENDINGS
+        if self.lexicon is not None and word in self.lexicon.kinds:
+            unit = self.own + ENDINGS + self.lexicon.kinds[word]
+        else:
+            unit = self.own + zlib.crc32(word[-2:]) % ENDINGS
         if len(self) < FLUSH:
             self[word] = unit
         return unit
@@ -171,127 +206,336 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.ndarray:
     return kind
 
 
+# ---- classes of all other words ------------------------------------------------------------
+
+
+@dataclass
+class Head:
+    """The words that tasks know: END first, then by frequency."""
+
+    words: list[bytes]
+    n: np.ndarray
+    kind: np.ndarray
+
+
+def with_words(docs: DataFrame, head: Head, own: list[bytes], ending: np.ndarray, table: DataFrame) -> DataFrame:
+    """(id, text, at, met) of (id, text) rows.
+
+    ``at`` has a place in ``head`` per token, or -1 - i for the word of place i in ``met``, which
+    lists (i, kind, n) of the row's other words; those not in ``table`` have n 0 and their ending's class.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((head.words, own, ending))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, own, ending = shared.value
+        known, units = {w: i for i, w in enumerate(words)}.get, UnitOf(own)
+        for ids, texts in text_slices(batches, SLICE):
+            at, sizes, rare, kinds, many = [], [], [], [], []
+            for text in texts:
+                flat = tokens(text)
+                place = np.fromiter(map(known, flat, [-1] * len(flat)), dtype=np.int32, count=len(flat))
+                others = np.flatnonzero(place < 0).tolist()
+                seen: dict[bytes, int] = {}
+                for i in others:
+                    place[i] = -1 - seen.setdefault(flat[i], len(seen))
+                at.append(place)
+                sizes.append(len(flat))
+                rare.extend(seen)
+                kinds.extend(int(ending[units[w]]) for w in seen)
+                many.append(len(seen))
+            entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(kinds, pa.int32())], names=["word", "ending"])
+            yield pa.record_batch({
+                "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()),
+                "at": pa.ListArray.from_arrays(_bounds(sizes), pa.array(np.concatenate(at))),
+                "rare": pa.ListArray.from_arrays(_bounds(many), entries),
+            })
+
+    rows = docs.mapInArrow(run, "id long, text string, at array<int>, rare array<struct<word: binary, ending: int>>")
+    # Numbered and written once, so that the parts of a row find each other again.
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
+    rare = rows.select("row", F.posexplode("rare").alias("i", "one")).select("row", "i", "one.*")
+    met = rare.join(table, "word", "left").select("row", "i", F.coalesce("kind", "ending").alias("kind"), F.coalesce("n", F.lit(0)).alias("n"))
+    met = met.groupBy("row").agg(F.collect_list(F.struct("i", "kind", "n")).alias("met"))
+    return rows.drop("rare").join(met, "row", "left").drop("row")
+
+
+def _bounds(sizes: list[int]) -> pa.Array:
+    return pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+
+
+def met_tokens(batch: pa.RecordBatch, n: np.ndarray, kind: np.ndarray, least: int = 1_000_000) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, tokens per row, n and kind of every token) of ``with_words`` rows, some at a time."""
+    every = batch.column(batch.schema.get_field_index("at"))
+    long = np.cumsum(np.asarray(every.value_lengths())) // least
+    cuts = [0, *(np.flatnonzero(np.diff(long)) + 1).tolist(), len(batch)]
+    for low, high in zip(cuts, cuts[1:]):
+        part = batch.slice(low, high - low)
+        at, met = (part.column(batch.schema.get_field_index(c)) for c in ("at", "met"))
+        sizes, flat = np.asarray(at.value_lengths()), np.asarray(at.flatten())
+        many = np.asarray(met.value_lengths().fill_null(0))
+        one = met.flatten()
+        place = np.repeat(np.cumsum(many) - many, many) + np.asarray(one.field("i"))
+        met_n, met_kind = np.zeros(len(one), dtype=np.int64), np.zeros(len(one), dtype=np.int64)
+        met_n[place], met_kind[place] = np.asarray(one.field("n")), np.asarray(one.field("kind"))
+        rare = np.flatnonzero(flat < 0)
+        out_n, out_kind = n[np.maximum(flat, 0)], kind[np.maximum(flat, 0)]
+        source = np.repeat(np.cumsum(many) - many, sizes)[rare] - 1 - flat[rare]
+        out_n[rare], out_kind[rare] = met_n[source], met_kind[source]
+        yield slice(low, high), sizes, out_n, out_kind
+
+
+def _contexts(flat: list[bytes], kinds: np.ndarray, own: set[bytes], end_kind: int, classes: int) -> pa.RecordBatch:
+    """(word, kind, packed): classes before (k) and behind (classes + k) every word that is not in ``own``, with counts."""
+    coded = pa.array(flat, pa.binary()).dictionary_encode()
+    codes, words = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+    free = np.fromiter((w not in own for w in words.to_pylist()), dtype=bool, count=len(words))
+    where = np.flatnonzero(free[codes])
+    before = np.concatenate(([end_kind], kinds[:-1]))
+    kind = np.zeros(len(words), dtype=np.int64)
+    kind[codes] = kinds
+    # A word always has a token behind it, as texts close with END.
+    beside = np.concatenate([before[where], classes + kinds[where + 1]])
+    pairs, n = np.unique(np.tile(codes[where], 2) * (2 * classes) + beside, return_counts=True)
+    code, size = np.unique(pairs // (2 * classes), return_counts=True)
+    packed = np.empty(len(pairs), dtype=PACKED)
+    packed["beside"], packed["n"] = pairs % (2 * classes), n
+    bounds = pa.py_buffer(np.concatenate(([0], np.cumsum(size) * PACKED.itemsize)).astype(np.int32))
+    lists = pa.Array.from_buffers(pa.binary(), len(code), [None, bounds, pa.py_buffer(packed.tobytes())])
+    return pa.record_batch({"word": words.take(pa.array(code)), "kind": pa.array(kind[code], pa.int32()), "packed": lists})
+
+
+_CONTEXT = "word binary, kind int, packed binary"
+
+
+def first_contexts(docs: DataFrame, own: list[bytes], kind: np.ndarray, classes: int) -> DataFrame:
+    """Contexts while words that are no units have their ending's class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, fixed = UnitOf(own), set(own)
+        for _, texts in text_slices(batches, CONTEXT_SLICE):
+            flat = list(chain.from_iterable(map(tokens, texts)))
+            kinds = kind[np.fromiter(map(units.__getitem__, flat), dtype=np.int64, count=len(flat))]
+            yield _contexts(flat, kinds, fixed, int(kind[0]), classes)
+
+    return docs.select(F.lit(0).alias("id"), "text").mapInArrow(run, _CONTEXT)
+
+
+def later_contexts(rows: DataFrame, head: Head, own: list[bytes], classes: int) -> DataFrame:
+    """Contexts of ``with_words`` rows."""
+    n, kind = head.n, head.kind
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fixed = set(own)
+        for batch in batches:
+            for rows, _, _, kinds in met_tokens(batch, n, kind):
+                texts = batch.column(0)[rows].to_pylist()
+                yield _contexts(list(chain.from_iterable(map(tokens, texts))), kinds, fixed, int(kind[0]), classes)
+
+    return rows.select("text", "at", "met").mapInArrow(run, _CONTEXT)
+
+
+def class_bigrams(rows: DataFrame, head: Head, classes: int) -> np.ndarray:
+    """Counts of (class before, class) over ``with_words`` rows."""
+    n, kind = head.n, head.kind
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, dtype=np.int64)
+        for batch in batches:
+            for _, _, _, kinds in met_tokens(batch, n, kind):
+                before = np.concatenate((kind[:1], kinds[:-1]))
+                total += np.bincount(before * classes + kinds, minlength=classes * classes)
+        found = np.flatnonzero(total)
+        yield pa.record_batch({"pair": found, "n": total[found]})
+
+    # At most classes squared rows.
+    summed = rows.select("at", "met").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(classes * classes)
+    out[summed["pair"].to_numpy()] = summed["n"].to_numpy()
+    return out.reshape(classes, classes)
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of the class bigrams, up to what all clusterings share."""
+    return float(_h(table).sum() - _h(table.sum(0)).sum() - _h(table.sum(1)).sum())
+
+
+def best_kinds(size: np.ndarray, kind: np.ndarray, beside: np.ndarray, n: np.ndarray, table: np.ndarray, home: np.ndarray, stay: float) -> np.ndarray:
+    """Class of each word that raises the likelihood most, all others left where they are.
+
+    Word i has ``size[i]`` contexts (``beside``, ``n``) in turn and is in class ``kind[i]``. What a
+    word has beside itself and beside its new class counts as if that did not move with it.
+    The class ``home[i]`` is a priori more likely by ``stay``, in natural logarithms.
+    """
+    beside_of = np.concatenate([table, table.T])  # before: [k, class]; behind: [k, class]
+    once = _h(beside_of + 1) - _h(beside_of)
+    out = kind.copy()
+    stop = np.cumsum(size)
+    cuts = [0, *(np.flatnonzero(np.diff(stop // ENTRIES)) + 1).tolist(), len(size)]
+    for low, high in zip(cuts, cuts[1:]):
+        if low == high:
+            continue
+        one = slice(stop[low] - size[low], stop[high - 1])
+        b, m, at = beside[one], n[one].astype(float), stop[low:high] - size[low:high] - (stop[low] - size[low])
+        gain = once[b]
+        many = np.flatnonzero(m > 1)
+        gain[many] = _h(beside_of[b[many]] + m[many, None]) - _h(beside_of[b[many]])
+        now = np.repeat(kind[low:high], size[low:high])
+        held = beside_of[b, now]
+        gain[np.arange(len(b)), now] = _h(held) - _h(np.maximum(held - m, 0))
+        gain = np.add.reduceat(gain, at, axis=0)
+        each = np.add.reduceat(m, at) / 2  # one context before and one behind per occurrence
+        own = kind[low:high]
+        for total in (table.sum(1), table.sum(0)):
+            loss = _h(total + each[:, None]) - _h(total)
+            loss[np.arange(high - low), own] = _h(total[own]) - _h(np.maximum(total[own] - each, 0))
+            gain -= loss
+        more = np.arange(high - low)
+        gain[more, home[low:high]] += stay
+        best = gain.argmax(1)
+        out[low:high] = np.where(gain[more, best] > gain[more, own] + 1e-9, best, own)
+    return out
+
+
+def moved(contexts: DataFrame, table: np.ndarray, ending: np.ndarray, stay: float) -> DataFrame:
+    """(word, n, kind) of every word with contexts after one round of moves; ``ending`` has the classes of endings."""
+
+    classes = len(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 2_000):
+                batch = whole.slice(at, 2_000)
+                words, lists = batch.column(0), batch.column(2)
+                raw = lists.flatten()
+                entries = np.frombuffer(b"".join(raw.to_pylist()), dtype=PACKED)
+                size = np.asarray(pc.binary_length(raw)) // PACKED.itemsize
+                word = np.repeat(np.repeat(np.arange(len(batch)), np.asarray(lists.value_lengths())), size)
+                pairs, place = np.unique(word * (2 * classes) + entries["beside"], return_inverse=True)
+                n = np.bincount(place, weights=entries["n"]).astype(np.int64)
+                size = np.bincount(pairs // (2 * classes), minlength=len(batch))
+                home = ending[np.fromiter((zlib.crc32(w[-2:]) % ENDINGS for w in words.to_pylist()), dtype=np.int64, count=len(batch))]
+                kind = best_kinds(size, np.asarray(batch.column(1)).astype(np.int64), pairs % (2 * classes), n, table, home, stay)
+                total = np.add.reduceat(n, np.cumsum(size) - size) // 2
+                yield pa.record_batch({"word": words, "n": total, "kind": pa.array(kind, pa.int32())})
+
+    # A word has one row per slice of text at most.
+    lists = contexts.groupBy("word", "kind").agg(F.collect_list("packed").alias("packed"))
+    return lists.mapInArrow(run, "word binary, n long, kind int")
+
+
 # ---- model --------------------------------------------------------------------------------------
 
 
 @dataclass
 class BrownModel:
-    """Everything a task needs, of bounded size, and the table of all word counts."""
+    """Everything a task needs, of bounded size, and the table (word, n, kind) of all words.
 
-    frequent: list[bytes]
+    ``kind`` has the classes of the units: frequent words, endings, then one unit per class.
+    """
+
+    frequent: Lexicon
     kind: np.ndarray
     transition: np.ndarray
     class_tokens: np.ndarray
     class_words: np.ndarray
-    head: dict[bytes, int]
+    head: Head
     counts: DataFrame
     train_tokens: int
     train_words: int
     emission_mass: float = 0.5
 
-    def base_log(self, n: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed unigram probability of words seen n times."""
-        return np.log10((n + 0.5) / (self.train_tokens + 0.5 * (self.train_words + 1)))
-
-    def emission_log(self, n: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed probability of words seen n times within their classes."""
-        mass = self.emission_mass
-        return np.log10((n + mass) / (self.class_tokens[kind] + mass * (self.class_words[kind] + 1)))
 
-
-def train(docs: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT, head: int = HEAD, prior: float = 5.0) -> BrownModel:
+def train(
+    docs: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT, head: int = HEAD, prior: float = 5.0,
+    rounds: int = ROUNDS, stay: float = STAY,
+) -> BrownModel:
     """Learn from all rows of ``docs`` (column ``text``)."""
     counts = materialize(word_counts(docs))
     n_docs = docs.count()
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    short = counts.where(F.length("word") <= HEAD_BYTES)
-    best = short.orderBy(F.desc("n"), "word").limit(head).toArrow()
-    words, n = best["word"].to_pylist(), best["n"].to_numpy()
+    best = _most_frequent(counts, head)
+    words = best["word"].to_pylist()
     own = [END, *words[: frequent - 1]]
     bigrams = unit_bigrams(docs, own)
     kind = exchange(bigrams, classes)
     member = np.eye(classes)[kind]
     table = member.T @ bigrams @ member
+
+    # Every word in its ending's class, then the rounds.
+    taken, score_now = None, likelihood(table)
+    learnt = materialize(_with_endings(counts, own, kind))
+    known = _head(learnt, head, n_docs, kind)
+    contexts = first_contexts(docs, own, kind, classes)
+    for left in range(rounds - 1, -1, -1):
+        found = moved(contexts, table, kind[len(own) :], stay)
+        found = materialize(found.unionByName(learnt.where("own").select("word", "n", "kind")))
+        head_now = _head(found, head, n_docs, kind)
+        rows = with_words(docs.select(F.lit(0).cast("long").alias("id"), "text"), head_now, own, kind, found)
+        rows = materialize(rows) if left else rows
+        table_now = class_bigrams(rows, head_now, classes)
+        if likelihood(table_now) <= score_now:
+            break
+        table, score_now, known, taken = table_now, likelihood(table_now), head_now, found
+        contexts = later_contexts(rows, head_now, own, classes)
+    final = learnt.select("word", "n", "kind") if taken is None else taken
+
     tokens_of = table.sum(0)
     share = (tokens_of + 1) / (tokens_of.sum() + classes)
     transition = np.log10((table + prior * share) / (table.sum(1, keepdims=True) + prior))
-
-    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit_of = UnitOf(own)
-        for batch in batches:
-            units = np.fromiter(map(unit_of.__getitem__, batch.column(0).to_pylist()), dtype=np.int64)
-            found, many = np.unique(kind[units], return_counts=True)
-            yield pa.record_batch({"kind": found, "n": many})
-
     words_of = np.zeros(classes)
-    per = counts.select("word").mapInArrow(kinds, "kind long, n long").groupBy("kind").agg(F.sum("n").alias("n")).toArrow()
+    per = final.groupBy("kind").agg(F.count("*").alias("n")).toArrow()
     words_of[per["kind"].to_numpy()] = per["n"].to_numpy()
     words_of[kind[0]] += 1 if n_docs else 0
-    known = {END: n_docs, **dict(zip(words, n.tolist()))}
-    return BrownModel(own, kind, transition, tokens_of, words_of, known, counts, int(totals["n"]) + n_docs, int(totals["v"]) + (1 if n_docs else 0))
+    return BrownModel(
+        Lexicon(own, final), np.concatenate([kind, np.arange(classes)]), transition, tokens_of, words_of, known, final,
+        int(totals["n"]) + n_docs, int(totals["v"]) + (1 if n_docs else 0),
+    )
+
+
+def _most_frequent(counts: DataFrame, head: int) -> pa.Table:
+    return counts.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(head).toArrow()
+
+
+def _head(table: DataFrame, head: int, n_docs: int, kind: np.ndarray) -> Head:
+    """END and the ``head`` most frequent words with the classes they have in ``table``."""
+    best = _most_frequent(table.select("word", "n", "kind"), head)
+    n, kinds = best["n"].to_numpy().astype(np.int64), best["kind"].to_numpy().astype(np.int64)
+    return Head([END, *best["word"].to_pylist()], np.concatenate(([n_docs], n)), np.concatenate((kind[:1], kinds)))
+
+
+def _with_endings(counts: DataFrame, own: list[bytes], kind: np.ndarray) -> DataFrame:
+    """(word, n, kind, own): words that are no units with the class of their ending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = UnitOf(own)
+        for batch in batches:
+            unit = np.fromiter(map(units.__getitem__, batch.column(0).to_pylist()), dtype=np.int64, count=len(batch))
+            yield pa.record_batch({"word": batch.column(0), "n": batch.column(1), "kind": pa.array(kind[unit], pa.int32()), "own": unit < len(own)})
+
+    return counts.select("word", "n").mapInArrow(run, "word binary, n long, kind int, own boolean")
 
 
 def score(docs: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: id, n_tokens, n_known, base_score, score (both log10 of the text's probability)."""
-    spark = docs.sparkSession
-    head_words = list(model.head)
-    head_n = np.array([model.head[w] for w in head_words], dtype=np.int64)
-    unit_of = UnitOf(model.frequent)
-    head_kind = model.kind[np.array([unit_of[w] for w in head_words], dtype=np.int64)]
-    shared = spark.sparkContext.broadcast({
-        "words": head_words, "n": head_n, "kind": head_kind, "base": model.base_log(head_n),
-        "emission": model.emission_log(head_n, head_kind), "transition": model.transition,
-        "frequent": model.frequent, "kind_of_unit": model.kind,
-    })
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = with_words(named, model.head, list(model.frequent), model.kind, model.counts).select("id", "at", "met")
+    head_n, head_kind, transition = model.head.n, model.head.kind, model.transition
+    whole, mass = model.train_tokens + 0.5 * (model.train_words + 1), model.emission_mass
+    rest = model.class_tokens + mass * (model.class_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        place, units = {w: i for i, w in enumerate(m["words"])}, UnitOf(m["frequent"])
-        known, kinds = place.get, m["kind_of_unit"]
-        for ids, texts in text_slices(batches, SLICE):
-            flat = [tokens(t) for t in texts]
-            sizes = np.array([len(f) for f in flat])
-            bounds = np.cumsum(sizes) - sizes
-            flat = list(chain.from_iterable(flat))
-            at = np.fromiter(map(known, flat, [-1] * len(flat)), dtype=np.int64, count=len(flat))
-            rare = np.flatnonzero(at < 0)
-            kind = np.where(at >= 0, m["kind"][at], 0)
-            rare_words = [flat[i] for i in rare.tolist()]
-            kind[rare] = kinds[np.fromiter(map(units.__getitem__, rare_words), dtype=np.int64, count=len(rare))]
-            before = np.concatenate(([m["kind"][place[END]]], kind[:-1]))
-            step = m["transition"][before, kind] + np.where(at >= 0, m["emission"][at], 0.0)
-            base = np.where(at >= 0, m["base"][at], 0.0)
-            seen = (at >= 0) & (m["n"][at] > 0)
-            owner = np.searchsorted(bounds, rare, side="right") - 1
-            per = np.bincount(owner, minlength=len(ids))
-            entries = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(kind[rare], pa.int32())], names=["word", "kind"])
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(per))), pa.int32()), entries)
-            yield pa.record_batch({
-                "id": pa.array(ids, pa.int64()), "n_tokens": sizes, "n_known": np.add.reduceat(seen.astype(np.int64), bounds),
-                "base": np.add.reduceat(base, bounds), "score": np.add.reduceat(step, bounds), "rare": lists,
-            })
-
-    schema = "id long, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, kind: int>>"
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)
-    # Numbered and written once, so that the parts of a row find each other again.
-    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
-    rare = rows.select("row", F.explode("rare").alias("one")).select("row", "one.*")
-    rare = rare.groupBy("row", "word", "kind").agg(F.count("*").alias("tf"))
-    met = rare.join(model.counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    mass = model.emission_mass
-    rest = F.element_at(F.array(*[F.lit(float(t + mass * (v + 1))) for t, v in zip(model.class_tokens, model.class_words)]), F.col("kind") + 1)
-    whole = model.train_tokens + 0.5 * (model.train_words + 1)
-    sums = met.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("tf") * F.log10((F.col("n") + 0.5) / whole)).alias("rare_base"),
-        F.sum(F.col("tf") * F.log10((F.col("n") + mass) / rest)).alias("rare_score"),
-    )
-    joined = rows.drop("rare").join(sums, "row", "left")
-    return joined.select(
-        F.col("id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
-    )
+        for batch in batches:
+            for part, sizes, n, kind in met_tokens(batch, head_n, head_kind):
+                before = np.concatenate((head_kind[:1], kind[:-1]))
+                step = transition[before, kind] + np.log10((n + mass) / rest[kind])
+                at = np.cumsum(sizes) - sizes
+                yield pa.record_batch({
+                    "id": batch.column(0)[part], "n_tokens": pa.array(sizes, pa.int64()), "n_known": np.add.reduceat((n > 0).astype(np.int64), at),
+                    "base": np.add.reduceat(np.log10((n + 0.5) / whole), at), "score": np.add.reduceat(step, at),
+                })
+
+    scored = rows.mapInArrow(run, "id long, n_tokens long, n_known long, base double, score double")
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.col("base").alias("base_score"), "score")
 
 
 def held_out(id_column: Column, folds: int = 5, fold: int = 1) -> Column:

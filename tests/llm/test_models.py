@@ -123,3 +123,25 @@ def test_language_model_empty(spark):
     model = brown_lm.train(documents(spark, []))
     r = brown_lm.score(documents(spark, [(1, "a b"), (2, None)]), model).collect()
     assert sorted((x["doc_id"], x["n_tokens"], x["n_known"], x["base_score"]) for x in r) == [(1, 3, 0, 0.0), (2, 1, 0, 0.0)]
+
+
+def test_rare_words_have_own_classes(spark):
+    """Words of one ending and two uses are told apart, inside and outside the head; class bigrams cover every token."""
+    rows, made = [], []
+    for i in range(60):
+        made += [f"n{i}xy", f"v{i}xy"]
+        rows += [f"the n{i}xy of the n{i}xy of", f"we v{i}xy to we v{i}xy to", f"the n{i}xy of we v{i}xy to"]
+        rows += ["the thing of the thing of", "we run to we run to"] * 3
+    model = brown_lm.train(documents(spark, list(enumerate(rows))), classes=8, frequent=7, head=30, stay=0.0)
+    kinds = {r["word"]: r["kind"] for r in model.counts.collect()}
+    assert len(kinds) == len(made) + 6
+    nouns, verbs = ({kinds[w.encode()] for w in made if w[0] == c} for c in "nv")
+    assert not nouns & verbs
+    table, classes = np.zeros((8, 8)), {**kinds, brown_lm.END: model.kind[0]}
+    for text in rows:
+        own = [brown_lm.END, *brown_lm.tokens(text)]
+        for a, b in zip(own, own[1:]):
+            table[classes[a], classes[b]] += 1
+    assert np.allclose(model.class_tokens, table.sum(0))
+    share = (table.sum(0) + 1) / (table.sum() + 8)
+    assert np.allclose(10**model.transition, (table + 5 * share) / (table.sum(1, keepdims=True) + 5))
