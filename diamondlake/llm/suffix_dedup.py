@@ -25,6 +25,7 @@ equal rows (same id and text) count as two places; offsets are bytes of the UTF-
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ CHUNK = 8_192
 #: Bytes handled at once, about 150 times as much memory; positions in a piece need 24 bits.
 PIECE = 1_000_000
 _PLACE = np.uint64((1 << 24) - 1)
+_WORD = re.compile(rb"\S+")
 
 
 # ---- anchors ------------------------------------------------------------------------------
@@ -305,20 +307,23 @@ def mark_repeats(
     return marked.drop("__k1", "__k2").withColumnRenamed("__spans", spans_col)
 
 
+def _union(ranges: list[dict]) -> list[dict]:
+    """Overlapping and touching ranges joined, ascending."""
+    done: list[dict] = []
+    for one in sorted(ranges, key=lambda r: r["start"]):
+        if done and one["start"] <= done[-1]["stop"]:
+            done[-1]["stop"] = max(done[-1]["stop"], one["stop"])
+        else:
+            done.append(one)
+    return done
+
+
 def _merged(spans: DataFrame) -> DataFrame:
     """(k1, k2, spans) with overlapping and touching ranges joined, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for ranges in batch.column(2).to_pylist():
-                done: list[dict] = []
-                for one in sorted(ranges, key=lambda r: r["start"]):
-                    if done and one["start"] <= done[-1]["stop"]:
-                        done[-1]["stop"] = max(done[-1]["stop"], one["stop"])
-                    else:
-                        done.append(one)
-                out.append(done)
+            out = [_union(ranges) for ranges in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, batch.schema.field(2).type)], schema=batch.schema)
 
     return spans.mapInArrow(run, spans.schema)
@@ -383,19 +388,71 @@ def repeat_digests(marked: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated passages cut out of the text; characters cut in two are dropped."""
+def _mark_word_repeats(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``__words``: ranges of runs of ``words`` words, with the bytes between them, that start at two places at least.
+
+    Such a run has 2 * words - 1 bytes at least, so it lies within a range repeated at that
+    length. Only the runs in these ranges are compared, by a digest of all their bytes.
+    """
+    least = 2 * words - 1
+    near = mark_repeats(docs, least, (least + 1) // 2, id_col, text_col, "__near")
+    rows = materialize(near.withColumn("__row", F.monotonically_increasing_id()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, near in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                raw = text.as_py().encode()
+                who, start, stop, digest = [], [], [], []
+                for span in near.as_py():
+                    low, high = span["start"], span["stop"]
+                    # A word cut by the range is not whole.
+                    found = [m.span() for m in _WORD.finditer(raw, low, high)]
+                    if found and low and found[0][0] == low and not raw[low - 1 : low].isspace():
+                        found = found[1:]
+                    if found and high < len(raw) and found[-1][1] == high and not raw[high : high + 1].isspace():
+                        found = found[:-1]
+                    for (a, _), (_, b) in zip(found, found[words - 1 :]):
+                        who.append(row)
+                        start.append(a)
+                        stop.append(b)
+                        digest.append(hashlib.blake2b(raw[a:b], digest_size=16).digest())
+                        if len(who) >= 50_000:
+                            yield _windows(who, start, stop, digest)
+                            who, start, stop, digest = [], [], [], []
+                yield _windows(who, start, stop, digest)
+
+    def _windows(who: list, start: list, stop: list, digest: list) -> pa.RecordBatch:
+        return pa.record_batch({"k1": pa.array(who, pa.int64()), "start": pa.array(start, pa.int64()), "stop": pa.array(stop, pa.int64()), "digest": pa.array(digest, pa.binary())})
+
+    asked = rows.where(F.col("__near").isNotNull()).select("__row", text_col, "__near")
+    windows = materialize(asked.mapInArrow(run, "k1 long, start long, stop long, digest binary"))
+    often = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    spans = windows.join(often, "digest").groupBy("k1").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = _merged(spans.select("k1", F.lit(0).alias("k2"), "spans")).select(F.col("k1").alias("__row"), F.col("spans").alias("__words"))
+    return rows.drop("__near").join(spans, "__row", "left").drop("__row")
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text", words: int | None = None
+) -> DataFrame:
+    """``docs`` with the repeated passages cut out of the text; characters cut in two are dropped.
+
+    With ``words``, repeated runs of so many words (split at ASCII blanks) go as well, however few bytes they have.
+    """
     marked = mark_repeats(docs, length, gram, id_col, text_col, "__repeats")
+    if words:
+        marked = _mark_word_repeats(marked, words, id_col, text_col)
+    width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, spans = batch.schema.get_field_index(text_col), batch.column(batch.num_columns - 1)
-            text = [
-                t.as_py() if not s.as_py() else without((t.as_py() or "").encode(), s.as_py()).decode("utf-8", "ignore")
-                for t, s in zip(batch.column(at), spans)
-            ]
-            columns = list(batch.columns[:-1])
+            at = batch.schema.get_field_index(text_col)
+            text = []
+            for t, *spans in zip(batch.column(at), *batch.columns[width:]):
+                cut = _union([one for s in spans for one in s.as_py() or ()])
+                text.append(without(t.as_py().encode(), cut).decode("utf-8", "ignore") if cut else t.as_py())
+            columns = list(batch.columns[:width])
             columns[at] = pa.array(text, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:width])
 
     return marked.mapInArrow(run, docs.schema)

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from diamondlake.llm.suffix_dedup import remove_repeats
 from frames import document_rows, joined, repeated_bytes, shingles
 from pyspark.sql import functions as F
 
@@ -56,3 +57,20 @@ def test_stages(spark, folder):
 
 def key(rows):
     return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in rows)
+
+
+def test_short_passages_of_many_words(spark):
+    """Repeated runs of 51 words go, however short; 50 words, and two shorter repeats side by side, stay."""
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    tiny = " ".join("abcdefghijklmnopqrstuvwxyz"[i * i % 26] if i % 3 else "xy" for i in range(51))
+    long, short, a, b = words("p", 53), words("q", 50), words("r", 30), words("s", 30)
+    texts = [f"{x} {long} {y}" for x, y in (("one", "two"), ("three", "four"))]
+    texts += [f"{x} {short} {y}" for x, y in (("five", "six"), ("seven", "eight"))]
+    texts += [f"nine {a} {b} ten", f"eleven {a} twelve", f"thirteen {b} fourteen"]
+    texts += [f"{x} {tiny} {y}" for x, y in (("left", "right"), ("up", "down"))]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in remove_repeats(docs, words=51).collect()}
+    want = ["one  two", "three  four", *texts[2:7], "left  right", "up  down"]
+    assert got == dict(enumerate(want))
