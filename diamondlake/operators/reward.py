@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from diamondlake.operators.columns import require_columns
@@ -15,12 +17,26 @@ def add_reward(states: DataFrame) -> DataFrame:
     return states.withColumn(REWARD, F.col("we_after") - F.col("we_before"))
 
 
-def check_reward(rewards: DataFrame) -> int:
-    """Raise when a reward is missing; return how many lie outside [-1, 1]."""
-    row = rewards.agg(
+def _faults() -> list[Column]:
+    return [
         F.count_if(F.col(REWARD).isNull()).alias("missing"),
         F.count_if(~F.col(REWARD).between(-1.0, 1.0)).alias("outside"),
-    ).first()
-    if row.missing:
-        raise ValueError(f"{REWARD} is missing on {row.missing} rows")
-    return row.outside
+    ]
+
+
+def _judged(missing: int, outside: int) -> int:
+    if missing:
+        raise ValueError(f"{REWARD} is missing on {missing} rows")
+    return outside
+
+
+def check_reward(rewards: DataFrame) -> int:
+    """Raise when a reward is missing; return how many lie outside [-1, 1]."""
+    row = rewards.agg(*_faults()).first()
+    return _judged(row.missing, row.outside)
+
+
+def checked(rewards: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """``rewards`` observed while they are written, and the check to call after that."""
+    seen = Observation()
+    return rewards.observe(seen, *_faults()), lambda: _judged(seen.get["missing"], seen.get["outside"])

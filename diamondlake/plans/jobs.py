@@ -4,6 +4,10 @@
 
 Every job reads the layer before it, asks once which games are too large for a
 single task, and writes its own layer, from which a failed later job restarts.
+
+The pitch layer keeps the documents it was made from. A run compares what has landed with
+them and parses anew, from all its documents, every game that has one the layer does not
+know: a late inning, one that landed again, one that was unreadable before.
 """
 
 from __future__ import annotations
@@ -14,19 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diamondlake.operators.features import training_set
-from diamondlake.operators.materialize import materialize
+from diamondlake.operators.materialize import materialize, move, tables
 from diamondlake.operators.ordered import CHUNK_WIDTH, HOT_LIMIT, by_size, find_hot
 from diamondlake.operators.plate_appearances import plate_appearances
-from diamondlake.operators.reward import add_reward, check_reward
+from diamondlake.operators.reward import add_reward, checked
 from diamondlake.operators.transitions import transitions
 from diamondlake.operators.validation import report
 from diamondlake.schemas import PITCH
-from diamondlake.sources.layers import PITCHES, REJECTS, has_rows, read_layer, read_pitch_layer, write_layer, write_pitch_layer
+from diamondlake.sources.layers import DOCUMENTS, PITCHES, REJECTS, read_layer, read_pitch_layer, write_layer
 from diamondlake.sources.relay import (
-    SEQ_WIDTH, cut_after_end, finish_pitches, latest_documents, pitches_of, raw_pitches, read_relay_documents, rejects_of,
+    SEQ_WIDTH, cut_after_end, distinct_documents, finish_pitches, latest_documents, pitches_of, raw_pitches, read_relay_documents,
+    read_relay_folder, rejects_of, semi,
 )
-from diamondlake.sources.schedule import not_done, only_listed
-
+from diamondlake.sources.schedule import only_listed
+from diamondlake.sources.snapshots import BUCKETS, MOST, Snapshot, commit, crowded, current, part_columns, read_rows, vacuum
 
 # The shortest pitch: {"type":1,"pitchResult":""}
 PITCH_CHARS = 27
@@ -58,17 +63,45 @@ def hot_documents(documents: DataFrame, limit: int = HOT_LIMIT) -> DataFrame | N
 
 
 def collect_pitches(
-    documents: DataFrame, layers: Layers, ids: DataFrame | None = None, done: DataFrame | None = None, limit: int = HOT_LIMIT
-) -> None:
-    """Documents -> pitch layer with its rejects. Only listed games, none that is already done.
+    documents: DataFrame, path: str, ids: DataFrame | None = None, limit: int = HOT_LIMIT, buckets: int = BUCKETS, most: int = MOST
+) -> Snapshot:
+    """Documents -> pitch layer with its rejects and the documents themselves, in one commit. Only listed games.
 
-    Pitches and rejects are two kinds of rows of one table, appended by one commit:
-    a run that fails leaves nothing, and a game is there with both or not at all.
+    Games with a document that the layer does not know are parsed from all they have, old and
+    new, and take the place of what was there; so the layer is the same in whatever order, and
+    in however many runs, the documents land. Without such a game nothing is written.
     """
-    wanted = documents if ids is None else only_listed(documents, ids)
-    wanted = wanted if done is None else not_done(wanted, done)
-    wanted = latest_documents(wanted)
-    write_pitch_layer(parsed(wanted, limit), layers.path(PITCHES), "append")
+    spark = documents.sparkSession
+    with tables(spark):
+        before = current(spark, path, buckets)
+        stored = read_rows(spark, before)
+        wanted = documents if ids is None else only_listed(documents, ids)
+        landed = distinct_documents(wanted)
+        if stored is None:
+            touched, known, replaced = None, materialize(landed), set()
+        else:
+            key = ["game_id", "req_inning", "digest"]
+            old = stored.where(F.col("kind") == DOCUMENTS)
+            unknown = materialize(semi(landed, old.select(*key), "left_anti"))
+            touched = materialize(unknown.select("game_id").distinct())
+            old = semi(old, touched)
+            replaced = _parts(old, before.buckets)
+            known = materialize(unknown.unionByName(old.select(*unknown.columns)))
+        if known.isEmpty():
+            return before
+        added = _parts(known, before.buckets)
+        replaced |= crowded(before, added, most)
+        rows = parsed(latest_documents(known), limit).unionByName(known.withColumn("kind", F.lit(DOCUMENTS)), allowMissingColumns=True)
+        if replaced:
+            # What else lies in the parts that are written anew.
+            others = semi(read_rows(spark, before, replaced), touched, "left_anti")
+            rows = rows.unionByName(others, allowMissingColumns=True)
+        return commit(rows, before, added, replaced, "kind")
+
+
+def _parts(rows: DataFrame, buckets: int) -> set[tuple[str, int]]:
+    """Seasons and buckets in which rows lie."""
+    return {(r.season, r.bucket) for r in rows.select(*[c.alias(n) for n, c in part_columns(buckets).items()]).distinct().collect()}
 
 
 def parsed(documents: DataFrame, limit: int = HOT_LIMIT) -> DataFrame:
@@ -83,13 +116,6 @@ def parsed(documents: DataFrame, limit: int = HOT_LIMIT) -> DataFrame:
     return by_size(documents, hot_documents(documents, limit), "game_id", SEQ_WIDTH, both)
 
 
-def done_games(spark: SparkSession, layers: Layers) -> DataFrame | None:
-    """Games of the pitch layer, or None before the first run."""
-    if not has_rows(spark, layers.path(PITCHES)):
-        return None
-    return read_layer(spark, layers.path(PITCHES)).select("game_id").distinct()
-
-
 def build_plate_appearances(spark: SparkSession, layers: Layers, limit: int = HOT_LIMIT) -> None:
     pitches = read_pitch_layer(spark, layers.path(PITCHES)).select(*PITCH.names)
     hot = _hot_games(pitches, limit)
@@ -103,10 +129,14 @@ def build_states(spark: SparkSession, layers: Layers, limit: int = HOT_LIMIT) ->
 
 
 def build_rewards(spark: SparkSession, layers: Layers) -> int:
-    """Write the reward layer; return how many rewards lie outside [-1, 1]."""
-    rewards = add_reward(read_layer(spark, layers.path("states")).drop("season"))
-    outside = check_reward(rewards)
-    write_layer(rewards, layers.path("rewards"))
+    """Write the reward layer; return how many rewards lie outside [-1, 1].
+
+    The checks are counted while the rows are written, beside the layer; only rows that pass take its place.
+    """
+    rewards, verdict = checked(add_reward(read_layer(spark, layers.path("states")).drop("season")))
+    write_layer(rewards, layers.path("rewards.new"))
+    outside = verdict()
+    move(spark, layers.path("rewards.new"), layers.path("rewards"))
     return outside
 
 
@@ -120,14 +150,21 @@ def build_training_set(spark: SparkSession, layers: Layers, **options) -> None:
     write_layer(training_set(rewards, **options), layers.path("training_set"))
 
 
-def run(spark: SparkSession, documents_path: str, root: str, ids: DataFrame | None = None, limit: int = HOT_LIMIT) -> Layers:
-    """All jobs in order over landed documents. Games that the pitch layer has are not parsed again."""
+def run(
+    spark: SparkSession, documents_path: str, root: str, ids: DataFrame | None = None, limit: int = HOT_LIMIT, raw_files: bool = False
+) -> Layers:
+    """All jobs in order over landed documents: JSON lines, or with ``raw_files`` one payload per ``<game_id>_<inning>.json``.
+
+    Only games that have documents the pitch layer does not know are parsed.
+    """
     layers = Layers(root)
-    done = done_games(spark, layers)
-    collect_pitches(read_relay_documents(spark, documents_path), layers, ids, done, limit)
-    build_plate_appearances(spark, layers, limit)
-    build_states(spark, layers, limit)
-    build_rewards(spark, layers)
-    validate(spark, layers)
-    build_training_set(spark, layers)
+    documents = (read_relay_folder if raw_files else read_relay_documents)(spark, documents_path)
+    collect_pitches(documents, layers.path(PITCHES), ids, limit)
+    with tables(spark):
+        build_plate_appearances(spark, layers, limit)
+        build_states(spark, layers, limit)
+        build_rewards(spark, layers)
+        validate(spark, layers)
+        build_training_set(spark, layers)
+    vacuum(spark, layers.path(PITCHES))
     return layers

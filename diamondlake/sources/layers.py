@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,9 +10,10 @@ from diamondlake.functions.parsing import NA_WORDS
 from diamondlake.functions.state import season_of
 from diamondlake.operators.columns import order_columns
 from diamondlake.schemas import PITCH, PITCH_COLUMNS
+from diamondlake.sources.snapshots import current, read_rows
 
 # Kinds of rows of the pitch layer.
-PITCHES, REJECTS = "pitches", "rejects"
+PITCHES, REJECTS, DOCUMENTS = "pitches", "rejects", "documents"
 # Most columns a CSV file may have; what stands further right is ignored.
 CSV_COLUMNS = 64
 
@@ -32,24 +32,12 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def has_rows(spark: SparkSession, path: str) -> bool:
-    """Whether a layer was written there; a folder without files is none."""
-    try:
-        return not spark.read.parquet(path).isEmpty()
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
-def write_pitch_layer(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Rows with ``kind`` (pitches or rejects) by kind and season, in one commit."""
-    seasoned = rows.withColumn("season", season_of(F.col("game_id")))
-    seasoned.hint("rebalance", "kind", "season").write.mode(mode).partitionBy("kind", "season").parquet(path)
-
-
 def read_pitch_layer(spark: SparkSession, path: str, kind: str = PITCHES) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("kind") == kind).drop("kind")
+    """Pitches, rejects or stored documents of the newest version of a pitch layer."""
+    rows = read_rows(spark, current(spark, path))
+    if rows is None:
+        raise FileNotFoundError(f"no pitch layer at {path}")
+    return rows.where(F.col("kind") == kind).drop("kind")
 
 
 def write_csv(pitches: DataFrame, path: str) -> None:

@@ -49,16 +49,21 @@ def read_relay_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RELAY_DOCUMENT).json(path)
 
 
-def read_relay_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Landed raw payload files named ``<game_id>_<inning>.json``, one payload per file."""
-    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
-    return files.select(
-        F.regexp_extract("name", r"^(.+)_(\d+)\.json$", 1).alias("game_id"),
-        F.regexp_extract("name", r"^(.+)_(\d+)\.json$", 2).try_cast("int").alias("req_inning"),
+def from_raw_files(files: DataFrame) -> DataFrame:
+    """Whole files with their names, ``<game_id>_<inning>.json``, as documents; other names are left out."""
+    pattern = r"^(.+)_(\d+)\.json$"
+    return files.where(F.col("name").rlike(pattern)).select(
+        F.regexp_extract("name", pattern, 1).alias("game_id"),
+        F.regexp_extract("name", pattern, 2).try_cast("int").alias("req_inning"),
         F.col("value").alias("payload"),
     )
 
 
+def read_relay_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Landed raw payload files named ``<game_id>_<inning>.json``, one payload per file."""
+    return from_raw_files(spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("name")))
+
+
 def _text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
@@ -224,19 +229,45 @@ def rejects_of(kept: DataFrame) -> DataFrame:
     return kept.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("stop", "fault")
 
 
+def with_digest(documents: DataFrame) -> DataFrame:
+    """Documents with a digest of the payload, by which a document is known again; NULL for none."""
+    return documents.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
+
+
+def _same(left: list[str], prefix: str) -> Column:
+    """Equality of key columns in which NULL equals NULL."""
+    same = F.lit(True)
+    for name in left:
+        same = same & F.col(name).eqNullSafe(F.col(f"{prefix}{name}"))
+    return same
+
+
+def semi(rows: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose values of the columns of ``keys`` are (or, with left_anti, are not) among them, NULLs included."""
+    named = keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
+    return rows.join(named, _same(keys.columns, "__"), how)
+
+
 def latest_documents(documents: DataFrame) -> DataFrame:
     """One document per game and inning: the readable one, then the longest, then the largest text.
 
     Only the documents of innings that came more than once are compared.
     """
     key = ["game_id", "req_inning"]
-    twice = documents.groupBy(*key).count().where(F.col("count") > 1).select(F.struct(*key).alias("__key"))
-    same = F.struct(*key) == F.col("__key")
+    twice = documents.groupBy(*key).count().where(F.col("count") > 1).select(*key)
     readable = F.try_parse_json("payload").isNotNull()
-    best = documents.join(twice, same, "left_semi").groupBy(*key).agg(
+    best = semi(documents, twice).groupBy(*key).agg(
         F.max(F.struct(readable.alias("readable"), F.length("payload").alias("size"), "payload"))["payload"].alias("payload")
     )
-    return documents.join(twice, same, "left_anti").select(*key, "payload").unionByName(best.select(*key, "payload"))
+    return semi(documents, twice, "left_anti").select(*key, "payload").unionByName(best.select(*key, "payload"))
+
+
+def distinct_documents(documents: DataFrame) -> DataFrame:
+    """Each different document once, with its digest. Only those that came more than once move."""
+    key = ["game_id", "req_inning", "digest"]
+    known = with_digest(documents.select("game_id", "req_inning", "payload"))
+    twice = known.groupBy(*key).count().where(F.col("count") > 1).select(*key)
+    return semi(known, twice, "left_anti").unionByName(semi(known, twice).dropDuplicates(key))
 
 
 def parse_pitches(documents: DataFrame, width: int | None = None) -> DataFrame:

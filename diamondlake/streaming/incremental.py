@@ -1,10 +1,11 @@
 """Pitch layer fed by a folder of landed documents, in any split over files and batches.
 
-Every micro-batch keeps its documents, then parses the games it touches anew from all
-their documents so far. So innings that arrive apart are never lost, counters run over
-the whole game, and the cut after an empty inning sees every inning. What a game looks
-like after batch n is in that batch's folders; readers take each game from its latest
-batch. A batch that is repeated after a failure overwrites its own folders.
+Every micro-batch updates the same versioned layer as a batch run (``jobs.collect_pitches``):
+games with documents the layer does not know are parsed anew from all their documents so
+far. So innings that arrive apart are never lost, counters run over the whole game, and the
+cut after an empty inning sees every inning. A batch that is repeated after a failure brings
+nothing the layer does not know. Folders are merged as they gather, so a reader and a batch
+open a bounded number of them, however many batches there were.
 """
 
 from __future__ import annotations
@@ -13,47 +14,34 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from diamondlake.plans.jobs import parsed
+from diamondlake.plans.jobs import collect_pitches
 from diamondlake.schemas import PITCH, RELAY_DOCUMENT
-from diamondlake.sources.layers import PITCHES, REJECTS
-from diamondlake.sources.relay import latest_documents
+from diamondlake.sources.layers import PITCHES, REJECTS, read_pitch_layer
+from diamondlake.sources.relay import from_raw_files
+from diamondlake.sources.snapshots import BUCKETS, MOST, vacuum
 
-GAMES = T.StructType([T.StructField("game_id", T.StringType()), T.StructField("batch", T.LongType())])
 
+def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000, raw_files: bool = False) -> DataFrame:
+    """Landed documents: JSON lines, or with ``raw_files`` one payload per ``<game_id>_<inning>.json``."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    if raw_files:
+        files = reader.option("wholetext", True).text(path)
+        return from_raw_files(files.select("value", F.col("_metadata.file_name").alias("name")))
+    return reader.schema(RELAY_DOCUMENT).json(path)
 
-def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    reader = spark.readStream.schema(RELAY_DOCUMENT).option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
 
-
-def _stored(spark: SparkSession, out: str, table: str, schema: T.StructType) -> DataFrame:
-    batch = [] if "batch" in schema.names else [T.StructField("batch", T.LongType())]
-    return spark.read.schema(T.StructType([*schema.fields, *batch])).parquet(f"{out}/{table}")
-
-
-def store_batch(documents: DataFrame, batch: int, out: str) -> None:
-    """Keep the documents, note the games, and parse those games anew."""
-    spark = documents.sparkSession
-    documents.select(*RELAY_DOCUMENT.names).write.mode("overwrite").parquet(f"{out}/documents/batch={batch}")
-    new = _stored(spark, out, "documents", RELAY_DOCUMENT).where(F.col("batch") == batch)
-    touched = new.select("game_id").distinct()
-    touched.write.mode("overwrite").parquet(f"{out}/games/batch={batch}")
-    games = _stored(spark, out, "games", GAMES).where(F.col("batch") <= batch)
-    # Batch numbers only; a game's documents lie in few batches, which are all that is read.
-    holding = [r.batch for r in games.join(touched, "game_id", "left_semi").select("batch").distinct().collect()]
-    known = _stored(spark, out, "documents", RELAY_DOCUMENT).where(F.col("batch").isin(holding))
-    known = known.join(touched, "game_id", "left_semi").drop("batch")
-    parsed(latest_documents(known)).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/rows/batch={batch}")
+def store_batch(documents: DataFrame, batch: int, out: str, buckets: int = BUCKETS, most: int = MOST) -> None:
+    """Bring the layer up to date with a batch; folders that no recent version refers to go."""
+    made = collect_pitches(documents.select(*RELAY_DOCUMENT.names), f"{out}/rows", buckets=buckets, most=most)
+    if made.version:
+        vacuum(documents.sparkSession, f"{out}/rows")
 
 
 def read_stream_layer(spark: SparkSession, out: str, kind: str = PITCHES) -> DataFrame:
-    """Every game as its latest batch left it; ``kind`` is pitches or rejects."""
-    latest = _stored(spark, out, "games", GAMES).groupBy("game_id").agg(F.max("batch").alias("batch"))
-    rows = spark.read.option("mergeSchema", True).parquet(f"{out}/rows").where(F.col("kind") == kind)
-    return rows.join(latest, ["game_id", "batch"], "left_semi").drop("batch", "kind")
+    """Every game as all its documents so far make it; ``kind`` is pitches or rejects."""
+    return read_pitch_layer(spark, f"{out}/rows", kind)
 
 
 def read_pitches(spark: SparkSession, out: str) -> DataFrame:
@@ -64,7 +52,10 @@ def read_rejects(spark: SparkSession, out: str) -> DataFrame:
     return read_stream_layer(spark, out, REJECTS)
 
 
-def start_pitch_stream(spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
+def start_pitch_stream(
+    spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 1000, raw_files: bool = False
+) -> StreamingQuery:
     """Process everything landed so far and stop; run again for what lands later."""
-    writer = stream_documents(spark, path, files_per_batch).writeStream.foreachBatch(partial(store_batch, out=out))
+    documents = stream_documents(spark, path, files_per_batch, raw_files)
+    writer = documents.writeStream.foreachBatch(partial(store_batch, out=out))
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
