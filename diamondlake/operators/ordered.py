@@ -56,10 +56,9 @@ class Order:
 
 
 def find_hot(df: DataFrame, key: str, limit: int = HOT_LIMIT) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None. One narrow, map-side combined pass."""
+    """Keys with more than ``limit`` rows, or None. One narrow, map-side combined pass; written only where there are some."""
     hot = df.groupBy(key).count().where(F.col("count") > limit).select(key)
-    hot = materialize(hot)
-    return None if hot.isEmpty() else hot
+    return None if hot.isEmpty() else materialize(hot)
 
 
 def by_size(

@@ -1,20 +1,22 @@
 """Exact ranks and quantiles without a single-task sort.
 
-Equal values are counted first, so ties of any size become one row. The distinct
-values are then ordered in value ranges given by a fixed monotone formula; at
-most about 90,000 ranges exist for any doubles, and only their totals meet in
-one window.
+Equal values are counted first, so ties of any size become one row, and written once. The
+distinct values fall into value ranges given by a fixed monotone formula, at most about
+90,000 of them for any doubles. Only the ranges' totals meet in one window per key: it tells
+how many rows lie below a range. Ranks are then counted inside each range; a quantile looks
+only into the one or two ranges that hold it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from diamondlake.operators.materialize import materialize
-from diamondlake.operators.ordered import CHUNK_WIDTH, Order, running
 
 # Non-decreasing in the value; about 64 ranges per power of e, fine near zero.
 _RANGE = "floor(signum({0}) * log1p(abs({0}) * 1048576) * 64)"
@@ -31,10 +33,27 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return materialize(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
 
 
+def _ranges(counts: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Counts of the known values with their range, and per range its ``rows`` and the rows ``below`` it."""
+    ranged = counts.where(F.col(value).isNotNull()).withColumn("__range", F.expr(_RANGE.format(value)))
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum("n").alias("rows"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return ranged, sums.withColumn("below", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+
+
+def _inside(ranged: DataFrame, sums: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Counts of the ranges in ``sums`` with ``upto``, the number of rows up to each value."""
+    to_here = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = [*keys, "__range"]
+    entering = sums.select(*[F.col(c).alias(f"__of_{c}") for c in at], "below")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in at])
+    met = ranged.join(entering, same).drop(*[f"__of_{c}" for c in at])
+    return met.withColumn("upto", F.col("below") + F.sum("n").over(to_here)).drop("below", "__range")
+
+
 def value_ranks(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Counts of the known values with ``upto``, the number of rows up to each value."""
-    order = Order(tuple(keys), (value,), CHUNK_WIDTH, (_RANGE.format(value),))
-    return running(counts.where(F.col(value).isNotNull()), "upto", F.col("n"), order)
+    return _inside(*_ranges(counts, keys, value), keys, value)
 
 
 def average_ranks(counts: DataFrame, value: str, out: str) -> DataFrame:
@@ -61,21 +80,34 @@ def describe(
         F.sum(v * n).alias("__sum"), F.min(v).alias("__min"), F.max(v).alias("__max"),
     )
     totals = totals.withColumn("__mean", F.try_divide("__sum", "__rows"))
-    ranked = value_ranks(counts, keys, "__v").withColumn("__one", F.lit(1))
     on = [*keys, "__one"]
     totals = totals.withColumn("__one", F.lit(1))
-    placed = ranked.join(totals, on)
+    counts = counts.withColumn("__one", F.lit(1))
+    mean = totals.select(*[F.col(c).alias(f"__of_{c}") for c in on], "__mean", "__rows")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in on])
 
-    def at(place: Column) -> Column:
-        inside = (F.col("upto") - n <= place) & (place < F.col("upto"))
-        return F.max(F.when(inside, v))
+    def with_totals(rows: DataFrame) -> DataFrame:
+        return rows.join(mean, same).drop(*[f"__of_{c}" for c in on])
 
-    exprs = [F.sum(n * (v - F.col("__mean")) ** 2).alias("__squares")]
+    def spot(q: float) -> Column:
+        return F.lit(q) * (F.col("__rows") - 1)
+
+    def holds(low: Column, high: Column, place: Column) -> Column:
+        return (low <= place) & (place < high)
+
+    ranged, sums = _ranges(counts, on, "__v")
+    places = [place(spot(q)) for q in points for place in (F.floor, F.ceil)]
+    asked = [holds(F.col("below"), F.col("below") + F.col("rows"), place) for place in places]
+    chosen = with_totals(sums).where(reduce(lambda a, b: a | b, asked)).drop("__mean", "__rows")
+    placed = with_totals(_inside(ranged, chosen, on, "__v"))
+    exprs = []
     for q, name in zip(points, names):
-        spot = F.lit(q) * (F.col("__rows") - 1)
-        exprs += [at(F.floor(spot)).alias(f"__low_{name}"), at(F.ceil(spot)).alias(f"__high_{name}")]
-        exprs += [F.max(spot - F.floor(spot)).alias(f"__part_{name}")]
-    found = totals.join(placed.groupBy(*on).agg(*exprs), on, "left")
+        for side, place in (("low", F.floor(spot(q))), ("high", F.ceil(spot(q)))):
+            exprs.append(F.max(F.when(holds(F.col("upto") - n, F.col("upto"), place), v)).alias(f"__{side}_{name}"))
+        exprs.append(F.max(spot(q) - F.floor(spot(q))).alias(f"__part_{name}"))
+    squares = with_totals(counts).groupBy(*on).agg(F.sum(n * (v - F.col("__mean")) ** 2).alias("__squares"))
+    parts = squares.join(_renamed_keys(placed.groupBy(*on).agg(*exprs), on), same, "left").drop(*[f"__of_{c}" for c in on])
+    found = totals.join(_renamed_keys(parts, on), same, "left").drop(*[f"__of_{c}" for c in on])
     deviation = F.when(F.col("__rows") > 1, F.sqrt(F.col("__squares") / (F.col("__rows") - 1)))
     mixed = [
         (F.col(f"__low_{m}") + (F.col(f"__high_{m}") - F.col(f"__low_{m}")) * F.col(f"__part_{m}")).alias(m)
@@ -85,3 +117,7 @@ def describe(
         *keys, F.col("__rows").alias("n"), F.col("__missing").alias("missing"), F.col("__mean").alias("mean"),
         deviation.alias("std"), F.col("__min").alias("min"), *mixed, F.col("__max").alias("max"),
     )
+
+
+def _renamed_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    return rows.withColumnsRenamed({c: f"__of_{c}" for c in on})

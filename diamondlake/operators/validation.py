@@ -40,19 +40,20 @@ def label_means(rewards: DataFrame) -> DataFrame:
     )
 
 
-def self_check(rewards: DataFrame) -> DataFrame:
-    """Missing, out of range, mean, and whether HR > 1B > BB > 0 > OUT, in one pass."""
-
+def _self_figures() -> list[Column]:
     def mean_of(label: str) -> Column:
         return F.avg(F.when(F.col("pa_result") == label, F.col(REWARD)))
 
-    one = rewards.agg(
+    return [
         F.count_if(F.col(REWARD).isNull()).alias("missing"),
         F.count_if((F.col(REWARD) < -1) | (F.col(REWARD) > 1)).alias("out_of_range"),
         F.avg(REWARD).alias("grand_mean"),
         mean_of("HR").alias("hr_mean"), mean_of("1B").alias("b1_mean"),
         mean_of("BB").alias("bb_mean"), mean_of("OUT").alias("out_mean"),
-    )
+    ]
+
+
+def _with_label_order(one: DataFrame) -> DataFrame:
     falling = (
         (F.col("hr_mean") > F.col("b1_mean")) & (F.col("b1_mean") > F.col("bb_mean"))
         & (F.col("bb_mean") > 0) & (F.col("out_mean") < 0)
@@ -60,22 +61,32 @@ def self_check(rewards: DataFrame) -> DataFrame:
     return one.withColumn("domain_ok", F.coalesce(falling, F.lit(False)))
 
 
+def self_check(rewards: DataFrame) -> DataFrame:
+    """Missing, out of range, mean, and whether HR > 1B > BB > 0 > OUT, in one pass."""
+    return _with_label_order(rewards.agg(*_self_figures()))
+
+
 def season_counts(rewards: DataFrame) -> DataFrame:
     return pairs(rewards).groupBy(season_of(F.col("game_id")).alias("season")).agg(F.count("*").alias("n_pa"))
 
 
+def _sign_figures() -> list[Column]:
+    """A pair without the provider's figure is none of equal or unequal sign: its product is NULL."""
+    a, b = F.col(PROVIDER), F.col(REWARD)
+    signed = (a != 0) & (b != 0)
+    return [
+        F.count_if(signed).alias("n_signed"),
+        F.avg(F.when(signed, (F.signum(a) == F.signum(b)).cast("double"))).alias("sign_match_rate"),
+    ]
+
+
 def sign_match(rewards: DataFrame) -> DataFrame:
     """Share of pairs of equal sign where neither side is 0; NULL without such pairs.
 
     A condition inside the aggregate, not a filter: a filter on the reward would
     be pushed below its projection and the reward computed twice.
     """
-    a, b = F.col(PROVIDER), F.col(REWARD)
-    signed = (a != 0) & (b != 0)
-    return pairs(rewards).agg(
-        F.count_if(signed).alias("n_signed"),
-        F.avg(F.when(signed, (F.signum(a) == F.signum(b)).cast("double"))).alias("sign_match_rate"),
-    )
+    return pairs(rewards).agg(*_sign_figures())
 
 
 def _with_t(r: Column, n: Column) -> Column:
@@ -161,15 +172,17 @@ def _long(one_row: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def metrics(rewards: DataFrame) -> DataFrame:
-    """The figures the verdict needs as (metric, value) rows."""
-    self_part = _long(self_check(rewards), ["missing", "out_of_range", "grand_mean", "hr_mean", "b1_mean", "bb_mean", "out_mean", "domain_ok"])
-    sign_part = _long(sign_match(rewards), ["sign_match_rate"])
+    """The figures the verdict needs as (metric, value) rows. ``rewards`` is read twice."""
+    line = [F.count(PROVIDER).alias("n_line"), F.corr(PROVIDER, REWARD).alias("pearson")]
+    one = _with_label_order(rewards.agg(*_self_figures(), *_sign_figures(), *line))
+    t = _with_t(F.col("pearson"), F.col("n_line"))
+    one = one.withColumn("pearson_p", two_sided_p(t, F.col("n_line") - 2))
     rank_part = _long(
         spearman(rewards).withColumnsRenamed({"n": "n_pairs", "rho": "spearman", "t": "spearman_t", "p": "spearman_p"}),
         ["n_pairs", "spearman", "spearman_t", "spearman_p"],
     )
-    line_part = _long(pearson(rewards).withColumnsRenamed({"r": "pearson", "p": "pearson_p"}), ["pearson", "pearson_p"])
-    return self_part.unionByName(sign_part).unionByName(rank_part).unionByName(line_part)
+    names = ["missing", "out_of_range", "grand_mean", "hr_mean", "b1_mean", "bb_mean", "out_mean", "domain_ok", "sign_match_rate", "pearson", "pearson_p"]
+    return _long(one, names).unionByName(rank_part)
 
 
 def _metric(name: str) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +18,6 @@ from diamondlake.sources.snapshots import current, read_rows
 
 # Kinds of rows of the pitch layer.
 PITCHES, REJECTS, DOCUMENTS = "pitches", "rejects", "documents"
-# Most columns a CSV file may have; what stands further right is ignored.
-CSV_COLUMNS = 64
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,10 +43,14 @@ def read_pitch_layer(spark: SparkSession, path: str, kind: str = PITCHES) -> Dat
 
 
 def write_csv(pitches: DataFrame, path: str) -> None:
-    """One folder per game with header lines; a game's rows are brought together first."""
-    ordered = order_columns(pitches, PITCH_COLUMNS).withColumn("game", F.col("game_id"))
-    ordered.hint("rebalance", "game").sortWithinPartitions("game", *[c for c in ("seq",) if c in pitches.columns]).write.mode(
-        "overwrite").partitionBy("game").csv(path, header=True)
+    """Files with header lines, games in order, as many as the size of the data asks for.
+
+    The adaptive planner packs small games into one file and cuts what is too large for one;
+    the number of files does not depend on the number of games. ``csv_index`` tells where a game lies.
+    """
+    ordered = order_columns(pitches, PITCH_COLUMNS)
+    keys = ["game_id", *[c for c in ("seq",) if c in pitches.columns]]
+    ordered.hint("rebalance", "game_id").sortWithinPartitions(*keys).write.mode("overwrite").csv(path, header=True)
 
 
 def typed_from_text(columns: dict[str, Column], schema: T.StructType) -> list[Column]:
@@ -61,51 +67,73 @@ def typed_from_text(columns: dict[str, Column], schema: T.StructType) -> list[Co
     return out
 
 
-def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, place, cells): the records of all CSV files below a folder, header lines included.
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line): the first line of every CSV file below a folder; one row per file leaves a task."""
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    first = raw.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), "value"
+    )
+    return first.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+
+
+def _names(line: str) -> list[str]:
+    """Column names of a header line; a repeated or empty one gets a name no column has."""
+    names = [name.strip() for name in next(csv.reader([line.removeprefix("\ufeff")]), [])]
+    return [name if name and name not in names[:i] else f"\u0000{i}" for i, name in enumerate(names)]
+
+
+def _by_header(spark: SparkSession, path: str) -> dict[str, tuple[list[str], list[str]]]:
+    """Header line -> (column names, its files). Names of files and different headers come to the driver, no data."""
+    groups = _headers(spark, path).groupBy("line").agg(F.collect_list("file").alias("files")).collect()
+    return {g.line: (_names(g.line), [unquote(f) for f in g.files]) for g in groups}
 
-    ``place`` grows along a file: the start of the part a task reads plus the record's
-    number in that task. A record has two characters at least, so parts stay in order.
+
+def _scan(spark: SparkSession, names: list[str], files: list[str]) -> DataFrame:
+    """Records of files of one header, by the header's names, with ``__place``: the order of rows in their file.
+
+    The place is the start of the part a task reads plus the record's number in that task.
+    A record has two characters at least, so parts stay in order.
     """
-    cells = [f"c{i}" for i in range(CSV_COLUMNS)]
-    wide = T.StructType([T.StructField(c, T.StringType()) for c in cells])
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
     # Values as they stand: an empty one is the empty text, not NULL.
-    raw = spark.read.schema(wide).options(header=False, recursiveFileLookup=True, nullValue="\u0000", emptyValue="").csv(path)
+    rows = spark.read.schema(text).options(header=True, nullValue="\u0000", emptyValue="").csv(files)
     number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return raw.select(
-        F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") + number).alias("place"), F.array(*cells).alias("cells")
-    )
-
-
-def _headers(lines: DataFrame) -> DataFrame:
-    """(file, header) of the files whose first record names the game column."""
-    first = lines.groupBy("file").agg(F.min_by("cells", "place").alias("header"), F.min("place").alias("top"))
-    plain = F.transform("header", lambda c: F.trim(F.regexp_replace(c, "^\ufeff", "")))
-    return first.withColumn("header", plain)
+    return rows.withColumn("__place", F.col("_metadata.file_block_start") + number)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = PITCH) -> DataFrame:
     """All CSV files below a folder as one table.
 
-    Columns are found by name in each file's own header, in any order; a missing one is
-    NULL, others are ignored, a byte-order mark too. ``seq``, where a file has none, is
-    the place of the row in its file. Files whose header lacks ``game_id`` are left out
-    here and listed by ``skipped_csv``.
+    Files are grouped by their header and each group is scanned with its own columns, however
+    many. Columns are found by name, in any order; a missing one is NULL, others are ignored, a
+    byte-order mark too. ``seq``, where a file has none, is the place of the row in its file.
+    Files whose header lacks ``game_id`` are left out here and listed by ``skipped_csv``.
     """
-    lines = _csv_lines(spark, path)
-    if lines.isEmpty():
+    groups = _by_header(spark, path)
+    if not groups:
         raise FileNotFoundError(f"no CSV below {path}")
-    headers = _headers(lines).where(F.array_contains("header", "game_id"))
-    rows = lines.join(headers, "file").where(F.col("place") > F.col("top"))
-    columns = {f.name: F.get("cells", F.array_position("header", f.name).cast("int") - 1) for f in schema.fields}
-    if "seq" in columns:
-        columns["seq"] = F.when(F.array_contains("header", "seq"), columns["seq"]).otherwise(F.col("place").cast("string"))
-    return rows.select(*typed_from_text(columns, schema))
+    parts = []
+    for names, files in groups.values():
+        if "game_id" not in names:
+            continue
+        columns = {f.name: F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast("string") for f in schema.fields}
+        if "seq" in columns and "seq" not in names:
+            columns["seq"] = F.col("__place").cast("string")
+        parts.append(_scan(spark, names, files).select(*typed_from_text(columns, schema)))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def skipped_csv(spark: SparkSession, path: str) -> DataFrame:
     """(file, header) of the CSV files that ``read_csv`` leaves out."""
-    return _headers(_csv_lines(spark, path)).where(~F.coalesce(F.array_contains("header", "game_id"), F.lit(False))).select("file", "header")
+    rows = [(file, names) for names, files in _by_header(spark, path).values() if "game_id" not in names for file in files]
+    return spark.createDataFrame(rows, "file string, header array<string>")
+
+
+def csv_index(spark: SparkSession, path: str) -> DataFrame:
+    """(game_id, file, n_rows): the files that hold a game."""
+    parts = [_scan(spark, names, files).select("game_id", F.col("_metadata.file_path").alias("file"))
+             for names, files in _by_header(spark, path).values() if "game_id" in names]
+    return reduce(DataFrame.unionByName, parts).groupBy("game_id", "file").agg(F.count("*").alias("n_rows"))
 
 
 def csv_round_trip(pitches: DataFrame, path: str, schema: T.StructType = PITCH) -> DataFrame:

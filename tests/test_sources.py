@@ -196,3 +196,23 @@ def test_csv_by_name(spark, tmp_path):
     assert [(r.game_id, r.inning, r.pitch_type) for r in rows] == [("g1", 3, "FAST"), ("g1", 4, None), ("g2", 7, None)]
     assert rows[0].seq < rows[1].seq and layers.read_csv(spark, str(tmp_path)).schema == PITCH
     assert [r.file.rsplit("/", 1)[1] for r in layers.skipped_csv(spark, str(tmp_path)).collect()] == ["bad.csv"]
+
+
+def test_csv_of_many_columns(spark, tmp_path):
+    """70 columns and the game column last, repeated and empty names, a second header; where a game lies."""
+    names = [f"c{i}" for i in range(66)] + ["c1", "", "inning", "game_id"]
+    lines = [",".join(names), *(",".join([*map(str, range(68)), str(n), f"g{n % 2}"]) for n in range(1, 5))]
+    (tmp_path / "wide one.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "narrow.csv").write_text("game_id,inning\ng0,9\n")
+    rows = layers.read_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.game_id, r.inning) for r in rows) == [("g0", 2), ("g0", 4), ("g0", 9), ("g1", 1), ("g1", 3)]
+    index = layers.csv_index(spark, str(tmp_path)).collect()
+    assert sorted((r.game_id, r.file.rsplit("/", 1)[1], r.n_rows) for r in index) == [
+        ("g0", "narrow.csv", 1), ("g0", "wide%20one.csv", 2), ("g1", "wide%20one.csv", 2)]
+
+
+def test_csv_files_do_not_grow_with_games(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("concat('2024', id) AS game_id", "1 AS inning", "id AS seq")
+    layers.write_csv(rows, str(tmp_path / "csv"))
+    assert 0 < len(list((tmp_path / "csv").glob("*.csv"))) <= 8
+    assert layers.read_csv(spark, str(tmp_path / "csv")).count() == 3000
