@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.llm.text_units import text_slices
-from diamondlake.operators.materialize import materialize
+from diamondlake.operators.materialize import materialize, settled
 
 #: Bounds: units by word and by ending, classes, and words whose counts are sent to tasks.
 FREQUENT, ENDINGS, CLASSES = 1_024, 512, 128
@@ -48,7 +48,7 @@ FLUSH = 400_000
 #: Characters tokenised at once.
 SLICE = 1_500_000
 #: Rounds over the words that are no units, and contexts judged at once.
-ROUNDS, ENTRIES = 2, 20_000
+ROUNDS, ENTRIES = 1, 20_000
 #: Characters whose contexts are counted together, and one packed context.
 CONTEXT_SLICE, PACKED = 6_000_000, np.dtype([("beside", "<u2"), ("n", "<u4")])
 #: Log of how much likelier a word's class is that of its ending than another one, before its contexts are known.
@@ -218,8 +218,10 @@ class Head:
     kind: np.ndarray
 
 
-def with_words(docs: DataFrame, head: Head, own: list[bytes], ending: np.ndarray, table: DataFrame) -> DataFrame:
-    """(id, text, at, met) of (id, text) rows.
+def with_words(
+    docs: DataFrame, head: Head, own: list[bytes], ending: np.ndarray, table: DataFrame, keep_text: bool = False
+) -> DataFrame:
+    """(id, at, met), or with ``keep_text`` (id, text, at, met), of (id, text) rows.
 
     ``at`` has a place in ``head`` per token, or -1 - i for the word of place i in ``met``, which
     lists (i, kind, n) of the row's other words; those not in ``table`` have n 0 and their ending's class.
@@ -245,12 +247,13 @@ def with_words(docs: DataFrame, head: Head, own: list[bytes], ending: np.ndarray
                 many.append(len(seen))
             entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(kinds, pa.int32())], names=["word", "ending"])
             yield pa.record_batch({
-                "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()),
+                "id": pa.array(ids, pa.int64()), **({"text": pa.array(texts, pa.string())} if keep_text else {}),
                 "at": pa.ListArray.from_arrays(_bounds(sizes), pa.array(np.concatenate(at))),
                 "rare": pa.ListArray.from_arrays(_bounds(many), entries),
             })
 
-    rows = docs.mapInArrow(run, "id long, text string, at array<int>, rare array<struct<word: binary, ending: int>>")
+    kept = "text string, " if keep_text else ""
+    rows = docs.mapInArrow(run, f"id long, {kept}at array<int>, rare array<struct<word: binary, ending: int>>")
     # Numbered and written once, so that the parts of a row find each other again.
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
     rare = rows.select("row", F.posexplode("rare").alias("i", "one")).select("row", "i", "one.*")
@@ -443,13 +446,19 @@ class BrownModel:
     train_tokens: int
     train_words: int
     emission_mass: float = 0.5
+    #: Rows of ``prepare`` with their words found in ``counts``, where ``train`` was given any.
+    rows: DataFrame | None = None
 
 
 def train(
     docs: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT, head: int = HEAD, prior: float = 5.0,
-    rounds: int = ROUNDS, stay: float = STAY,
+    rounds: int = ROUNDS, stay: float = STAY, prepare: DataFrame | None = None, learns: Column | None = None,
 ) -> BrownModel:
-    """Learn from all rows of ``docs`` (column ``text``)."""
+    """Learn from all rows of ``docs`` (column ``text``).
+
+    ``prepare`` are the (id, text) rows to be scored later; if ``learns``, a condition on ``id``, picks the
+    rows of ``docs`` from them, the last round and the scoring share one pass over the texts.
+    """
     counts = materialize(word_counts(docs))
     n_docs = docs.count()
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -466,17 +475,21 @@ def train(
     learnt = materialize(_with_endings(counts, own, kind))
     known = _head(learnt, head, n_docs, kind)
     contexts = first_contexts(docs, own, kind, classes)
+    spark, prepared = docs.sparkSession, None
     for left in range(rounds - 1, -1, -1):
         found = moved(contexts, table, kind[len(own) :], stay)
         found = materialize(found.unionByName(learnt.where("own").select("word", "n", "kind")))
         head_now = _head(found, head, n_docs, kind)
-        rows = with_words(docs.select(F.lit(0).cast("long").alias("id"), "text"), head_now, own, kind, found)
-        rows = materialize(rows) if left else rows
-        table_now = class_bigrams(rows, head_now, classes)
+        shared = not left and prepare is not None
+        source = prepare.select("id", "text") if shared else docs.select(F.lit(0).cast("long").alias("id"), "text")
+        rows = settled(spark, lambda: with_words(source, head_now, own, kind, found, left > 0))
+        table_now = class_bigrams(rows.where(learns) if shared else rows, head_now, classes)
         if likelihood(table_now) <= score_now:
             break
         table, score_now, known, taken = table_now, likelihood(table_now), head_now, found
-        contexts = later_contexts(rows, head_now, own, classes)
+        if left:
+            contexts = later_contexts(rows, head_now, own, classes)
+        prepared = rows if shared else None
     final = learnt.select("word", "n", "kind") if taken is None else taken
 
     tokens_of = table.sum(0)
@@ -488,7 +501,7 @@ def train(
     words_of[kind[0]] += 1 if n_docs else 0
     return BrownModel(
         Lexicon(own, final), np.concatenate([kind, np.arange(classes)]), transition, tokens_of, words_of, known, final,
-        int(totals["n"]) + n_docs, int(totals["v"]) + (1 if n_docs else 0),
+        int(totals["n"]) + n_docs, int(totals["v"]) + (1 if n_docs else 0), rows=prepared,
     )
 
 
@@ -516,9 +529,14 @@ def _with_endings(counts: DataFrame, own: list[bytes], kind: np.ndarray) -> Data
 
 
 def score(docs: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: id, n_tokens, n_known, base_score, score (both log10 of the text's probability)."""
+    """One row per row: id, n_tokens, n_known, base_score, score (both log10 of the text's probability).
+
+    If the model has prepared its rows, ``docs`` must be those.
+    """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = with_words(named, model.head, list(model.frequent), model.kind, model.counts).select("id", "at", "met")
+    rows = model.rows
+    if rows is None:
+        rows = settled(docs.sparkSession, lambda: with_words(named, model.head, list(model.frequent), model.kind, model.counts))
     head_n, head_kind, transition = model.head.n, model.head.kind, model.transition
     whole, mass = model.train_tokens + 0.5 * (model.train_words + 1), model.emission_mass
     rest = model.class_tokens + mass * (model.class_words + 1)

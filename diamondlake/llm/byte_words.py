@@ -47,25 +47,26 @@ class PrefixHashes:
         return (self.prefix[stop] - self.prefix[start]) * self.back[start]
 
 
-def lowered(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of all texts with A-Z lower-cased and one blank after each, end of each text)."""
+def lowered(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts, with A-Z lower-cased unless told not to, and one blank after each; end of each text)."""
     raw = [t.encode() for t in texts]
-    data = _LOWER[np.frombuffer(b" ".join([*raw, b""]), dtype=np.uint8)]
+    data = np.frombuffer(b" ".join([*raw, b""]), dtype=np.uint8)
+    data = _LOWER[data] if lower else data
     return data, np.cumsum([len(r) + 1 for r in raw])
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, start, stop, text index) of every maximal run without blanks (0x20, 0x09-0x0D)."""
-    data, ends = lowered(texts)
+    data, ends = lowered(texts, lower)
     inside = np.concatenate(([False], ~_BLANK[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, stop = edges[::2], edges[1::2]
     return data, start, stop, np.searchsorted(ends, start, side="right")
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text index) of every word, in order."""
-    data, start, stop, text = words(texts)
+    data, start, stop, text = words(texts, lower)
     return mix(PrefixHashes(data).of(start, stop)), text
 
 

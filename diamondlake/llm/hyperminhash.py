@@ -15,18 +15,20 @@ large group costs as much as its stragglers, and no link between components is l
 
 Defined results: a text without words, or NULL, has an empty set and links with
 nothing; a text of fewer than five words is one shingle; a row without id links with
-nothing and is kept; an id that occurs twice is judged per row.
+nothing and is kept; an id that occurs twice is judged per row, each text by itself; texts of
+any length are hashed whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.llm.byte_words import mix, shingle_sets
@@ -97,8 +99,20 @@ def registers(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def key_of(text: str) -> int:
+    """What tells texts of one id apart: bytes and crc32."""
+    raw = text.encode()
+    return (len(raw) & 0x7FFFFFFF) << 32 | zlib.crc32(raw)
+
+
+def text_key(text: Column) -> Column:
+    """``key_of`` as a column; a NULL text is an empty one."""
+    text = F.coalesce(text, F.lit("")).cast("binary")
+    return F.shiftleft(F.octet_length(text).cast("long").bitwiseAND(0x7FFFFFFF), 32).bitwiseOR(F.crc32(text))
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, set_hash, registers) of every row; set_hash is NULL for an empty set."""
+    """(id, text_key, n, set_hash, registers) of every row; set_hash is NULL for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_slices(batches, HASHED_CHARS):
@@ -110,13 +124,13 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             pairs = np.stack([first, second], axis=1)
             packed = registers(shingles, bounds)
             yield pa.record_batch({
-                "id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()),
+                "id": pa.array(ids, pa.int64()), "text_key": pa.array([key_of(t) for t in texts], pa.int64()), "n": pa.array(n, pa.int64()),
                 "set_hash": pa.array([pairs[i].tobytes() if n[i] else None for i in range(len(n))], pa.binary()),
                 "registers": pa.array([r.tobytes() for r in packed], pa.binary()),
             })
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return rows.mapInArrow(run, "id long, n long, set_hash binary, registers binary")
+    return rows.mapInArrow(run, "id long, text_key long, n long, set_hash binary, registers binary")
 
 
 # ---- estimates -------------------------------------------------------------------------
@@ -310,25 +324,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: id, text_key (see ``text_key``), n_shingles, component_id, kept.
 
     Documents are linked at a Jaccard similarity of ``threshold`` (two decimals) or
     more; component_id is the smallest id reachable by links.
     """
     every = materialize(sketches(docs, id_col, text_col))
     with_set = every.where(F.col("id").isNotNull() & F.col("set_hash").isNotNull())
-    # One class per set; its representative is the smallest id.
-    classes = materialize(with_set.groupBy("set_hash").agg(F.min(F.struct("id", "n", "registers")).alias("r")).select("set_hash", "r.*"))
+    # One class per set, numbered when it is written; it stands for itself by its smallest document.
+    least = F.min(F.struct(F.col("id").alias("doc"), "text_key", "n", "registers")).alias("r")
+    classes = with_set.groupBy("set_hash").agg(least).select("set_hash", "r.*")
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))
     band = F.posexplode(F.array(*[F.xxhash64(F.lit(b), F.substring("registers", 8 * b + 1, 8)) for b in range(BANDS)])).alias("band", "key")
     banded = classes.select("id", band)
     shared = materialize(banded.groupBy("key").agg(F.count("*").alias("in_bucket")).where(F.col("in_bucket") > 1))
     in_buckets = banded.join(shared, "key")
     members = materialize(in_buckets.join(classes.select("id", "n", "registers"), "id"))
     # Only texts of classes that share a bucket are needed from here on.
-    wanted = materialize(members.select("id").distinct())
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    chosen = source.join(wanted, "id").join(classes.select("id", F.col("n").alias("n_class")), "id")
-    texts = materialize(chosen.groupBy("id").agg(F.min("text").alias("text")))
+    wanted = materialize(members.select("id").distinct().join(classes.select("id", "doc", "text_key"), "id"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    texts = materialize(source.join(wanted, ["doc", "text_key"]).groupBy("id").agg(F.min("text").alias("text")))
 
     best = materialize(forest_pairs(members, threshold))
     links = materialize(confirmed(best, texts, threshold))
@@ -337,12 +352,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc
     current = materialize(members.join(joined, "id", "left").select(*members.columns, component))
     final = components(links.union(straggler_links(current, texts, threshold)))
 
-    of_class = classes.select("set_hash", "id").join(final, "id", "left").select(
-        "set_hash", F.coalesce("component", F.col("id")).alias("component_id"))
-    result = every.select("id", "n", "set_hash").join(materialize(of_class), "set_hash", "left")
+    of_class = classes.join(final, "id", "left").select("set_hash", "doc", F.coalesce("component", F.col("id")).alias("component"))
+    smallest = of_class.groupBy("component").agg(F.min("doc").alias("component_id"))
+    of_class = of_class.join(smallest, "component").select("set_hash", "component_id")
+    result = every.select("id", "text_key", "n", "set_hash").join(materialize(of_class), "set_hash", "left")
     alone = F.col("set_hash").isNull() | F.col("id").isNull()
     result = result.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"),
         F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     )
     return result.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))

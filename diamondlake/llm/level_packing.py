@@ -66,8 +66,8 @@ class UnitTokens:
         self.units, self.words = UnitCache(), UnitCache()
 
     def forget(self) -> None:
-        """Give the memory of the learnt units back; the worker process lives on."""
-        self.units, self.words = UnitCache(), UnitCache()
+        """Give the memory of the learnt units back; words, which are fewer and cost more, stay with the worker."""
+        self.units = UnitCache()
 
     def _word(self, word: str) -> bytes:
         shown = word.encode().decode("latin-1").translate(self.stand_in)

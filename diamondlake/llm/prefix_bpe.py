@@ -125,7 +125,8 @@ class PrefixBpe:
         counts, last = [0], [-1]
         find, seam, longest = self.standing.get, self._seams.get, self.longest
         for end in range(1, len(word) + 1):
-            token = find(word[:end])
+            # A longer prefix is no token; copying it would make a long word quadratic.
+            token = find(word[:end]) if end <= longest else None
             if token is not None:
                 counts.append(1)
                 last.append(token)

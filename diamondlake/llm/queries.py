@@ -78,7 +78,8 @@ def op4_mil_toxicity(spark, sf_dir):
 @query
 def op5_brown_lm(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    model = brown_lm.train(docs.where(~brown_lm.held_out(F.col("doc_id"))))
+    named = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    model = brown_lm.train(docs.where(~brown_lm.held_out(F.col("doc_id"))), prepare=named, learns=~brown_lm.held_out(F.col("id")))
     scored = brown_lm.score(docs, model)
     return scored.select(
         "doc_id", brown_lm.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
@@ -88,7 +89,7 @@ def op5_brown_lm(spark, sf_dir):
 
 @query
 def op6_hyperminhash(spark, sf_dir):
-    return near_duplicates(documents(spark, sf_dir), threshold=0.75)
+    return near_duplicates(documents(spark, sf_dir), threshold=0.75).drop("text_key")
 
 
 @query
@@ -98,7 +99,8 @@ def op7_merge_replay_bpe(spark, sf_dir):
 
 @query
 def op8_suffix_dedup(spark, sf_dir):
-    return repeat_digests(mark_repeats(documents(spark, sf_dir), length=400))
+    """Repeats of 400 bytes are judged; beside them ``n_run_words`` counts words in repeated runs of 51 words."""
+    return repeat_digests(mark_repeats(documents(spark, sf_dir), length=400, words=51))
 
 
 @query

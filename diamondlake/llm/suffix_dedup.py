@@ -6,20 +6,26 @@ anywhere else in the corpus. Strings of that length are found in three steps.
 1. Anchors. Of the ``gram``-byte strings in a window of ``length`` bytes the one with the
    least hash is the window's anchor, so equal windows have equal anchors at the same
    place. A run of windows with one anchor is a context. About one byte in 150 is an
-   anchor; only the hashes of anchor and context travel.
+   anchor; only the anchor's hash and a digest of the context travel.
 2. Anchors that occur once cannot belong to a repeated string. Contexts of repeated
-   anchors that all look alike are repeated as a whole.
+   anchors whose digests are all equal are repeated as a whole; no suffix is sorted for
+   them. What decides there is the 64-bit BLAKE2b digest of all bytes of the context, among
+   contexts of one anchor hash.
 3. Where contexts of one anchor differ, one copy of each different context is fetched
    and the suffixes that start in it are sorted: mergesort, whose comparisons find the
    common extension of two suffixes by binary search over prefix polynomial hashes.
-   Neighbours that agree over ``length`` bytes are compared byte by byte, so a hash
-   collision cannot remove text.
+   Neighbours that agree over ``length`` bytes are compared byte by byte.
 
 An anchor with more than ``CHUNK`` different contexts is sorted in chunks; what a chunk
-leaves open is matched across chunks by a digest of the window.
+leaves open is matched across chunks by a 128-bit digest of the window.
+
+Repeated runs of a number of words, however few bytes they have, are found beside that by the
+same anchors over the hashes of words; where contexts differ, digests of their windows decide.
 
 Defined results: a NULL text is empty; texts shorter than ``length`` bytes lose nothing;
-equal rows (same id and text) count as two places; offsets are bytes of the UTF-8 text.
+equal rows (same id and text) count as two places; offsets are bytes of the UTF-8 text; texts
+of any length are read in overlapping pieces, so every window is seen; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -30,17 +36,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.llm.arrow_groups import changes, whole_groups
-from diamondlake.llm.byte_words import PrefixHashes, mix
+from diamondlake.llm.byte_words import PrefixHashes, mix, word_hashes
 from diamondlake.llm.text_units import text_slices
-from diamondlake.operators.materialize import materialize
+from diamondlake.operators.materialize import materialize, settled
 
-CHUNK = 8_192
+CHUNK = 1_024
 #: Bytes handled at once, about 150 times as much memory; positions in a piece need 24 bits.
 PIECE = 1_000_000
+#: Words of an anchor where runs of words are looked for.
+WORD_GRAM = 12
 _PLACE = np.uint64((1 << 24) - 1)
 _WORD = re.compile(rb"\S+")
 
@@ -120,7 +128,10 @@ def context_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     begin = np.cumsum([0, *map(len, raw[:-1])])[found["text"]] - np.array(offset)[found["text"]]
                     row = rows[np.array(who)[found["text"]]]
                     place = _packed_place(found["low"] - begin, found["high"] - begin, found["anchor"] - begin)
-                    yield pa.record_batch({"k1": k1[row], "k2": k2[row], "place": place, "g": found["g"].astype(np.int64), "e": found["e"].astype(np.int64)})
+                    whole = memoryview(b"".join(raw))
+                    spans = zip(found["low"].tolist(), (found["high"] + length).tolist())
+                    e = np.frombuffer(b"".join([hashlib.blake2b(whole[a:b], digest_size=8).digest() for a, b in spans]), dtype=np.int64)
+                    yield pa.record_batch({"k1": k1[row], "k2": k2[row], "place": place, "g": found["g"].astype(np.int64), "e": e})
 
     return docs.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 int, place long, g long, e long")
 
@@ -266,23 +277,25 @@ def _sorted_ranges(contexts: DataFrame, length: int) -> DataFrame:
 # ---- operator ------------------------------------------------------------------------------------
 
 
-def mark_repeats(
-    docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "spans"
-) -> DataFrame:
-    """``docs`` with ``spans_col``: the byte ranges (start, stop) to remove, disjoint and ascending; NULL for none.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(k1, k2, text): rows with one id and text share their key, and what is removed from them."""
+    k1, k2 = _keys(id_col, text_col)
+    return docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
 
-    The input's other columns keep their names and values; one named ``spans_col`` is replaced.
-    """
-    docs = docs.drop(spans_col)
-    k1, k2 = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.hash(text_col)
-    keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
+
+def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.hash(text_col)
+
+
+def byte_spans(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+    """(k1, k2, start, stop) of the bytes that repeated strings cover, overlapping and in any order."""
     found = context_rows(keyed, length, gram)
     often = found.groupBy("g").agg(F.count("*").alias("n"), (F.min("e") != F.max("e")).alias("differ"))
     often = materialize(often.where(F.col("n") > 1).select("g", "differ"))
     repeated = materialize(found.join(often, "g"))
 
     differing = repeated.where("differ")
-    classes = materialize(differing.groupBy("g", "e").agg(F.count("*").alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("at")))
+    classes = _classes(differing)
     large = materialize(classes.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > CHUNK))
     wanted = classes.join(large, "g", "left").select(
         "at.*", "g", "e", "copies", F.col("k").isNotNull().alias("chunked"),
@@ -297,14 +310,52 @@ def mark_repeats(
         windows = ranges.where(F.col("digest").isNotNull())
         across = materialize(windows.groupBy("g", "delta", "digest").agg(F.count("*").alias("k")).where(F.col("k") > 1))
         covered = covered.union(windows.join(across, ["g", "delta", "digest"]).select("g", "e", "low", "high"))
+    return _placed(repeated, covered, length)
+
+
+def _classes(differing: DataFrame) -> DataFrame:
+    """One place of every different context, with its number of copies."""
+    return materialize(differing.groupBy("g", "e").agg(F.count("*").alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("at")))
+
+
+def _placed(repeated: DataFrame, covered: DataFrame, length: int) -> DataFrame:
+    """Ranges of contexts, given relative to their start, at all places of the contexts."""
     covered = materialize(covered.groupBy("g", "e").agg(F.min("low").alias("low"), F.max("high").alias("high")))
     start = F.expr(_LOW)
     whole = repeated.where(~F.col("differ")).select("k1", "k2", start.alias("start"), (start + F.expr(_SPAN) + length).alias("stop"))
-    part = differing.join(covered, ["g", "e"]).select("k1", "k2", (start + F.col("low")).alias("start"), (start + F.col("high")).alias("stop"))
-    spans = whole.union(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    spans = _merged(spans).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans"))
-    marked = docs.join(spans, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left")
-    return marked.drop("__k1", "__k2").withColumnRenamed("__spans", spans_col)
+    part = repeated.where("differ").join(covered, ["g", "e"]).select("k1", "k2", (start + F.col("low")).alias("start"), (start + F.col("high")).alias("stop"))
+    return whole.union(part)
+
+
+def _spans(ranges: DataFrame) -> DataFrame:
+    return _merged(ranges.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
+
+
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the other columns of ``spans``, whose rows are found by key."""
+    k1, k2 = _keys(id_col, text_col)
+    spans = spans.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
+    return docs.join(spans, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left").drop("__k1", "__k2")
+
+
+def mark_repeats(
+    docs: DataFrame, length: int = 400, gram: int = 100, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "spans",
+    words: int | None = None, words_col: str = "word_spans",
+) -> DataFrame:
+    """``docs`` with ``spans_col``: the byte ranges (start, stop) to remove, disjoint and ascending; NULL for none.
+
+    With ``words`` also ``words_col``: ranges of words (numbered from 0, split at ASCII blanks) in runs of
+    so many words that start at two places at least. The input's other columns keep their names and
+    values; those named like the results are replaced.
+    """
+    docs = docs.drop(spans_col, words_col) if words else docs.drop(spans_col)
+    keyed = _keyed(docs, id_col, text_col)
+    spans = settled(docs.sparkSession, lambda: _spans(byte_spans(keyed, length, gram))).withColumnRenamed("spans", "__spans")
+    if words:
+        runs = settled(docs.sparkSession, lambda: _spans(word_spans(keyed, words))).withColumnRenamed("spans", "__words")
+        spans = spans.join(runs, ["k1", "k2"], "full")
+    marked = _with_spans(docs, spans, id_col, text_col).withColumnRenamed("__spans", spans_col)
+    return marked.withColumnRenamed("__words", words_col) if words else marked
 
 
 def _union(ranges: list[dict]) -> list[dict]:
@@ -369,67 +420,98 @@ def without(raw: bytes, spans: list[dict] | None) -> bytes:
 
 
 def repeat_digests(marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per marked row: id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per marked row: id, n_bytes, n_removed, n_spans, kept_sha256, words in repeated runs of words, whether anything repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, removed, count, sha = [], [], [], []
-            for text, spans in zip(batch.column(1), batch.column(2)):
+            size, removed, count, sha, n_words = [], [], [], [], []
+            for text, spans, runs in zip(batch.column(1), batch.column(2), batch.column(3)):
                 raw, spans = (text.as_py() or "").encode(), spans.as_py() or []
                 kept = without(raw, spans)
                 size.append(len(raw))
                 removed.append(len(raw) - len(kept))
                 count.append(len(spans))
                 sha.append(hashlib.sha256(kept).hexdigest())
+                n_words.append(sum(r["stop"] - r["start"] for r in runs.as_py() or ()))
             yield pa.record_batch({"id": batch.column(0), "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                                   "n_spans": pa.array(count, pa.int64()), "kept_sha256": pa.array(sha, pa.string())})
+                                   "n_spans": pa.array(count, pa.int64()), "kept_sha256": pa.array(sha, pa.string()),
+                                   "n_run_words": pa.array(n_words, pa.int64())})
 
-    rows = marked.select(F.col(id_col).cast("long"), text_col, "spans")
-    return rows.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
+    runs = F.col("word_spans") if "word_spans" in marked.columns else F.lit(None).cast(marked.schema["spans"].dataType)
+    rows = marked.select(F.col(id_col).cast("long"), text_col, "spans", runs.alias("word_spans"))
+    rows = rows.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_run_words long")
+    rows = rows.withColumn("has_repeat", (F.col("n_removed") > 0) | (F.col("n_run_words") > 0))
+    return rows.withColumnRenamed("id", id_col)
 
 
-def _mark_word_repeats(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``__words``: ranges of runs of ``words`` words, with the bytes between them, that start at two places at least.
+# ---- runs of words -----------------------------------------------------------------------------
 
-    Such a run has 2 * words - 1 bytes at least, so it lies within a range repeated at that
-    length. Only the runs in these ranges are compared, by a digest of all their bytes.
-    """
-    least = 2 * words - 1
-    near = mark_repeats(docs, least, (least + 1) // 2, id_col, text_col, "__near")
-    rows = materialize(near.withColumn("__row", F.monotonically_increasing_id()))
+
+def word_contexts(docs: DataFrame, words: int, gram: int) -> DataFrame:
+    """(k1, k2, place, g, e) as ``context_rows``, counted in words."""
+    # Parts of a very long text share words - 1 words, so every window lies in exactly one.
+    step = PIECE - words + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text, near in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                raw = text.as_py().encode()
-                who, start, stop, digest = [], [], [], []
-                for span in near.as_py():
-                    low, high = span["start"], span["stop"]
-                    # A word cut by the range is not whole.
-                    found = [m.span() for m in _WORD.finditer(raw, low, high)]
-                    if found and low and found[0][0] == low and not raw[low - 1 : low].isspace():
-                        found = found[1:]
-                    if found and high < len(raw) and found[-1][1] == high and not raw[high : high + 1].isspace():
-                        found = found[:-1]
-                    for (a, _), (_, b) in zip(found, found[words - 1 :]):
-                        who.append(row)
-                        start.append(a)
-                        stop.append(b)
-                        digest.append(hashlib.blake2b(raw[a:b], digest_size=16).digest())
-                        if len(who) >= 50_000:
-                            yield _windows(who, start, stop, digest)
-                            who, start, stop, digest = [], [], [], []
-                yield _windows(who, start, stop, digest)
-
-    def _windows(who: list, start: list, stop: list, digest: list) -> pa.RecordBatch:
-        return pa.record_batch({"k1": pa.array(who, pa.int64()), "start": pa.array(start, pa.int64()), "stop": pa.array(stop, pa.int64()), "digest": pa.array(digest, pa.binary())})
-
-    asked = rows.where(F.col("__near").isNotNull()).select("__row", text_col, "__near")
-    windows = materialize(asked.mapInArrow(run, "k1 long, start long, stop long, digest binary"))
-    often = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    spans = windows.join(often, "digest").groupBy("k1").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    spans = _merged(spans.select("k1", F.lit(0).alias("k2"), "spans")).select(F.col("k1").alias("__row"), F.col("spans").alias("__words"))
-    return rows.drop("__near").join(spans, "__row", "left").drop("__row")
+            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            places = pa.RecordBatch.from_arrays([pa.array(np.arange(len(k1))), batch.column(2)], names=["i", "text"])
+            for rows, texts in text_slices(iter([places]), 4 * PIECE):
+                rows = np.array(rows)
+                value, owner = word_hashes(texts, lower=False)
+                for at in range(0, max(1, len(value)), step):
+                    data, text = value[at : at + PIECE], owner[at : at + PIECE]
+                    present, first = np.unique(text, return_index=True)
+                    found = anchors(data, np.append(first[1:], len(data)), words, gram)
+                    # Places count from the beginning of the text, which may lie before the part.
+                    text_of = present[found["text"]] if len(present) else found["text"]
+                    begin = np.searchsorted(owner, text_of) - at
+                    place = _packed_place(found["low"] - begin, found["high"] - begin, found["anchor"] - begin)
+                    row = rows[text_of]
+                    yield pa.record_batch({"k1": k1[row], "k2": k2[row], "place": place, "g": found["g"].astype(np.int64), "e": found["e"].astype(np.int64)})
+
+    return docs.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 int, place long, g long, e long")
+
+
+def word_spans(keyed: DataFrame, words: int) -> DataFrame:
+    """(k1, k2, start, stop) of words covered by runs of ``words`` words that start at two places at least."""
+    found = word_contexts(keyed, words, min(WORD_GRAM, words))
+    often = found.groupBy("g").agg(F.count("*").alias("n"), (F.min("e") != F.max("e")).alias("differ"))
+    often = materialize(often.where(F.col("n") > 1).select("g", "differ"))
+    repeated = materialize(found.join(often, "g"))
+    wanted = _classes(repeated.where("differ")).select("at.*", "g", "e", "copies")
+    asked = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "g", "e", "copies")).alias("asked"))
+
+    schema = pa.schema([("g", pa.int64()), ("e", pa.int64()), ("copies", pa.int64()), ("low", pa.int64()), ("digest", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for text, asked in zip(batch.column(0), batch.column(1)):
+                split = (text.as_py() or "").encode().split()
+                for one in asked.as_py():
+                    low, span = one["place"] >> 32, one["place"] >> 16 & 65535
+                    for k in range(span + 1):
+                        digest = hashlib.blake2b(b" ".join(split[low + k : low + k + words]), digest_size=16).digest()
+                        rows.append((one["g"], one["e"], one["copies"], k, digest))
+                if len(rows) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    # Equal rows bring their contexts twice, which are repeated anyway.
+    fetched = keyed.join(asked, ["k1", "k2"]).select("text", "asked")
+    windows = materialize(fetched.mapInArrow(run, "g long, e long, copies long, low long, digest binary"))
+    twice = windows.groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1").select("digest")
+    covered = windows.join(twice, "digest").select("g", "e", "low", (F.col("low") + words).alias("high"))
+    return _placed(repeated, covered, words)
+
+
+def bytes_of_words(raw: bytes, runs: list[dict]) -> list[dict]:
+    """Ranges of words as ranges of bytes."""
+    bounds = [m.span() for m in _WORD.finditer(raw)]
+    return [{"start": bounds[r["start"]][0], "stop": bounds[r["stop"] - 1][1]} for r in runs]
 
 
 def remove_repeats(
@@ -439,18 +521,18 @@ def remove_repeats(
 
     With ``words``, repeated runs of so many words (split at ASCII blanks) go as well, however few bytes they have.
     """
-    marked = mark_repeats(docs, length, gram, id_col, text_col, "__repeats")
-    if words:
-        marked = _mark_word_repeats(marked, words, id_col, text_col)
+    marked = mark_repeats(docs, length, gram, id_col, text_col, "__repeats", words, "__runs")
     width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             text = []
-            for t, *spans in zip(batch.column(at), *batch.columns[width:]):
-                cut = _union([one for s in spans for one in s.as_py() or ()])
-                text.append(without(t.as_py().encode(), cut).decode("utf-8", "ignore") if cut else t.as_py())
+            for t, spans, *runs in zip(batch.column(at), *batch.columns[width:]):
+                spans, runs = spans.as_py() or [], [one for r in runs for one in r.as_py() or ()]
+                raw = t.as_py().encode() if spans or runs else b""
+                cut = _union([*spans, *bytes_of_words(raw, runs)])
+                text.append(without(raw, cut).decode("utf-8", "ignore") if cut else t.as_py())
             columns = list(batch.columns[:width])
             columns[at] = pa.array(text, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:width])

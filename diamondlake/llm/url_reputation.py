@@ -130,12 +130,13 @@ def judge_urls(
 ) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, bound.
 
-    ``outcomes`` has (id_col, bad), at most one row per id. ``bound`` is the lower
+    ``outcomes`` has (id_col, bad); of several for one id the worst counts, once. ``bound`` is the lower
     posterior bound of the host's bad rate, mean - z * deviation; the page of a host
     with a bound above ``threshold`` is blocked unless a rule decides.
     """
     wanted = pages.select(F.col(id_col), F.col(url_col).alias("url"))
-    labelled = wanted.join(outcomes.select(F.col(id_col), "bad"), id_col, "left")
+    worst = outcomes.groupBy(id_col).agg(F.max("bad").alias("bad"))
+    labelled = wanted.join(worst, id_col, "left")
     bounds = host_reputation(labelled).select(
         F.col("host").alias("known_host"), F.greatest(F.col("mean") - z * F.col("deviation"), F.lit(0.0)).alias("bound")
     )

@@ -97,3 +97,15 @@ def repeated_bytes(texts: list[str | None], length: int) -> list[list[tuple[int,
                     runs.append([i, i + length])
         out.append([tuple(x) for x in runs])
     return out
+
+
+def repeated_words(texts: list[str | None], n: int) -> list[list[tuple[int, int]]]:
+    """Byte ranges of all runs of ``n`` words whose words start at two places at least."""
+    found = [list(re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for t in texts]
+    seen: dict[tuple, int] = {}
+    for ms in found:
+        for i in range(len(ms) - n + 1):
+            run = tuple(m.group() for m in ms[i : i + n])
+            seen[run] = seen.get(run, 0) + 1
+    return [[(ms[i].start(), ms[i + n - 1].end()) for i in range(len(ms) - n + 1)
+             if seen[tuple(m.group() for m in ms[i : i + n])] > 1] for ms in found]

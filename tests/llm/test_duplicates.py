@@ -121,3 +121,40 @@ def test_remove(spark):
     assert got == {1: "xy", 2: "pqq", 3: "clean", 4: None}
     assert remove_repeats(docs, length=400).columns == docs.columns
     assert remove_repeats(documents(spark, []), length=400).count() == 0
+
+
+@pytest.mark.parametrize("piece", [1_000_000, 130])
+def test_runs_of_words(spark, monkeypatch, piece):
+    """Word ranges against brute force, also in overlapping parts of a few words."""
+    from frames import repeated_words
+
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    rng = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(400)]
+    rows = []
+    passages = [[rng.choice(vocabulary) for _ in range(n)] for n in (19, 20, 21, 45, 90)]
+    for i in range(60):
+        own = [rng.choice(vocabulary) for _ in range(rng.randint(0, 150))]
+        for _ in range(rng.randint(0, 3)):
+            at, one = rng.randint(0, len(own)), rng.choice(passages)
+            own[at:at] = one[rng.randint(0, 5) : len(one) - rng.randint(0, 5)]
+        rows.append((i, " ".join(own)))
+    rows += [rows[3], (None, rows[5][1]), (200, None), (201, "")]
+    marked = mark_repeats(documents(spark, rows), length=400, words=20)
+    got = sorted((str(r["doc_id"]), r["text"] or "", [(s["start"], s["stop"]) for s in r["word_spans"] or ()]) for r in marked.collect())
+    want = []
+    for (i, text), ranges in zip(rows, repeated_words([t for _, t in rows], 20)):
+        words = (text or "").encode().split()
+        covered, at = [], 0
+        starts = {}
+        for k, w in enumerate(words):
+            starts[(text.encode()).index(w, at)] = k
+            at = text.encode().index(w, at) + len(w)
+        for a, b in ranges:
+            k = starts[a]
+            if covered and k <= covered[-1][1]:
+                covered[-1] = (covered[-1][0], k + 20)
+            else:
+                covered.append((k, k + 20))
+        want.append((str(i), text or "", covered))
+    assert got == sorted(want)

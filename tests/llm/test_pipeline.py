@@ -3,7 +3,7 @@
 import corpus_pipeline
 import pytest
 from diamondlake.llm.suffix_dedup import remove_repeats
-from frames import document_rows, joined, repeated_bytes, shingles
+from frames import document_rows, joined, repeated_bytes, repeated_words, shingles
 from pyspark.sql import functions as F
 
 
@@ -44,10 +44,11 @@ def test_stages(spark, folder):
     assert cut.columns == docs.columns
     before = kept.orderBy("doc_id", F.length("text")).collect()
     after = {(r["doc_id"], (r["text"] or "")): r["n_chars"] for r in cut.collect()}
-    for r, spans in zip(before, repeated_bytes([x["text"] for x in before], 400)):
+    texts = [x["text"] for x in before]
+    for r, spans, runs in zip(before, repeated_bytes(texts, 400), repeated_words(texts, 51)):
         raw = (r["text"] or "").encode()
-        for a, b in reversed(spans):
-            raw = raw[:a] + raw[b:]
+        gone = {k for a, b in [*spans, *runs] for k in range(a, b)}
+        raw = bytes(c for k, c in enumerate(raw) if k not in gone)
         assert (r["doc_id"], raw.decode("utf-8", "ignore")) in after
 
     pieces = packing(spark, cut, folder)
@@ -55,6 +56,24 @@ def test_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).agg(F.sum("length")).first()[0] == pieces.agg(F.sum("length")).first()[0]
 
 
+def test_no_documents(spark, folder, tmp_path):
+    """Every stage of an empty table, and the whole."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_ids(spark):
+    """Texts of one id are judged apart: the copy goes, the other text stays; a link through the second text counts."""
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, words), (3, words + " more"), (5, "something else of that id entirely and quite different"), (1, "alone here"), (1, words + " again")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    assert {(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {rows[2], rows[3], rows[4]}
+
+
 def key(rows):
     return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in rows)
 
