@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import threading
 import uuid
 from collections.abc import Callable, Iterator
@@ -79,6 +80,9 @@ def tables(spark: SparkSession) -> Iterator[None]:
     finally:
         for path in scopes.pop():
             remove(spark, path)
+        # Shuffle files go when the driver's memory of their plans is collected.
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
