@@ -6,11 +6,11 @@ anywhere else in the corpus. Strings of that length are found in three steps.
 1. Anchors. Of the ``gram``-byte strings in a window of ``length`` bytes the one with the
    least hash is the window's anchor, so equal windows have equal anchors at the same
    place. A run of windows with one anchor is a context. About one byte in 150 is an
-   anchor; only the anchor's hash and a digest of the context travel.
+   anchor; only the hashes of anchor and context travel.
 2. Anchors that occur once cannot belong to a repeated string. Contexts of repeated
-   anchors whose digests are all equal are repeated as a whole; no suffix is sorted for
-   them. What decides there is the 64-bit BLAKE2b digest of all bytes of the context, among
-   contexts of one anchor hash.
+   anchors that all look alike are repeated as a whole. What decides there is the 64-bit
+   hash of the whole context among contexts of one anchor hash; no suffix is sorted and no
+   byte compared for them.
 3. Where contexts of one anchor differ, one copy of each different context is fetched
    and the suffixes that start in it are sorted: mergesort, whose comparisons find the
    common extension of two suffixes by binary search over prefix polynomial hashes.
@@ -44,7 +44,7 @@ from diamondlake.llm.byte_words import PrefixHashes, mix, word_hashes
 from diamondlake.llm.text_units import text_slices
 from diamondlake.operators.materialize import materialize, settled
 
-CHUNK = 1_024
+CHUNK = 8_192
 #: Bytes handled at once, about 150 times as much memory; positions in a piece need 24 bits.
 PIECE = 1_000_000
 #: Words of an anchor where runs of words are looked for.
@@ -128,9 +128,7 @@ def context_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     begin = np.cumsum([0, *map(len, raw[:-1])])[found["text"]] - np.array(offset)[found["text"]]
                     row = rows[np.array(who)[found["text"]]]
                     place = _packed_place(found["low"] - begin, found["high"] - begin, found["anchor"] - begin)
-                    whole = memoryview(b"".join(raw))
-                    spans = zip(found["low"].tolist(), (found["high"] + length).tolist())
-                    e = np.frombuffer(b"".join([hashlib.blake2b(whole[a:b], digest_size=8).digest() for a, b in spans]), dtype=np.int64)
+                    e = found["e"].astype(np.int64)
                     yield pa.record_batch({"k1": k1[row], "k2": k2[row], "place": place, "g": found["g"].astype(np.int64), "e": e})
 
     return docs.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 int, place long, g long, e long")
@@ -289,7 +287,7 @@ def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
 
 def byte_spans(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     """(k1, k2, start, stop) of the bytes that repeated strings cover, overlapping and in any order."""
-    found = context_rows(keyed, length, gram)
+    found = materialize(context_rows(keyed, length, gram))
     often = found.groupBy("g").agg(F.count("*").alias("n"), (F.min("e") != F.max("e")).alias("differ"))
     often = materialize(often.where(F.col("n") > 1).select("g", "differ"))
     repeated = materialize(found.join(often, "g"))
@@ -475,7 +473,7 @@ def word_contexts(docs: DataFrame, words: int, gram: int) -> DataFrame:
 
 def word_spans(keyed: DataFrame, words: int) -> DataFrame:
     """(k1, k2, start, stop) of words covered by runs of ``words`` words that start at two places at least."""
-    found = word_contexts(keyed, words, min(WORD_GRAM, words))
+    found = materialize(word_contexts(keyed, words, min(WORD_GRAM, words)))
     often = found.groupBy("g").agg(F.count("*").alias("n"), (F.min("e") != F.max("e")).alias("differ"))
     often = materialize(often.where(F.col("n") > 1).select("g", "differ"))
     repeated = materialize(found.join(often, "g"))
