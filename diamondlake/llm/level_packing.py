@@ -38,6 +38,8 @@ from diamondlake.llm.prefix_bpe import byte_alphabet
 from diamondlake.llm.text_units import UnitCache, text_slices, units_in_order
 
 SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Units and words a worker remembers, per generation.
+CACHED = 150_000
 
 
 class UnitTokens:
@@ -63,11 +65,8 @@ class UnitTokens:
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.other = re.compile("|".join(["[^\\x00-\u02ff]", *special]))
         self.stand_in = {byte: char for char, byte in byte_alphabet().items()}
-        self.units, self.words = UnitCache(), UnitCache()
-
-    def forget(self) -> None:
-        """Give the memory of the learnt units back; words, which are fewer and cost more, stay with the worker."""
-        self.units = UnitCache()
+        # They stay with the worker, so they are bounded well below a task's memory.
+        self.units, self.words = UnitCache(CACHED), UnitCache(CACHED)
 
     def _word(self, word: str) -> bytes:
         shown = word.encode().decode("latin-1").translate(self.stand_in)
@@ -220,7 +219,6 @@ def pack_documents(
             emit(bin_)
         if rows:
             yield flushed()
-        tokens.forget()
 
     packed = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)
     return packed.withColumnRenamed("id", id_col)
