@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
@@ -29,24 +30,25 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.llm.prefix_bpe import byte_alphabet
-from diamondlake.llm.text_units import UnitCache, text_slices, units_in_order
+from diamondlake.llm.text_units import UnitCache, text_slices
 
 SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Units and words a worker remembers, per generation.
-CACHED = 150_000
+#: Words a worker remembers, per generation.
+CACHED = 300_000
 
 
 class UnitTokens:
-    """Ids of whole texts from the ids of their units, each unit encoded once.
+    """Ids of whole texts from the ids of their words, over columns of a slice of texts.
 
-    A unit below U+0300 without special strings cannot be changed by composition, so
-    lower-casing and the file's own pattern give its words, and the library's model
+    Texts fall into units at spaces, and every distinct unit of a slice is looked at once.
+    A unit of letters below U+0300 without special strings cannot be changed by composition,
+    so lower-casing and the file's own pattern give its words, and the library's model
     encodes each distinct word once. Any other unit goes through the library whole.
     """
 
@@ -61,39 +63,77 @@ class UnitTokens:
         cuts = spec["pre_tokenizer"]["pretokenizers"]
         if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
             raise ValueError("not a lower-casing word vocabulary")
-        self.word = regex.compile(cuts[0]["pattern"]["Regex"])
+        # Spaces come out as well: they part the units that are cut together.
+        self.word = re.compile(" |" + _spelled_out(cuts[0]["pattern"]["Regex"]))
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
-        self.other = re.compile("|".join(["[^\\x00-\u02ff]", *special]))
+        self.other = "|".join(["[^\\t-\\r\\x20-\\x7e\\x{85}\\x{a0}-\\x{2ff}]", *special])
         self.stand_in = {byte: char for char, byte in byte_alphabet().items()}
         # They stay with the worker, so they are bounded well below a task's memory.
-        self.units, self.words = UnitCache(CACHED), UnitCache(CACHED)
+        self.words = UnitCache(CACHED)
 
     def _word(self, word: str) -> bytes:
-        shown = word.encode().decode("latin-1").translate(self.stand_in)
-        return array("I", [token.id for token in self.tokenizer.model.tokenize(shown)]).tobytes()
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(self.stand_in)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _of_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of every unit, one unit after the other, and how many each has."""
+        other = pc.match_substring_regex(units, self.other)
+        whole = np.flatnonzero(np.asarray(other))
+        plain = pc.if_else(other, "", units)
+        found = pa.array(self.word.findall(pc.binary_join(_as_one_list(plain), " ")[0].as_py().lower()), pa.string()).dictionary_encode()
+        words, code = found.dictionary.to_pylist(), np.asarray(found.indices)
+        gap = np.fromiter((w == " " for w in words), dtype=bool, count=len(words))[code]
+        unit = np.cumsum(gap)[~gap]
+        new = self.words.missing(set(words) - {" "})
+        self.words.known.update((word, self._word(word)) for word in new)
+        of_word = [self.words.known[w] if w != " " else b"" for w in words]
+        size = np.fromiter(map(len, of_word), dtype=np.int64, count=len(words)) // 4
+        code = code[~gap]
+        ids = _gathered(np.frombuffer(b"".join(of_word), dtype="<u4"), size, code)
+        many = np.bincount(unit, weights=size[code], minlength=len(units)).astype(np.int64)
+        if not len(whole):
+            return ids, many
+        extra = []
+        for at in range(0, len(whole), 20_000):
+            part = units.take(pa.array(whole[at : at + 20_000])).to_pylist()
+            extra += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        # Those of whole units lie behind the others; an order of units brings both together.
+        size = np.concatenate([many, np.fromiter(map(len, extra), dtype=np.int64, count=len(extra))])
+        place = np.arange(len(units))
+        place[whole] = len(units) + np.arange(len(whole))
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(extra), dtype="<u4")])
+        return _gathered(ids, size, place), size[place]
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        units = [units_in_order_bare(t) for t in texts]
-        fresh = self.units.missing(set(chain.from_iterable(units)))
-        other = [u for u in fresh if self.other.search(u)]
-        for at in range(0, len(other), 20_000):
-            part = other[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.units.known.update((u, array("I", e.ids).tobytes()) for u, e in zip(part, found))
-        plain = [u for u in fresh if u not in self.units.known]
-        split = [self.word.findall(u.lower()) for u in plain]
-        new = self.words.missing(set(chain.from_iterable(split)))
-        self.words.known.update((word, self._word(word)) for word in new)
-        of_word = self.words.known.__getitem__
-        self.units.known.update((u, b"".join(map(of_word, own))) for u, own in zip(plain, split))
-        ids = self.units.known.__getitem__
-        return [b"".join(map(ids, own)) for own in units]
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        units = split.flatten().dictionary_encode()
+        code = np.asarray(units.indices)
+        ids, many = self._of_units(units.dictionary)
+        raw = memoryview(_gathered(ids, many, code).tobytes())
+        stop = np.concatenate(([0], np.cumsum(many[code])))[np.asarray(split.offsets)] * 4
+        return [bytes(raw[a:b]) for a, b in zip(stop.tolist(), stop[1:].tolist())]
+
+
+def _spelled_out(pattern: str) -> str:
+    """The pattern with its letters and numbers listed, as far as lower-cased characters below U+0300 need them."""
+    chars = sorted(set("".join(map(chr, range(0x300))).lower()))
+    for name in "LN":
+        listed = "".join(c for c in chars if unicodedata.category(c)[0] == name)
+        pattern = pattern.replace(f"\\p{{{name}}}", listed)
+    return pattern
+
+
+def _as_one_list(strings: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings)
 
 
-def units_in_order_bare(text: str) -> list[str]:
-    """Units without a leading space: white space yields no token in a word vocabulary."""
-    return text.split(" ") if "  " not in text else units_in_order(text)
+def _gathered(values: np.ndarray, size: np.ndarray, take: np.ndarray) -> np.ndarray:
+    """Stretches of ``values``, of which ``size`` has the lengths in turn, in the order ``take``."""
+    many = size[take]
+    begin = (np.cumsum(size) - size)[take] - (np.cumsum(many) - many)
+    return values[np.repeat(begin, many) + np.arange(many.sum())]
 
 
 @lru_cache(maxsize=2)
