@@ -30,7 +30,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ FREQUENT, ENDINGS, CLASSES = 1_024, 512, 128
 HEAD, HEAD_BYTES = 200_000, 64
 FLUSH = 400_000
 #: Characters tokenised at once.
-SLICE = 1_500_000
+SLICE = 3_000_000
 #: Rounds over the words that are no units, and contexts judged at once.
 ROUNDS, ENTRIES = 1, 20_000
 #: Characters whose contexts are counted together, and one packed context.
@@ -65,6 +65,25 @@ def tokens(text: str) -> list[bytes]:
     return found
 
 
+def coded(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``tokens`` of all texts as places in a list of different words, and tokens per text.
+
+    END is the last word of the list, which may hold words that do not occur.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
+    found = split.flatten().dictionary_encode()
+    words, code = found.dictionary, np.asarray(found.indices).astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), np.asarray(split.value_lengths()))
+    # Blanks at the borders of a text give empty words.
+    filled = np.append(np.asarray(pc.binary_length(words)) > 0, True)[code]
+    size = np.bincount(owner[filled], minlength=len(texts)) + 1
+    out = np.full(size.sum(), len(words))
+    inner = np.ones(len(out), dtype=bool)
+    inner[np.cumsum(size) - 1] = False
+    out[inner] = code[filled]
+    return pa.concat_arrays([words.cast(pa.binary()), pa.array([END], pa.binary())]), out, size
+
+
 class Lexicon(list):
     """The frequent words, and the table (word, n, kind) of all words."""
 
@@ -109,8 +128,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for _, texts in text_slices(batches, SLICE):
-            for text in texts:
-                counts.update(text.encode().translate(_LOWER).split())
+            words, code, _ = coded(texts)
+            n = np.bincount(code)[:-1]
+            met = np.flatnonzero(n)
+            counts.update(dict(zip(words.take(pa.array(met)).to_pylist(), n[met].tolist())))
             if len(counts) > FLUSH:
                 yield _counted(counts)
                 counts = Counter()
@@ -131,7 +152,8 @@ def unit_bigrams(docs: DataFrame, frequent: list[bytes]) -> np.ndarray:
         unit_of = UnitOf(frequent)
         total = np.zeros(size * size, dtype=np.int64)
         for _, texts in text_slices(batches, SLICE):
-            units = np.fromiter(map(unit_of.__getitem__, chain.from_iterable(map(tokens, texts))), dtype=np.int64)
+            words, code, _ = coded(texts)
+            units = np.fromiter(map(unit_of.__getitem__, words.to_pylist()), dtype=np.int64, count=len(words))[code]
             before = np.concatenate(([unit_of[END]], units[:-1]))
             pairs, n = np.unique(before * size + units, return_counts=True)
             total[pairs] += n
@@ -232,23 +254,23 @@ def with_words(
         words, own, ending = shared.value
         known, units = {w: i for i, w in enumerate(words)}.get, UnitOf(own)
         for ids, texts in text_slices(batches, SLICE):
-            at, sizes, rare, kinds, many = [], [], [], [], []
-            for text in texts:
-                flat = tokens(text)
-                place = np.fromiter(map(known, flat, [-1] * len(flat)), dtype=np.int32, count=len(flat))
-                others = np.flatnonzero(place < 0).tolist()
-                seen: dict[bytes, int] = {}
-                for i in others:
-                    place[i] = -1 - seen.setdefault(flat[i], len(seen))
-                at.append(place)
-                sizes.append(len(flat))
-                rare.extend(seen)
-                kinds.extend(int(ending[units[w]]) for w in seen)
-                many.append(len(seen))
-            entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(kinds, pa.int32())], names=["word", "ending"])
+            listed, code, sizes = coded(texts)
+            every = listed.to_pylist()
+            place = np.fromiter(map(known, every, repeat(-1)), dtype=np.int32, count=len(every))
+            unknown = np.flatnonzero(place < 0)
+            home = np.zeros(len(every), dtype=np.int32)
+            home[unknown] = ending[np.fromiter((units[every[i]] for i in unknown.tolist()), dtype=np.int64, count=len(unknown))]
+            at = place[code]
+            rare = np.flatnonzero(at < 0)
+            row = np.repeat(np.arange(len(texts)), sizes)[rare]
+            pairs, back = np.unique(row * len(every) + code[rare], return_inverse=True)
+            row, met = pairs // len(every), pairs % len(every)
+            many = np.bincount(row, minlength=len(texts))
+            at[rare] = -1 - (np.arange(len(pairs)) - (np.cumsum(many) - many)[row])[back]
+            entries = pa.StructArray.from_arrays([listed.take(pa.array(met)), pa.array(home[met])], names=["word", "ending"])
             yield pa.record_batch({
                 "id": pa.array(ids, pa.int64()), **({"text": pa.array(texts, pa.string())} if keep_text else {}),
-                "at": pa.ListArray.from_arrays(_bounds(sizes), pa.array(np.concatenate(at))),
+                "at": pa.ListArray.from_arrays(_bounds(sizes), pa.array(at)),
                 "rare": pa.ListArray.from_arrays(_bounds(many), entries),
             })
 
@@ -287,10 +309,11 @@ def met_tokens(batch: pa.RecordBatch, n: np.ndarray, kind: np.ndarray, least: in
         yield slice(low, high), sizes, out_n, out_kind
 
 
-def _contexts(flat: list[bytes], kinds: np.ndarray, own: set[bytes], end_kind: int, classes: int) -> pa.RecordBatch:
-    """(word, kind, packed): classes before (k) and behind (classes + k) every word that is not in ``own``, with counts."""
-    coded = pa.array(flat, pa.binary()).dictionary_encode()
-    codes, words = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+def _contexts(words: pa.Array, codes: np.ndarray, kinds: np.ndarray, own: set[bytes], end_kind: int, classes: int) -> pa.RecordBatch:
+    """(word, kind, packed): classes before (k) and behind (classes + k) every word that is not in ``own``, with counts.
+
+    The text is given as places in ``words`` and has the classes ``kinds``.
+    """
     free = np.fromiter((w not in own for w in words.to_pylist()), dtype=bool, count=len(words))
     where = np.flatnonzero(free[codes])
     before = np.concatenate(([end_kind], kinds[:-1]))
@@ -316,9 +339,9 @@ def first_contexts(docs: DataFrame, own: list[bytes], kind: np.ndarray, classes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, fixed = UnitOf(own), set(own)
         for _, texts in text_slices(batches, CONTEXT_SLICE):
-            flat = list(chain.from_iterable(map(tokens, texts)))
-            kinds = kind[np.fromiter(map(units.__getitem__, flat), dtype=np.int64, count=len(flat))]
-            yield _contexts(flat, kinds, fixed, int(kind[0]), classes)
+            words, code, _ = coded(texts)
+            kinds = kind[np.fromiter(map(units.__getitem__, words.to_pylist()), dtype=np.int64, count=len(words))][code]
+            yield _contexts(words, code, kinds, fixed, int(kind[0]), classes)
 
     return docs.select(F.lit(0).alias("id"), "text").mapInArrow(run, _CONTEXT)
 
@@ -331,8 +354,8 @@ def later_contexts(rows: DataFrame, head: Head, own: list[bytes], classes: int)
         fixed = set(own)
         for batch in batches:
             for rows, _, _, kinds in met_tokens(batch, n, kind):
-                texts = batch.column(0)[rows].to_pylist()
-                yield _contexts(list(chain.from_iterable(map(tokens, texts))), kinds, fixed, int(kind[0]), classes)
+                words, code, _ = coded(batch.column(0)[rows].to_pylist())
+                yield _contexts(words, code, kinds, fixed, int(kind[0]), classes)
 
     return rows.select("text", "at", "met").mapInArrow(run, _CONTEXT)
 
