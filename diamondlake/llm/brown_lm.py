@@ -20,7 +20,8 @@ in a join.
 
 Defined results: a NULL or empty text is its end token alone; without training texts
 every probability is a smoothed constant; a text that occurs twice is scored twice; a
-row without id is learnt from and is not held out.
+row without id is learnt from and is not held out; a text of any length is read whole, as a
+slice of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ part of a token was learnt later than the token) is encoded word by word instead
 so results are those of the usual greedy order in every case.
 
 Defined results: a NULL or empty text has no ids and decodes to no bytes; no text is
-special; unknown ids cannot arise, as all 256 bytes are tokens.
+special; unknown ids cannot arise, as all 256 bytes are tokens; a row that occurs twice is
+encoded twice, alike; a text of any length is encoded whole, as a slice of its own; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

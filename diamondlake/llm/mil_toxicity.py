@@ -12,7 +12,8 @@ full-batch gradient steps. The scores are computed over every document in its ow
 
 Defined results: a NULL or empty text has no sentence and score 0; rows without a
 label, or with a NULL id, are not learnt from; without a toxic label all scores are 0.
-A document that occurs twice is scored twice, alike.
+A document that occurs twice is scored twice, alike; a text of any length is scored whole;
+an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ last token of every prefix, and truncation or budget questions are table look-up
 nothing is encoded again.
 
 Defined results: a NULL or empty text has no bytes and no tokens; special strings
-inside a text are one token each, as the tokenizer's file says.
+inside a text are one token each, as the tokenizer's file says; a row that occurs twice is
+counted twice, alike; a text of any length is counted whole, as a slice of its own; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 from diamondlake.llm import brown_lm, mil_toxicity
 
 
+def test_coded_words():
+    """The words of many texts at once are those of one text after the other."""
+    rng = random.Random(2)
+    for _ in range(200):
+        texts = ["".join(rng.choices("aAbBÉé \t\n\x0b\x0c\r\x1c\x1f\x85\xa0İ日", k=rng.randint(0, 12))) for _ in range(rng.randint(0, 6))]
+        words, code, size = brown_lm.coded(texts)
+        assert words.take(code).to_pylist() == [w for t in texts for w in brown_lm.tokens(t)]
+        assert size.tolist() == [len(brown_lm.tokens(t)) for t in texts] and words[-1].as_py() == brown_lm.END
+
+
 def labelled_rows(n=600, seed=3):
     """Documents of some sentences; the toxic ones have one with a word of a small list or a bad beginning."""
     rng, rows = random.Random(seed), []

@@ -118,6 +118,17 @@ def test_word_ids():
         assert np.frombuffer(packed, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_of_odd_characters():
+    """Characters whose case, class or composition differs between libraries, special strings, control characters."""
+    rng, library, units = random.Random(4), Tokenizer.from_file(WORDS), UnitTokens(WORDS)
+    marks = list("aB'sTlLmM eE \n\t\x85\xa0\x1c\x1f\x00\x7f\x9f½1²İȺßÉéǄǅʰ˥˿̀́-.ſK日😀") + ["<|endoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["", " ", *("".join(rng.choices(marks, k=rng.randint(0, 40))) for _ in range(3_000))]
+    for at in range(0, len(texts), 500):
+        for text, packed in zip(texts[at : at + 500], units.packed(texts[at : at + 500])):
+            assert np.frombuffer(packed, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert units.packed([]) == [] and units.packed([""]) == [b""]
+
+
 def test_pack_query(spark):
     rows = document_rows() + [(500, lorem(random.Random(5), 5_000))]
     library = Tokenizer.from_file(WORDS)
