@@ -1,10 +1,10 @@
 """Exact ranks and quantiles without a single-task sort.
 
-Equal values are counted first, so ties of any size become one row, and written once. The
-distinct values fall into value ranges given by a fixed monotone formula, at most about
-90,000 of them for any doubles. Only the ranges' totals meet in one window per key: it tells
-how many rows lie below a range. Ranks are then counted inside each range; a quantile looks
-only into the one or two ranges that hold it.
+Equal values are counted first, so ties of any size become one row, and written once. Ranks
+come from a sample sort of the distinct values: ranges of about equal size. For quantiles per
+key the distinct values fall into value ranges given by a fixed monotone formula, at most about
+90,000 of them for any doubles; a quantile looks only into the one or two ranges that hold it.
+Only the ranges' totals meet in one window: it tells how many rows lie below a range.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from diamondlake.operators.materialize import materialize
 # Non-decreasing in the value; about 64 ranges per power of e, fine near zero.
 _RANGE = "floor(signum({0}) * log1p(abs({0}) * 1048576) * 64)"
 
+# Distinct values in a range of the sample sort, about.
+RANGE_ROWS = 250_000
+
 QUARTILES = (0.25, 0.5, 0.75)
 QUARTILE_NAMES = ("q25", "q50", "q75")
 
@@ -51,14 +54,29 @@ def _inside(ranged: DataFrame, sums: DataFrame, keys: Sequence[str], value: str)
     return met.withColumn("upto", F.col("below") + F.sum("n").over(to_here)).drop("below", "__range")
 
 
-def value_ranks(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Counts of the known values with ``upto``, the number of rows up to each value."""
-    return _inside(*_ranges(counts, keys, value), keys, value)
-
+def value_ranks(counts: DataFrame, value: str, range_rows: int = RANGE_ROWS, at_most: int | None = None) -> DataFrame:
+    """Counts of the known values with ``upto``, the number of rows up to each value.
 
-def average_ranks(counts: DataFrame, value: str, out: str) -> DataFrame:
+    A sample sort: the planner's range partitioning draws splitters from a sample of the
+    distinct values, so a range holds about ``range_rows`` of them however the values are
+    spread. The ranges are written, which fixes them; prefix sums over the ranges' totals
+    tell what lies below a range, a window inside it the rest. ``at_most`` bounds the
+    number of distinct values where it is known, else they are counted.
+    """
+    known = counts.where(F.col(value).isNotNull())
+    n_ranges = max(1, -(-(known.count() if at_most is None else at_most) // range_rows))
+    ranged = materialize(known.repartitionByRange(n_ranges, value).withColumn("__range", F.spark_partition_id()))
+    sums = ranged.groupBy("__range").agg(F.sum("n").alias("rows"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    entering = sums.select(F.col("__range").alias("__of"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("below"))
+    to_here = Window.partitionBy("__range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = ranged.join(entering, F.col("__range") == F.col("__of"))
+    return met.withColumn("upto", F.col("below") + F.sum("n").over(to_here)).drop("__of", "below", "__range")
+
+
+def average_ranks(counts: DataFrame, value: str, out: str, at_most: int | None = None) -> DataFrame:
     """Rank of each distinct value, ties sharing the mean rank."""
-    ranked = value_ranks(counts, (), value)
+    ranked = value_ranks(counts, value, at_most=at_most)
     return ranked.select(value, (F.col("upto") - (F.col("n") - 1) / 2.0).alias(out))
 
 

@@ -108,9 +108,10 @@ def spearman(rewards: DataFrame) -> DataFrame:
     pile up in a task.
     """
     cells = value_counts(pairs(rewards), [PROVIDER], REWARD)
+    n_cells = cells.count()
 
     def ranks(value: str, out: str) -> DataFrame:
-        return average_ranks(cells.groupBy(value).agg(F.sum("n").alias("n")), value, out)
+        return average_ranks(cells.groupBy(value).agg(F.sum("n").alias("n")), value, out, at_most=n_cells)
 
     ranked = (
         cells.where(F.col(REWARD).isNotNull()).withColumnRenamed("n", "w")

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from diamondlake.operators import conventions, features, profile, validation
-from diamondlake.operators.quantiles import average_ranks, describe, value_counts
+from diamondlake.operators.quantiles import average_ranks, describe, value_counts, value_ranks
 
 VALUES = st.lists(st.one_of(st.none(), st.floats(-1e6, 1e6), st.sampled_from([0.0, -0.001, 0.001, 5.0])), min_size=1, max_size=40)
 
@@ -34,6 +34,30 @@ def test_average_ranks(spark, values):
     assert all(got[v] == w for v, w in zip(values, want))
 
 
+@pytest.mark.parametrize("draw", [lambda rng: 1 + rng.random(20_000) * 1e-9, lambda rng: np.exp(rng.normal(0, 8, 20_000)), lambda rng: np.floor(rng.pareto(0.5, 20_000))])
+def test_ranges_of_skewed_values(spark, monkeypatch, draw):
+    """However the values are spread, a range of the sample sort holds about the rows asked for."""
+    written = []
+
+    def keep(df):
+        written.append(df.cache())
+        return written[-1]
+
+    values = draw(np.random.default_rng(3))
+    counts = spark.createDataFrame(pd.DataFrame({"v": values})).groupBy("v").count().withColumnRenamed("count", "n")
+    monkeypatch.setattr("diamondlake.operators.quantiles.materialize", keep)
+    got = value_ranks(counts, "v", range_rows=1_000).toPandas().set_index("v").upto
+    want = pd.Series(values).rank(method="max")
+    assert (got.reindex(values).to_numpy() == want.to_numpy()).all()
+    sizes = [r["count"] for r in written[0].groupBy("__range").count().collect()]
+    assert max(sizes) <= 2_000 and len(sizes) >= len(got) // 2_000
+
+
+def test_ranks_of_nothing(spark):
+    assert average_ranks(spark.createDataFrame([(None, 3)], "v double, n long"), "v", "r").isEmpty()
+    assert average_ranks(spark.createDataFrame([], "v double, n long"), "v", "r").isEmpty()
+
+
 REWARDS = "game_id string, pa_seq long, inning int, half string, base_state string, score_diff_attacker int, pa_result string, runs_scored int, reward_wpa double, reward_wpa_computed double, data_quality_flag string"
 
 
