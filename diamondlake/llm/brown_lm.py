@@ -53,6 +53,7 @@ ROUNDS, ENTRIES = 1, 20_000
 #: Characters whose contexts are counted together, and one packed context.
 CONTEXT_SLICE, PACKED = 6_000_000, np.dtype([("beside", "<u2"), ("n", "<u4")])
 #: Log of how much likelier a word's class is that of its ending than another one, before its contexts are known.
+#: Chosen among 0, 2.4, 4.8 and 10 by the scores of training fold 2, learnt from the other training folds alone.
 STAY = 4.8
 #: The end token as a word; no text can contain it, as it holds a blank.
 END = b" "
