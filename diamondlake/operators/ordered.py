@@ -28,6 +28,8 @@ from diamondlake.operators.materialize import materialize
 
 HOT_LIMIT = 200_000
 CHUNK_WIDTH = 50_000
+# Rows of a task, about. The sorts of a chain take a kilobyte a row together.
+TASK_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,17 @@ def branches(
     return [(df.join(named, same, "left_anti"), None), (df.join(named, same, "left_semi"), width)]
 
 
+def deal(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in so many partitions that one holds about ``TASK_ROWS`` of its ``rows``.
+
+    The number is given: the adaptive planner folds partitions by their compressed
+    bytes, of which a sort in memory takes many times as much, and the number it
+    starts from does not grow with the input.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(least, -(-rows // TASK_ROWS)), *keys)
+
+
 def union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

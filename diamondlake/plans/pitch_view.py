@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from diamondlake.operators.ordered import CHUNK_WIDTH, HOT_LIMIT, Order, branches, find_hot, position, union
+from diamondlake.operators.ordered import CHUNK_WIDTH, HOT_LIMIT, Order, branches, deal, find_hot, position, union
 
 ORDERS_PER_GAME = 72
 GAME_ID = (
@@ -43,11 +43,13 @@ def plate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The score window spans one game, which holds at most 72 distinct order keys.
     """
-    orders = table(spark, sf_dir, "orders").selectExpr(
+    rows = table(spark, sf_dir, "orders")
+    orders = rows.selectExpr(
         "o_orderkey", "o_custkey",
         f"cast(floor(o_orderkey / {ORDERS_PER_GAME}) as bigint) as g",
         f"cast(o_orderkey % {ORDERS_PER_GAME} as bigint) as p",
     )
+    orders = deal(orders, rows.count(), "g")
     placed = orders.selectExpr(
         "*",
         "cast(1 + floor(p / 8) + case when g % 17 = 1 then 3 else 0 end as int) as inning",
@@ -63,28 +65,32 @@ def plate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pitch_view(spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT, width: int = CHUNK_WIDTH) -> DataFrame:
     """The pitch rows. ``seq`` orders them inside a game and is unique there."""
-    return union([rows for rows, _ in pitch_branches(spark, sf_dir, limit, width)])
+    return union([rows for rows, _ in pitch_branches(spark, sf_dir, limit, width, by_game=False)])
 
 
 def pitch_branches(
-    spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT, width: int = CHUNK_WIDTH
+    spark: SparkSession, sf_dir: str, limit: int = HOT_LIMIT, width: int = CHUNK_WIDTH, by_game: bool = True
 ) -> list[tuple[DataFrame, int | None]]:
     """The pitch rows of ordinary games and, when there are any, of large ones with their chunk width.
 
-    Split at the scan, so that a chain of steps runs once per branch.
+    Split at the scan, so that a chain of steps runs once per branch. ``by_game`` deals
+    ordinary games out for steps that want all rows of a game in one task.
     """
     hot = hot_games(spark, sf_dir, limit)
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
+    n = lines.count()
     lines = lines.withColumn("g", F.expr(f"cast(floor(l_orderkey / {ORDERS_PER_GAME}) as bigint)"))
     parts = branches(lines, None if hot is None else hot.select("g"), "g", width)
-    return [(_pitches(spark, sf_dir, rows, w), w) for rows, w in parts]
+    found = [(_pitches(spark, sf_dir, rows if w else deal(rows, n, "l_orderkey"), w), w) for rows, w in parts]
+    return [(deal(rows, n, "game_id") if by_game and w is None else rows, w) for rows, w in found]
 
 
 def _pitches(spark: SparkSession, sf_dir: str, lines: DataFrame, width: int | None) -> DataFrame:
     order = Order(("l_orderkey",), LINE_ORDER, width, ("l_linenumber", "floor(l_partkey / 100)"))
     numbered = position(lines, "pitch_no", order).select("l_orderkey", "l_quantity", "pitch_no")
     orders = plate_orders(spark, sf_dir)
-    return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey).selectExpr(
+    # Both sides grow with the input; the planner, which knows the size of the files only, would broadcast the pitches.
+    return numbered.hint("merge").join(orders, numbered.l_orderkey == orders.o_orderkey).selectExpr(
         f"{GAME_ID} as game_id",
         "inning", "home_or_away", "score_diff",
         "case when b > 2 then 2 else b end as out_count",

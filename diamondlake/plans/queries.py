@@ -407,7 +407,8 @@ def _moves(spark: SparkSession, d: str) -> DataFrame:
 def _plate_of_games(spark: SparkSession, d: str, games: DataFrame) -> DataFrame:
     """Plate appearances of a few games, a frame of a stated number of rows."""
     few = F.broadcast(games)
-    return union([_plate(rows.join(few, "game_id", "left_semi"), w) for rows, w in view.pitch_branches(spark, d)])
+    branches = view.pitch_branches(spark, d, by_game=False)
+    return union([_plate(rows.join(few, "game_id", "left_semi"), w) for rows, w in branches])
 
 
 @query

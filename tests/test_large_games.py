@@ -3,8 +3,8 @@
 import pytest
 from compare import bag
 
-from diamondlake.operators import conventions, transitions
-from diamondlake.operators.ordered import Order, by_size, find_hot, key_minimum, neighbour, position, rolling_mean, running
+from diamondlake.operators import conventions, ordered, transitions
+from diamondlake.operators.ordered import Order, by_size, deal, find_hot, key_minimum, neighbour, position, rolling_mean, running
 from diamondlake.operators.plate_appearances import add_pitch_counts, add_recent_speed, aggregate_pa, assign_pa
 from diamondlake.plans import pitch_view as view
 from diamondlake.plans import queries, relay_view
@@ -72,6 +72,18 @@ def test_whole_chain(spark, small, pitches, monkeypatch):
     same(queries.rewards(spark, small), plain)
 
 
+def test_rows_of_a_task(spark, small, monkeypatch):
+    """The rows that a task sorts do not grow with the input, and no side of the join is broadcast."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", 250)
+    n = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    (rows, width), = view.pitch_branches(spark, small)
+    per = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p"), "game_id").count().groupBy("p").count().collect()]
+    assert width is None and sum(per) > 15 and max(per) <= 6
+    assert deal(spark.range(5), n, "id").rdd.getNumPartitions() == -(-n // 250) > 8
+    assert deal(spark.range(5), 0, "id").rdd.getNumPartitions() == 8
+    assert "BroadcastHashJoin" not in queries.training_set(spark, small)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_relay_documents(spark, small):
     documents = relay_view.relay_documents(spark, small).cache()
     same(relay.parse_pitches(documents, 2 * relay.SEQ_STEP), relay.parse_pitches(documents))
