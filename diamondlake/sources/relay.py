@@ -162,7 +162,7 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
         numbered, lambda e: e["option"]["pitchResult"].isNotNull() & (_kind(e["option"]) == PITCH_EVENT)
     )
     # Relay fields first, so that they are computed once and no relay is copied per pitch.
-    fields = relays(documents).select(
+    found = relays(documents).select(
         "game_id", "req_inning", "fault", "relay_pos", "half_rank", stop_inning().alias("stop"),
         _code_text(F.col("relay"), F.lit("0")).alias("code_text"),
         _or_default(inn, F.try_variant_get(inn, "$", "int"), F.col("req_inning")).alias("inning"),
@@ -171,6 +171,17 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
         F.coalesce(result["text"], F.lit("")).alias("relay_text"),
         thrown.alias("thrown"),
     )
+    today = F.col("record.todayHra")
+    recent = F.when(variant_truthy(today), _text(today)).otherwise(F.col("record.seasonHra"))
+    # Also once per relay: numbers in text are the dearest part of a pitch row.
+    fields = found.select(
+        "game_id", "req_inning", "fault", "relay_pos", "half_rank", "stop", "inning", "reward_wpa", "thrown",
+        F.col("code_text").try_cast("int").alias("home_or_away"),
+        hit_side(F.col("record.hitType")).alias("batter_hit_type"),
+        safe_number(F.col("record.vsHra")).alias("pitcher_vs_batter_avg"),
+        safe_number(recent).alias("batter_recent_avg"),
+        na_to_null(F.col("relay_text")).alias("relay_text"),
+    )
     events = fields.select(*[c for c in fields.columns if c != "thrown"], F.explode_outer("thrown").alias("event"))
     events = events.where(F.col("event").isNotNull() | F.col("stop").isNotNull() | F.col("fault").isNotNull())
     events = events.withColumns({"opt_pos": F.col("event.opt_pos"), "option": F.col("event.option")})
@@ -183,12 +194,9 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
         value = F.col(f"option.currentGameState.{name}")
         return _or_default(value, F.coalesce(_text(value), F.lit("None")), F.lit(""))
 
-    today = F.col("record.todayHra")
-    recent = F.when(variant_truthy(today), _text(today)).otherwise(F.col("record.seasonHra"))
     state = "option.currentGameState"
     return events.select(
-        "game_id", "req_inning", "fault", "stop", "inning",
-        F.col("code_text").try_cast("int").alias("home_or_away"),
+        "game_id", "req_inning", "fault", "stop", "inning", "home_or_away",
         score_difference(F.col(f"{state}.homeScore"), F.col(f"{state}.awayScore")).alias("score_diff"),
         count_of("out").alias("out_count"),
         count_of("ball").alias("ball_count_B"),
@@ -196,14 +204,11 @@ def raw_pitches(documents: DataFrame) -> DataFrame:
         *[base_flag(F.col(f"{state}.base{n}")).alias(f"is_base{n}") for n in (1, 2, 3)],
         id_of("pitcher").alias("pitcher_text"),
         id_of("batter").alias("batter_text"),
-        hit_side(F.col("record.hitType")).alias("batter_hit_type"),
-        safe_number(F.col("record.vsHra")).alias("pitcher_vs_batter_avg"),
-        safe_number(recent).alias("batter_recent_avg"),
+        "batter_hit_type", "pitcher_vs_batter_avg", "batter_recent_avg",
         nullable_number(F.col("option.speed")).alias("pitch_speed"),
         na_to_null(F.col("option.stuff")).alias("pitch_type"),
         na_to_null(_text(F.col("option.pitchResult"))).alias("pitch_result"),
-        na_to_null(F.col("relay_text")).alias("relay_text"),
-        "reward_wpa",
+        "relay_text", "reward_wpa",
         F.when(F.col("opt_pos").isNotNull(), sequence_number()).alias("seq"),
     )
 

@@ -90,6 +90,13 @@ def test_unreadable_documents(spark):
     assert relay.rejected_rows(relay.pitch_rows(frame)).count() == 1
 
 
+def test_relay_values_once(spark):
+    """What a relay says is read before its pitches are exploded, not once per pitch."""
+    plan = relay.raw_pitches(spark.createDataFrame([], RELAY_DOCUMENT))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode(thrown", 1)
+    assert "record" not in above and "vsHra" in below
+
+
 def test_inning_cutoff(spark):
     some = [{"textOptions": [pitch()]}]
     rows = parsed(
