@@ -40,7 +40,7 @@ REGISTERS, BANDS = 128, 32
 MANTISSA = 10
 BLOCK = 256
 #: Characters hashed at once, about 100 times as much memory.
-HASHED_CHARS = 1_000_000
+HASHED_CHARS = 300_000
 _ATTEMPTS = 512
 
 

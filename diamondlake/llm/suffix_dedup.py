@@ -46,7 +46,7 @@ from diamondlake.operators.materialize import materialize, settled
 
 CHUNK = 8_192
 #: Bytes handled at once, about 150 times as much memory; positions in a piece need 24 bits.
-PIECE = 1_000_000
+PIECE = 300_000
 #: Words of an anchor where runs of words are looked for.
 WORD_GRAM = 12
 _PLACE = np.uint64((1 << 24) - 1)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -158,3 +159,18 @@ def test_runs_of_words(spark, monkeypatch, piece):
                 covered.append((k, k + 20))
         want.append((str(i), text or "", covered))
     assert got == sorted(want)
+
+
+def test_memory_of_a_slice():
+    """What a Python worker needs at once beside Spark's memory, however long the texts are."""
+    text = " ".join(f"{i * 7919 % 99991:x}" for i in range(400_000))
+    raw = np.frombuffer(text[: suffix_dedup.PIECE].encode(), dtype=np.uint8)
+    for run in (
+        lambda: suffix_dedup.anchors(raw, np.array([len(raw)]), 400, 100),
+        lambda: shingle_sets([text[: hyperminhash.HASHED_CHARS]]),
+    ):
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6
