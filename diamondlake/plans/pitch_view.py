@@ -89,8 +89,10 @@ def _pitches(spark: SparkSession, sf_dir: str, lines: DataFrame, width: int | No
     order = Order(("l_orderkey",), LINE_ORDER, width, ("l_linenumber", "floor(l_partkey / 100)"))
     numbered = position(lines, "pitch_no", order).select("l_orderkey", "l_quantity", "pitch_no")
     orders = plate_orders(spark, sf_dir)
-    # Both sides grow with the input; the planner, which knows the size of the files only, would broadcast the pitches.
-    return numbered.hint("merge").join(orders, numbered.l_orderkey == orders.o_orderkey).selectExpr(
+    # Both sides grow with the input; the planner, which knows the size of the files only, would broadcast the
+    # pitches. Dealt out, the orders of a task are few. Repeated orders meet a line as in a broadcast, last one first.
+    orders = orders.hint("shuffle_hash" if width is None else "merge")
+    return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey).selectExpr(
         f"{GAME_ID} as game_id",
         "inning", "home_or_away", "score_diff",
         "case when b > 2 then 2 else b end as out_count",
