@@ -42,6 +42,8 @@ BLOCK = 256
 #: Characters hashed at once, about 100 times as much memory.
 HASHED_CHARS = 300_000
 _ATTEMPTS = 512
+#: Bits of the filter of wanted texts, 4 MB.
+FILTER_BITS = 1 << 25
 
 
 # ---- sketches ------------------------------------------------------------------------
@@ -215,6 +217,19 @@ def forest_pairs(members: DataFrame, threshold: float) -> DataFrame:
     return members.withColumn("block", block).groupBy("key", "block").applyInArrow(run, _PAIR).distinct()
 
 
+def _maybe_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` without most of those whose keys are not in ``wanted``, so that the others need not move to a join.
+
+    Bits of hashed keys, ``FILTER_BITS`` at most whatever the input; more keys let more rows through, never fewer.
+    """
+    at = (F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1).alias("at")
+    bits = wanted.select(at).groupBy(F.bitmap_bucket_number("at").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__bits"))
+    tested = rows.withColumn("__at", at).withColumn("__bucket", F.bitmap_bucket_number("__at")).join(F.broadcast(materialize(bits)), "__bucket")
+    byte = F.conv(F.hex(F.expr("substring(__bits, int(bitmap_bit_position(__at) / 8) + 1, 1)")), 16, 10).cast("int")
+    hit = F.expr("int(bitmap_bit_position(__at) % 8)")
+    return tested.where(F.getbit(byte, hit) == 1).select(*rows.columns)
+
+
 def set_rows(texts: DataFrame) -> DataFrame:
     """(id, shingles): the full shingle set of every (id, text) row, packed."""
 
@@ -254,14 +269,14 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, c
 def straggler_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Confirmed links between components within a bucket. ``members`` has ``component``.
 
-    Members outside the bucket's largest component visit all blocks of the bucket,
-    with their full sets, so only links leave a block: a spanning forest of them.
+    Members outside the bucket's largest component visit all blocks of the bucket, first
+    with their registers; those in a pair that is left open meet again with their full
+    sets, so only links leave a block: a spanning forest of them.
     """
     per = members.groupBy("key", "component").agg(F.count("*").alias("k"))
     per = per.groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.sum("k").alias("all"), F.max("k").alias("k"))
     per = materialize(per.where(F.col("k") < F.col("all")).select("key", "largest", "all", (F.col("all") - F.col("k")).alias("outside")))
-    rows = materialize(members.join(per, "key"))
-    sets = set_rows(texts.join(rows.select("id").distinct(), "id", "left_semi"))
+    rows = members.join(per, "key")
     blocks, chunks = F.ceil(F.col("all") / BLOCK), F.ceil(F.col("outside") / BLOCK)
     at = F.xxhash64("id", "band")
     home = rows.withColumns({
@@ -270,7 +285,7 @@ def straggler_links(members: DataFrame, texts: DataFrame, threshold: float) -> D
         "home": F.lit(False), "block": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)), "chunk": F.pmod(at, chunks)})
     percent = round(100 * threshold)
 
-    def run(rows: pa.Table) -> pa.Table:
+    def open_pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids, size, regs = _columns(rows)
         home = rows["home"].to_numpy(zero_copy_only=False)
         component = rows["component"].to_numpy()
@@ -278,7 +293,14 @@ def straggler_links(members: DataFrame, texts: DataFrame, threshold: float) -> D
         left, right, _ = candidate_pairs(ids, size, regs, component, rows["band"][0].as_py(), home, ~home, threshold)
         # A pair of stragglers meets twice, once in the home block of each.
         keep = ~outside[left] | (ids[left] < ids[right])
-        left, right = left[keep], right[keep]
+        return left[keep], right[keep]
+
+    def in_pairs(rows: pa.Table) -> pa.Table:
+        return rows.take(pa.array(np.unique(np.concatenate(open_pairs(rows)))))
+
+    def run(rows: pa.Table) -> pa.Table:
+        left, right = open_pairs(rows)
+        ids, size, component = (rows[c].to_numpy() for c in ("id", "n", "component"))
         sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"].to_pylist()]
         both = intersections(sets, left, right)
         keep = (both > 0) & (100 * both >= percent * (size[left] + size[right] - both))
@@ -286,8 +308,12 @@ def straggler_links(members: DataFrame, texts: DataFrame, threshold: float) -> D
         keep = spanning_forest(component[left], component[right])
         return _pair_table(ids[left[keep]], ids[right[keep]])
 
-    met = home.unionByName(away).join(sets, "id")
-    return met.groupBy("key", "block", "chunk").applyInArrow(run, _PAIR)
+    place = ["key", "block", "chunk"]
+    met = home.unionByName(away).select("id", "n", "registers", "band", "component", "largest", "home", *place)
+    # Most rows of a block are in no pair that the registers leave open; only the others need their sets.
+    met = materialize(met.groupBy(*place).applyInArrow(in_pairs, met.schema))
+    sets = set_rows(texts.join(met.select("id").distinct(), "id", "left_semi"))
+    return met.join(sets, "id").groupBy(*place).applyInArrow(run, _PAIR)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -343,7 +369,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc
     # Only texts of classes that share a bucket are needed from here on.
     wanted = materialize(members.select("id").distinct().join(classes.select("id", "doc", "text_key"), "id"))
     source = docs.select(F.col(id_col).cast("long").alias("doc"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
-    texts = materialize(source.join(wanted, ["doc", "text_key"]).groupBy("id").agg(F.min("text").alias("text")))
+    texts = _maybe_in(source, wanted, ["doc", "text_key"]).join(wanted, ["doc", "text_key"])
+    texts = materialize(texts.groupBy("id").agg(F.min("text").alias("text")))
 
     best = materialize(forest_pairs(members, threshold))
     links = materialize(confirmed(best, texts, threshold))

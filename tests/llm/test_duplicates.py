@@ -174,3 +174,27 @@ def test_memory_of_a_slice():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 60e6
+
+
+def test_texts_that_move(spark, monkeypatch):
+    """Texts without shared bucket stay where they are, and full sets are made of documents in open pairs only."""
+    wanted = spark.range(0, 5_000, 50).selectExpr("id AS doc", "id * 7 AS text_key")
+    rows = spark.range(5_000).selectExpr("id AS doc", "id * 7 AS text_key", "'x' AS text")
+    kept = hyperminhash._maybe_in(rows, wanted, ["doc", "text_key"])
+    assert kept.columns == rows.columns and kept.count() < 120
+    assert kept.join(wanted, ["doc", "text_key"]).count() == 100
+    monkeypatch.setattr(hyperminhash, "FILTER_BITS", 4)
+    assert hyperminhash._maybe_in(rows, wanted, ["doc", "text_key"]).join(wanted, ["doc", "text_key"]).count() == 100
+
+    asked = []
+    plain = hyperminhash.set_rows
+    monkeypatch.setattr(hyperminhash, "set_rows", lambda texts: (asked.append(texts.count()), plain(texts))[1])
+    # Pairs of similarity 0.4: most agree in a band, none can be a link.
+    dice = random.Random(8)
+    words = [[f"w{dice.randrange(10**9)}" for _ in range(700)] for _ in range(12)]
+    texts = [" ".join(w[k : k + 230] + w[300 + 170 * k : 470 + 170 * k]) for w in words for k in (0, 0, 1)]
+    texts = [t for i, t in enumerate(texts) if i % 3 != 1] + [" ".join(w[:230] + w[300:469]) for w in words[:2]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(docs).collect()}
+    assert sum(i != c for i, c in got.items()) == 2 and got[24] == 0 and got[25] == 2
+    assert asked and sum(asked) <= 4
