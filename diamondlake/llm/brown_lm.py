@@ -27,11 +27,9 @@ slice of its own; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +47,7 @@ FLUSH = 400_000
 #: Characters tokenised at once.
 SLICE = 3_000_000
 #: Rounds over the words that are no units, and contexts judged at once.
-ROUNDS, ENTRIES = 1, 20_000
+ROUNDS, ENTRIES = 1, 1_000
 #: Characters whose contexts are counted together, and one packed context.
 CONTEXT_SLICE, PACKED = 6_000_000, np.dtype([("beside", "<u2"), ("n", "<u4")])
 #: Log of how much likelier a word's class is that of its ending than another one, before its contexts are known.
@@ -121,6 +119,26 @@ class UnitOf(dict):
         return unit
 
 
+def unit_places(words: pa.Array, own: pa.Array) -> np.ndarray:
+    """``UnitOf`` of all words at once, for units without a ``Lexicon``."""
+    place = places(words, own)
+    unknown = np.flatnonzero(place < 0)
+    place[unknown] = len(own) + endings(words.take(pa.array(unknown)))
+    return place
+
+
+def places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Place of every word in ``known``, -1 for a word that is not there."""
+    return np.array(pc.index_in(words, value_set=known).fill_null(-1), dtype=np.int64)
+
+
+def endings(words: pa.Array) -> np.ndarray:
+    """Hashed ending of every word; each different ending is hashed once."""
+    last = pc.binary_slice(words, -2).dictionary_encode()
+    hashed = np.array([zlib.crc32(e) % ENDINGS for e in last.dictionary.to_pylist()], dtype=np.int64)
+    return hashed[np.asarray(last.indices)]
+
+
 # ---- corpus statistics -----------------------------------------------------------------
 
 
@@ -128,19 +146,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over the ``text`` column, without the end token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held = pa.table({"word": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
         for _, texts in text_slices(batches, SLICE):
             words, code, _ = coded(texts)
             n = np.bincount(code)[:-1]
-            met = np.flatnonzero(n)
-            counts.update(dict(zip(words.take(pa.array(met)).to_pylist(), n[met].tolist())))
-            if len(counts) > FLUSH:
-                yield _counted(counts)
-                counts = Counter()
-        yield _counted(counts)
-
-    def _counted(counts: Counter) -> pa.RecordBatch:
-        return pa.record_batch({"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())})
+            met = pa.array(np.flatnonzero(n))
+            held = pa.concat_tables([held, pa.table({"word": words.take(met), "n": pa.array(n).take(met)})])
+            if len(held) > 2 * FLUSH:
+                held = _summed(held)
+                if len(held) > FLUSH:
+                    yield from held.to_batches()
+                    held = held.slice(0, 0)
+        yield from _summed(held).to_batches()
+
+    def _summed(held: pa.Table) -> pa.Table:
+        out = held.group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"word": out["word"], "n": out["n_sum"]})
 
     rows = docs.select(F.lit(0).alias("id"), "text").mapInArrow(run, "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
@@ -151,14 +172,14 @@ def unit_bigrams(docs: DataFrame, frequent: list[bytes]) -> np.ndarray:
     size = len(frequent) + ENDINGS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit_of = UnitOf(frequent)
+        own = pa.array(frequent, pa.binary())
+        end = unit_places(pa.array([END], pa.binary()), own)
         total = np.zeros(size * size, dtype=np.int64)
         for _, texts in text_slices(batches, SLICE):
             words, code, _ = coded(texts)
-            units = np.fromiter(map(unit_of.__getitem__, words.to_pylist()), dtype=np.int64, count=len(words))[code]
-            before = np.concatenate(([unit_of[END]], units[:-1]))
-            pairs, n = np.unique(before * size + units, return_counts=True)
-            total[pairs] += n
+            units = unit_places(words, own)[code]
+            before = np.concatenate((end, units[:-1]))
+            total += np.bincount(before * size + units, minlength=size * size)
         found = np.flatnonzero(total)
         yield pa.record_batch({"pair": found, "n": total[found]})
 
@@ -250,23 +271,21 @@ def with_words(
     ``at`` has a place in ``head`` per token, or -1 - i for the word of place i in ``met``, which
     lists (i, kind, n) of the row's other words; those not in ``table`` have n 0 and their ending's class.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((head.words, own, ending))
+    shared = docs.sparkSession.sparkContext.broadcast((pa.array(head.words, pa.binary()), pa.array(own, pa.binary()), ending))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, own, ending = shared.value
-        known, units = {w: i for i, w in enumerate(words)}.get, UnitOf(own)
         for ids, texts in text_slices(batches, SLICE):
             listed, code, sizes = coded(texts)
-            every = listed.to_pylist()
-            place = np.fromiter(map(known, every, repeat(-1)), dtype=np.int32, count=len(every))
+            place = places(listed, words).astype(np.int32)
             unknown = np.flatnonzero(place < 0)
-            home = np.zeros(len(every), dtype=np.int32)
-            home[unknown] = ending[np.fromiter((units[every[i]] for i in unknown.tolist()), dtype=np.int64, count=len(unknown))]
+            home = np.zeros(len(listed), dtype=np.int32)
+            home[unknown] = ending[unit_places(listed.take(pa.array(unknown)), own)]
             at = place[code]
             rare = np.flatnonzero(at < 0)
             row = np.repeat(np.arange(len(texts)), sizes)[rare]
-            pairs, back = np.unique(row * len(every) + code[rare], return_inverse=True)
-            row, met = pairs // len(every), pairs % len(every)
+            pairs, back = np.unique(row * len(listed) + code[rare], return_inverse=True)
+            row, met = pairs // len(listed), pairs % len(listed)
             many = np.bincount(row, minlength=len(texts))
             at[rare] = -1 - (np.arange(len(pairs)) - (np.cumsum(many) - many)[row])[back]
             entries = pa.StructArray.from_arrays([listed.take(pa.array(met)), pa.array(home[met])], names=["word", "ending"])
@@ -311,13 +330,12 @@ def met_tokens(batch: pa.RecordBatch, n: np.ndarray, kind: np.ndarray, least: in
         yield slice(low, high), sizes, out_n, out_kind
 
 
-def _contexts(words: pa.Array, codes: np.ndarray, kinds: np.ndarray, own: set[bytes], end_kind: int, classes: int) -> pa.RecordBatch:
+def _contexts(words: pa.Array, codes: np.ndarray, kinds: np.ndarray, own: pa.Array, end_kind: int, classes: int) -> pa.RecordBatch:
     """(word, kind, packed): classes before (k) and behind (classes + k) every word that is not in ``own``, with counts.
 
     The text is given as places in ``words`` and has the classes ``kinds``.
     """
-    free = np.fromiter((w not in own for w in words.to_pylist()), dtype=bool, count=len(words))
-    where = np.flatnonzero(free[codes])
+    where = np.flatnonzero((places(words, own) < 0)[codes])
     before = np.concatenate(([end_kind], kinds[:-1]))
     kind = np.zeros(len(words), dtype=np.int64)
     kind[codes] = kinds
@@ -339,10 +357,10 @@ def first_contexts(docs: DataFrame, own: list[bytes], kind: np.ndarray, classes:
     """Contexts while words that are no units have their ending's class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, fixed = UnitOf(own), set(own)
+        fixed = pa.array(own, pa.binary())
         for _, texts in text_slices(batches, CONTEXT_SLICE):
             words, code, _ = coded(texts)
-            kinds = kind[np.fromiter(map(units.__getitem__, words.to_pylist()), dtype=np.int64, count=len(words))][code]
+            kinds = kind[unit_places(words, fixed)][code]
             yield _contexts(words, code, kinds, fixed, int(kind[0]), classes)
 
     return docs.select(F.lit(0).alias("id"), "text").mapInArrow(run, _CONTEXT)
@@ -353,7 +371,7 @@ def later_contexts(rows: DataFrame, head: Head, own: list[bytes], classes: int)
     n, kind = head.n, head.kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fixed = set(own)
+        fixed = pa.array(own, pa.binary())
         for batch in batches:
             for rows, _, _, kinds in met_tokens(batch, n, kind):
                 words, code, _ = coded(batch.column(0)[rows].to_pylist())
@@ -395,8 +413,10 @@ def best_kinds(size: np.ndarray, kind: np.ndarray, beside: np.ndarray, n: np.nda
     The class ``home[i]`` is a priori more likely by ``stay``, in natural logarithms.
     """
     beside_of = np.concatenate([table, table.T])  # before: [k, class]; behind: [k, class]
-    once = _h(beside_of + 1) - _h(beside_of)
-    out = kind.copy()
+    now_of = _h(beside_of)
+    once = _h(beside_of + 1) - now_of
+    totals = [(total, _h(total)) for total in (table.sum(1), table.sum(0))]
+    out, most = kind.copy(), n.max(initial=0) + 1
     stop = np.cumsum(size)
     cuts = [0, *(np.flatnonzero(np.diff(stop // ENTRIES)) + 1).tolist(), len(size)]
     for low, high in zip(cuts, cuts[1:]):
@@ -406,16 +426,18 @@ def best_kinds(size: np.ndarray, kind: np.ndarray, beside: np.ndarray, n: np.nda
         b, m, at = beside[one], n[one].astype(float), stop[low:high] - size[low:high] - (stop[low] - size[low])
         gain = once[b]
         many = np.flatnonzero(m > 1)
-        gain[many] = _h(beside_of[b[many]] + m[many, None]) - _h(beside_of[b[many]])
+        alike, back = np.unique(b[many] * most + n[one][many], return_inverse=True)
+        gain[many] = (_h(beside_of[alike // most] + (alike % most)[:, None]) - now_of[alike // most])[back]
         now = np.repeat(kind[low:high], size[low:high])
         held = beside_of[b, now]
         gain[np.arange(len(b)), now] = _h(held) - _h(np.maximum(held - m, 0))
         gain = np.add.reduceat(gain, at, axis=0)
         each = np.add.reduceat(m, at) / 2  # one context before and one behind per occurrence
         own = kind[low:high]
-        for total in (table.sum(1), table.sum(0)):
-            loss = _h(total + each[:, None]) - _h(total)
-            loss[np.arange(high - low), own] = _h(total[own]) - _h(np.maximum(total[own] - each, 0))
+        value, back = np.unique(each, return_inverse=True)
+        for total, now_total in totals:
+            loss = (_h(total + value[:, None]) - now_total)[back]
+            loss[np.arange(high - low), own] = now_total[own] - _h(np.maximum(total[own] - each, 0))
             gain -= loss
         more = np.arange(high - low)
         gain[more, home[low:high]] += stay
@@ -430,25 +452,50 @@ def moved(contexts: DataFrame, table: np.ndarray, ending: np.ndarray, stay: floa
     classes = len(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 2_000):
-                batch = whole.slice(at, 2_000)
-                words, lists = batch.column(0), batch.column(2)
-                raw = lists.flatten()
-                entries = np.frombuffer(b"".join(raw.to_pylist()), dtype=PACKED)
-                size = np.asarray(pc.binary_length(raw)) // PACKED.itemsize
-                word = np.repeat(np.repeat(np.arange(len(batch)), np.asarray(lists.value_lengths())), size)
-                pairs, place = np.unique(word * (2 * classes) + entries["beside"], return_inverse=True)
-                n = np.bincount(place, weights=entries["n"]).astype(np.int64)
-                size = np.bincount(pairs // (2 * classes), minlength=len(batch))
-                home = ending[np.fromiter((zlib.crc32(w[-2:]) % ENDINGS for w in words.to_pylist()), dtype=np.int64, count=len(batch))]
-                kind = best_kinds(size, np.asarray(batch.column(1)).astype(np.int64), pairs % (2 * classes), n, table, home, stay)
-                total = np.add.reduceat(n, np.cumsum(size) - size) // 2
-                yield pa.record_batch({"word": words, "n": total, "kind": pa.array(kind, pa.int32())})
-
-    # A word has one row per slice of text at most.
-    lists = contexts.groupBy("word", "kind").agg(F.collect_list("packed").alias("packed"))
-    return lists.mapInArrow(run, "word binary, n long, kind int")
+        for batch in whole_words(batches):
+            words, kind, raw = batch.columns
+            first = _starts(words)
+            entries = np.frombuffer(b"".join(raw.to_pylist()), dtype=PACKED)
+            word = np.repeat(np.cumsum(first) - 1, np.asarray(pc.binary_length(raw)) // PACKED.itemsize)
+            first = pa.array(np.flatnonzero(first))
+            words, kind = words.take(first), np.asarray(kind.take(first)).astype(np.int64)
+            pairs, place = np.unique(word * (2 * classes) + entries["beside"], return_inverse=True)
+            n = np.bincount(place, weights=entries["n"]).astype(np.int64)
+            size = np.bincount(pairs // (2 * classes), minlength=len(words))
+            kind = best_kinds(size, kind, pairs % (2 * classes), n, table, ending[endings(words)], stay)
+            total = np.add.reduceat(n, np.cumsum(size) - size) // 2
+            yield pa.record_batch({"word": words, "n": total, "kind": pa.array(kind, pa.int32())})
+
+    # A word has one row per slice of text at most; they lie side by side.
+    rows = contexts.repartition("word").sortWithinPartitions("word")
+    return rows.mapInArrow(run, "word binary, n long, kind int")
+
+
+def _starts(words: pa.Array) -> np.ndarray:
+    """Whether a word differs from the one before."""
+    return np.append(True, np.asarray(pc.not_equal(words[1:], words[:-1])))
+
+
+def whole_words(batches: Iterator[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by their first column, ``word``, cut anew: about ``rows`` rows each, all rows of a word in one."""
+    held: list[pa.RecordBatch] = []
+    for whole in batches:
+        for at in range(0, len(whole), rows):
+            batch = whole.slice(at, rows)
+            starts = np.flatnonzero(_starts(batch.column(0)))
+            if held and held[-1].column(0)[-1] == batch.column(0)[0]:
+                starts = starts[1:]
+            if not len(starts):
+                held.append(batch)
+                continue
+            # What lies before the last word is complete.
+            held.append(batch.slice(0, starts[-1]))
+            done = pa.concat_batches(held)
+            if len(done):
+                yield done
+            held = [batch.slice(starts[-1])]
+    if held:
+        yield pa.concat_batches(held)
 
 
 # ---- model --------------------------------------------------------------------------------------
@@ -497,13 +544,14 @@ def train(
 
     # Every word in its ending's class, then the rounds.
     taken, score_now = None, likelihood(table)
-    learnt = materialize(_with_endings(counts, own, kind))
-    known = _head(learnt, head, n_docs, kind)
+    first = unit_places(best["word"].combine_chunks(), pa.array(own, pa.binary()))
+    known = Head([END, *words], np.append(n_docs, best["n"].to_numpy()).astype(np.int64), np.append(kind[0], kind[first]))
+    units = pa.table({"word": best["word"], "n": best["n"], "kind": pa.array(kind[first], pa.int32())}).slice(0, len(own) - 1)
     contexts = first_contexts(docs, own, kind, classes)
     spark, prepared = docs.sparkSession, None
     for left in range(rounds - 1, -1, -1):
         found = moved(contexts, table, kind[len(own) :], stay)
-        found = materialize(found.unionByName(learnt.where("own").select("word", "n", "kind")))
+        found = materialize(found.unionByName(spark.createDataFrame(units)))
         head_now = _head(found, head, n_docs, kind)
         shared = not left and prepare is not None
         source = prepare.select("id", "text") if shared else docs.select(F.lit(0).cast("long").alias("id"), "text")
@@ -515,7 +563,7 @@ def train(
         if left:
             contexts = later_contexts(rows, head_now, own, classes)
         prepared = rows if shared else None
-    final = learnt.select("word", "n", "kind") if taken is None else taken
+    final = materialize(_with_endings(counts, own, kind)) if taken is None else taken
 
     tokens_of = table.sum(0)
     share = (tokens_of + 1) / (tokens_of.sum() + classes)
@@ -542,15 +590,14 @@ def _head(table: DataFrame, head: int, n_docs: int, kind: np.ndarray) -> Head:
 
 
 def _with_endings(counts: DataFrame, own: list[bytes], kind: np.ndarray) -> DataFrame:
-    """(word, n, kind, own): words that are no units with the class of their ending."""
+    """(word, n, kind): words that are no units with the class of their ending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = UnitOf(own)
+        units = pa.array(own, pa.binary())
         for batch in batches:
-            unit = np.fromiter(map(units.__getitem__, batch.column(0).to_pylist()), dtype=np.int64, count=len(batch))
-            yield pa.record_batch({"word": batch.column(0), "n": batch.column(1), "kind": pa.array(kind[unit], pa.int32()), "own": unit < len(own)})
+            yield pa.record_batch({"word": batch.column(0), "n": batch.column(1), "kind": pa.array(kind[unit_places(batch.column(0), units)], pa.int32())})
 
-    return counts.select("word", "n").mapInArrow(run, "word binary, n long, kind int, own boolean")
+    return counts.select("word", "n").mapInArrow(run, "word binary, n long, kind int")
 
 
 def score(docs: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

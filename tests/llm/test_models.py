@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from frames import document_rows, documents, lorem
 from pyspark.sql import functions as F
 
@@ -22,6 +23,41 @@ def test_coded_words():
         assert size.tolist() == [len(brown_lm.tokens(t)) for t in texts] and words[-1].as_py() == brown_lm.END
 
 
+def test_words_by_columns():
+    """Units of all words at once are those of one word after the other; words of one and two bytes and none included."""
+    own = [brown_lm.END, b"a", b"the", "é".encode()]
+    listed = [b"", b"a", b"b", b"ab", b"the", b"bathe", "é".encode(), "né".encode(), b"b", b" ", b"\xff"]
+    one = brown_lm.UnitOf(own)
+    got = brown_lm.unit_places(pa.array(listed, pa.binary()).slice(1), pa.array(own, pa.binary()))
+    assert got.tolist() == [one[w] for w in listed[1:]]
+    assert brown_lm.unit_places(pa.array([], pa.binary()), pa.array(own, pa.binary())).tolist() == []
+
+
+def test_whole_words():
+    """However sorted rows fall into batches, a word's rows come in one batch, all of them once."""
+    rng = random.Random(4)
+    for _ in range(100):
+        rows = sorted(rng.choices([b"a", b"b", b"c", b"dd", b"e"], k=rng.randint(0, 20)))
+        batches, at = [], 0
+        while at < len(rows):
+            step = rng.randint(0, 6)
+            batches.append(pa.record_batch({"word": pa.array(rows[at : at + step], pa.binary()), "i": pa.array(range(at, min(at + step, len(rows))), pa.int64())}))
+            at += step
+        got = [b.to_pydict() for b in brown_lm.whole_words(iter(batches), rows=rng.randint(1, 4))]
+        assert [w for g in got for w in g["word"]] == rows and [i for g in got for i in g["i"]] == list(range(len(rows)))
+        assert all(a["word"][-1] != b["word"][0] for a, b in zip(got, got[1:]))
+
+
+def test_contexts_are_sorted_not_collected(spark):
+    """A word's contexts meet by one sort; collecting them in tasks first sorted all rows a second time to no avail."""
+    docs = documents(spark, [(1, "a b a"), (2, "b c")])
+    kind = np.arange(1 + brown_lm.ENDINGS) % 2
+    contexts = brown_lm.first_contexts(docs, [brown_lm.END], kind, 2)
+    found = brown_lm.moved(contexts, np.full((2, 2), 3.0), kind[1:], 0.0)
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r["word"], r["n"]) for r in found.collect()} == {(b"a", 2), (b"b", 2), (b"c", 1)}
+
+
 def labelled_rows(n=600, seed=3):
     """Documents of some sentences; the toxic ones have one with a word of a small list or a bad beginning."""
     rng, rows = random.Random(seed), []
